@@ -7,15 +7,20 @@ from dataclasses import dataclass
 from pyspark.sql import types as T
 
 
+_KINDS = {"BIGINT": T.LongType(), "STRING": T.StringType(), "TIMESTAMP": T.TimestampType(), "DOUBLE": T.DoubleType(), "DATE": T.DateType(), "BOOLEAN": T.BooleanType(), "MAP": T.MapType(T.StringType(), T.StringType())}
+
+
 def _table(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """Columns as name TYPE [NOT NULL], without a session."""
+    parts = [c.split() for c in spec.split(", ")]
+    return T.StructType([T.StructField(p[0], _KINDS[p[1]], len(p) < 3) for p in parts])
 
 
 RAW = _table("id BIGINT NOT NULL, source STRING NOT NULL, source_id STRING NOT NULL, url STRING NOT NULL, content_hash STRING NOT NULL, raw_payload STRING NOT NULL, scraped_at TIMESTAMP NOT NULL, trace_id STRING NOT NULL")
 CANONICAL = _table("source STRING NOT NULL, source_id STRING NOT NULL, url STRING NOT NULL, payload STRING NOT NULL, valid_from TIMESTAMP NOT NULL, raw_id BIGINT NOT NULL")
 CHANGES = _table("id BIGINT NOT NULL, source STRING NOT NULL, source_id STRING NOT NULL, field STRING NOT NULL, old_value STRING, new_value STRING, changed_at TIMESTAMP NOT NULL")
 FAILED = _table("id BIGINT NOT NULL, source STRING NOT NULL, url STRING NOT NULL, raw_id BIGINT NOT NULL, error STRING NOT NULL, detected_at TIMESTAMP NOT NULL, resolved_at TIMESTAMP, resolution STRING")
-SPANS = _table("span_id STRING, parent_id STRING, name STRING, started DOUBLE, attrs MAP<STRING, STRING>, status STRING, error STRING, duration_ms BIGINT")
+SPANS = _table("span_id STRING, parent_id STRING, name STRING, started DOUBLE, attrs MAP, status STRING, error STRING, duration_ms BIGINT")
 SOURCES = _table("domain STRING, added_by STRING, reviewed_at DATE, legal_basis STRING, rate_limit_rps DOUBLE, adapter STRING, api_available BOOLEAN, api_check_notes STRING")
 
 TABLES = {"raw_content": RAW, "canonical_records": CANONICAL, "change_history": CHANGES, "validation_failed": FAILED}
