@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import re
+import struct
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -31,13 +32,13 @@ class Encoder:
 
     White space separates tokens in every pre-tokenizer that drops it, so a text's ids are those of its
     space-separated parts in turn. Each part that is new is encoded by the library and remembered. Parts
-    that are plain letters and then marks are encoded as the lower-case letters and the marks. A
-    tokenizer for which that does not hold, and texts that contain a special token, are encoded whole.
+    that are plain letters and then marks are encoded as the lower-case letters, by the library's model alone
+    (normalizing and splitting leave them as they are), and the marks. A tokenizer for which that does not
+    hold, and texts that contain a special token, are encoded whole.
     """
 
     PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
-    PARTS = re.compile(r"[ \n\t]+")
-    TRIAL = "The heed, Größe. it's 42x! naïve\n\tÀ,b c'est éa  ΣΣ foo;bar -- \x1c z", "a b", "Été's. 'll x"
+    TRIAL = "The heed, Größe. it's 42x! naïve\n\tÀ,b c'est éa  ΣΣ foo;bar -- \x1c z ÿþß", "a b", "Été's. 'll x"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -45,6 +46,10 @@ class Encoder:
         self.t = Tokenizer.from_file(path)
         self.special = [x.content for x in self.t.get_added_tokens_decoder().values()]
         self.words: dict[str, bytes] = {}
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]  # a byte-level model's letters: others follow from 256 on
+        odd = iter(range(256, 512))
+        letters = [chr(b) if b in printable else chr(next(odd)) for b in range(256)]
+        self.byte_letters = {c: "".join(letters[x] for x in chr(c).encode()) for c in range(192, 256)}
         self.by_part = all(self.fast([x])[0] == self.whole(x) for x in self.TRIAL) and self.spaced()
 
     def spaced(self) -> bool:
@@ -59,16 +64,25 @@ class Encoder:
             self.words[x] = np.array(e.ids, "<u4").tobytes()
 
     def fast(self, docs: list[str]) -> list[bytes]:
-        if len(self.words) > REMEMBERED:
-            self.words.clear()
-        split = [self.PARTS.split(x) for x in docs]
-        new = [x for x in {p for parts in split for p in parts} if x not in self.words]
-        plain = {x: m.groups() for x in new if (m := self.PLAIN.fullmatch(x))}
-        bare = {y for a, b in plain.values() for y in (a.lower(), b)}
-        self.learn([x for x in (bare | {x for x in new if x not in plain}) if x not in self.words])
         words = self.words
-        for x, (a, b) in plain.items():
-            words[x] = words[a.lower()] + words[b]
+        if len(words) > REMEMBERED:
+            words.clear()
+        split = [x.replace("\n", " ").replace("\t", " ").split(" ") for x in docs]
+        new = set().union(*split).difference(words)
+        match, tokenize, marks, plain = self.PLAIN.fullmatch, self.t.model.tokenize, {""}, []
+        rest = []
+        for x in new:
+            if m := match(x):
+                plain.append((x, m[1].lower(), m[2]))
+                marks.add(m[2])
+            else:
+                rest.append(x)
+        self.learn([x for x in {*rest, *marks} if x not in words])
+        for x, low, tail in plain:
+            if low not in words:
+                own = low if low.isascii() else low.translate(self.byte_letters)
+                words[low] = struct.pack(f"<{len(ids)}I", *ids) if (ids := [k.id for k in tokenize(own)]) else b""
+            words[x] = words[low] + words[tail]
         return [b"".join(map(words.__getitem__, parts)) for parts in split]
 
     def encode(self, docs: list[str]) -> list[bytes]:
