@@ -1,9 +1,10 @@
 """Substring deduplication by content-defined chunks.
 
-A gear rolling hash over the last 32 bytes sets the chunks' borders, so that an insertion shifts them only
-near itself and equal passages have equal chunks inside. Chunks are deduplicated by digest: one that more
-than one document holds is kept in the first and is a repeat in the others. Runs of repeated chunks of at
-least `min_words` words are the passages to cut.
+A gear rolling hash over the last 16 bytes rates every place of a text. A place is a border where its hash
+is the least among the 16 places on either side, which depends on the near text only: an insertion
+shifts borders only near itself, and equal passages have equal chunks inside. Chunks are deduplicated by
+digest: one that more than one document holds is kept in the first and is a repeat in the others. Runs of
+repeated chunks of at least `min_words` words are the passages to cut.
 """
 
 from __future__ import annotations
@@ -18,28 +19,41 @@ from pyspark.sql import window as W
 from granary.llm.common import _BYTES, PIECE, Scratch, small_batches, span_hashes, texts, word_spans
 
 GEAR = (_BYTES >> np.uint64(32)).astype(np.uint32)
-#: Bytes of a chunk on average; no chunk is longer than LONGEST.
-AVERAGE, LONGEST = 48, 4096
-MIN_WORDS = 25
+#: Bytes that the hash covers, and places on either side that a border is compared with: chunks have 2 * REACH + 1 bytes on average.
+WINDOW = REACH = 16
+#: No chunk is longer.
+LONGEST = 4000
+#: A passage loses some 80 bytes at its ends, so that this finds passages of fifty words.
+MIN_WORDS = 12
 
 
 def gear(raw: np.ndarray) -> np.ndarray:
-    """sum(GEAR[byte] << age) over the last 32 bytes at each place, by doubling."""
-    h = GEAR[raw]
-    for k in (1, 2, 4, 8, 16):
+    """sum(GEAR[byte] << age) over the last WINDOW bytes at each place, by doubling."""
+    h, k = GEAR[raw], 1
+    while k < WINDOW:
         out = h.copy()
         out[k:] += h[:-k] << np.uint32(k)
-        h = out
+        h, k = out, 2 * k
     return h
 
 
-def chunk_ends(text: bytes, average: int = AVERAGE) -> np.ndarray:
+def borders(h: np.ndarray) -> np.ndarray:
+    """Where a hash is less than the REACH before it and at most the REACH after it; outside there is nothing less."""
+    low = np.concatenate([np.full(REACH, np.uint32(2**32 - 1)), h, np.full(REACH, np.uint32(2**32 - 1))])
+    k = 1
+    while k < REACH:  # the least of each place and the next REACH - 1
+        low = np.minimum(low[:-k], low[k:])
+        k *= 2
+    return np.flatnonzero((h < low[: len(h)]) & (h <= low[REACH + 1 : REACH + 1 + len(h)]))
+
+
+def chunk_ends(text: bytes) -> np.ndarray:
     """Where the chunks of a text end, in bytes, never within a character."""
-    found = []
+    found, margin = [], WINDOW + REACH
     for at in range(0, len(text), PIECE):
-        low = max(0, at - 31)
-        h = gear(np.frombuffer(text, np.uint8, min(len(text), at + PIECE) - low, low))[at - low :]
-        found.append(np.flatnonzero(h < np.uint32((1 << 32) // average)) + at + 1)
+        low, high = max(0, at - margin), min(len(text), at + PIECE + margin)
+        spots = borders(gear(np.frombuffer(text, np.uint8, high - low, low))) + low
+        found.append(spots[(spots >= at) & (spots < at + PIECE)] + 1)
     ends = np.concatenate([*found, [len(text)]])
     raw = np.frombuffer(text, np.uint8)
     for _ in range(3):  # out of a character: continuation bytes are 10xxxxxx
@@ -69,50 +83,56 @@ def digests(text: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.concatenate(out)
 
 
-def chunks(df: DataFrame, id_col: str, text_col: str, average: int) -> DataFrame:
-    """doc, idx, start and stop (characters), word0 and word1 (words before its start and end), digest."""
+def chunks(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc, spot, digest of each chunk. spot holds the chunk's start in characters, its length (13 bits) and the words that begin in it (12 bits)."""
     small_batches(df.sparkSession)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
-            row, cols = [], []
+            row, spots, found = [], [], []
             for i, text in enumerate(texts(batch)):
                 if not text:
                     continue
-                raw, ends = np.frombuffer(text, np.uint8), chunk_ends(text, average)
+                raw, ends = np.frombuffer(text, np.uint8), chunk_ends(text)
                 starts = np.concatenate([[0], ends[:-1]])
                 chars = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
-                begun = word_spans(raw)[0]
+                begun = np.searchsorted(word_spans(raw)[0], np.concatenate([[0], ends]))
+                at = chars[starts]
                 row.append(np.full(len(ends), i))
-                cols.append((np.arange(len(ends)), chars[starts], chars[ends], np.searchsorted(begun, starts), np.searchsorted(begun, ends), digests(text, starts, ends).view(np.int64)))
+                spots.append((at << 25) | ((chars[ends] - at) << 12) | np.minimum(np.diff(begun), 4095))
+                found.append(digests(text, starts, ends).view(np.int64))
             if row:
-                merged = [np.concatenate(c) for c in zip(*cols)]
                 doc = batch.column(0).take(pa.array(np.concatenate(row)))
-                yield pa.RecordBatch.from_arrays([doc, *(pa.array(c, pa.int32()) for c in merged[:-1]), pa.array(merged[-1], pa.int64())], ["doc", "idx", "start", "stop", "word0", "word1", "digest"])
+                yield pa.RecordBatch.from_arrays([doc, pa.array(np.concatenate(spots), pa.int64()), pa.array(np.concatenate(found), pa.int64())], ["doc", "spot", "digest"])
 
     kind = df.schema[id_col].dataType.simpleString()
-    return df.where(df[id_col].isNotNull()).select(df[id_col], df[text_col]).mapInArrow(run, f"doc {kind}, idx int, start int, stop int, word0 int, word1 int, digest long")
+    return df.where(df[id_col].isNotNull()).select(df[id_col], df[text_col]).mapInArrow(run, f"doc {kind}, spot long, digest long")
 
 
-def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, average: int = AVERAGE) -> DataFrame:
+def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """id, start, end (characters), n_words, kept_id of each passage that an earlier document (by id) has, too.
 
-    A passage begins and ends at chunk borders: up to a chunk on either side of the common text is not in it.
-    kept_id: the document that keeps the passage's first chunk. Null and empty texts have no chunks; rows
+    A passage begins and ends at chunk borders: up to a chunk on either side of the common text is not in it. n_words: words
+    that begin in it. kept_id: the document that keeps the passage's first chunk. Null and empty texts have no chunks; rows
     without an id take no part; rows that repeat an id are one document; an empty table gives an
     empty one. Other columns are not read. Chunks that only one document holds are no repeats.
     """
     scratch = Scratch(df.sparkSession)
-    own = scratch.save(chunks(df, id_col, text_col, average), "chunks")
+    own = scratch.save(chunks(df, id_col, text_col), "chunks")
     first = own.groupBy("digest").agg(F.min("doc").alias("kept"), F.max("doc").alias("last")).where("kept < last").select("digest", "kept")
-    again = own.join(first, "digest").where("doc > kept").select("doc", "idx", "start", "stop", "word0", "word1", "kept")
-    again = scratch.save(again, "again")
+    # a merge join at every size: it splits hot chunks over tasks, and no plan depends on how small a table is
+    again = own.join(first.hint("merge"), "digest").where("doc > kept")
+    again = again.select("doc", F.expr("shiftright(spot, 25)").alias("start"), F.expr("shiftright(spot, 12) & 8191").alias("length"), F.expr("spot & 4095").alias("words"), "kept")
+    again = scratch.save(again.withColumn("stop", F.col("start") + F.col("length")).drop("length"), "again")
     scratch.drop("chunks")
-    runs = again.withColumn("run", F.col("idx") - F.dense_rank().over(W.Window.partitionBy("doc").orderBy("idx")))
-    spans = runs.groupBy("doc", "run").agg(F.min("start").alias("start"), F.max("stop").alias("end"), (F.max("word1") - F.min("word0")).cast("long").alias("n_words"), F.min(F.struct("idx", "kept"))["kept"].alias("kept_id"))
-    return spans.where(F.col("n_words") >= min_words).select(F.col("doc").alias(id_col), F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "n_words", "kept_id")
+    by_doc = W.Window.partitionBy("doc").orderBy("start")
+    earlier = F.max("stop").over(by_doc.rowsBetween(W.Window.unboundedPreceding, -1))
+    runs = again.withColumns({"begins": F.coalesce(F.col("start") > earlier, F.lit(True)), "twin": F.coalesce(F.lag("start").over(by_doc) == F.col("start"), F.lit(False))})
+    runs = runs.withColumn("run", F.sum(F.col("begins").cast("long")).over(by_doc.rowsBetween(W.Window.unboundedPreceding, 0)))
+    spans = runs.groupBy("doc", "run").agg(F.min("start").alias("start"), F.max("stop").alias("end"), F.sum(F.when(F.col("twin"), 0).otherwise(F.col("words"))).cast("long").alias("n_words"), F.min(F.struct("start", "kept"))["kept"].alias("kept_id"))
+    return spans.where(F.col("n_words") >= min_words).select(F.col("doc").alias(id_col), "start", "end", "n_words", "kept_id")
 
 
 def cut_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
