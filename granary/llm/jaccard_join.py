@@ -302,7 +302,8 @@ def classes(df: DataFrame, scratch: Scratch, size: int, threshold: float, recall
     sums = members.groupBy("component").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     blocked = members.join(sums, "component").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     whole = df.select(F.col("_key").alias("rep"), F.col("_text").alias("text"))
-    tasks = pairs_of_blocks(blocked, "component").join(whole, "rep")
+    # a merge join at every size: a plan that broadcasts small inputs would tell nothing about large ones
+    tasks = pairs_of_blocks(blocked, "component").hint("merge").join(whole, "rep")
     tasks = tasks.dropDuplicates(["task", "rep"]) if "_repeated" in df.columns else tasks
     checked = scratch.save(verify(tasks.select("task", "cross", F.col("rep").alias("key"), "side", "copies", "text"), size, threshold), "checked")
     true = checked.where("root != key").select(F.col("key").alias("a"), F.col("root").alias("b"))
@@ -337,12 +338,11 @@ def join_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     if not unique:
         rows = rows.withColumn("_repeated", F.lit(True))
     own, sets = classes(rows, scratch, size, threshold, recall)
-    ids = rows.select(F.col("_key").alias("key"), F.col(id_col).alias("id"))
     if unique:
         full = own.join(sets, ["set", "n"], "left").withColumn("id", F.col("key"))
         names = {"class": F.col("root"), "set": F.col("rep")}
     else:
-        of = ids.dropDuplicates(["key"])
+        of = rows.select(F.col("_key").alias("key"), F.col(id_col).alias("id")).dropDuplicates(["key"])
         own = own.join(of, "key")
         full = own.join(sets, ["set", "n"], "left")
         first = lambda c, name: full.groupBy(c).agg(F.min("id").alias(name)).withColumnRenamed(c, f"_{name}")
@@ -360,9 +360,9 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size
     scratch = Scratch(df.sparkSession)
     rows, unique = keyed(df, id_col, text_col)
     own, sets = classes(rows if unique else rows.withColumn("_repeated", F.lit(True)), scratch, size, threshold, recall)
-    first = sets.where("rep = root").select(F.col("rep").alias("key"))
-    blank = own.where("n = 0").select("key")
-    kept = rows.join(first.union(blank).distinct(), F.col("_key") == F.col("key"), "left_semi")
+    first = sets.where("rep = root").select(F.col("rep").alias("_keep"))
+    blank = own.where("n = 0").select(F.col("key").alias("_keep"))
+    kept = rows.join(first.union(blank).distinct(), F.col("_key") == F.col("_keep"), "left_semi")
     if not unique:  # equal rows share a key: of those with words one stays
         words = F.length(F.regexp_replace(F.coalesce("_text", F.lit("")), r"[\x20\x09-\x0D]+", "")) > 0
         kept = kept.where(words).dropDuplicates(["_key"]).unionByName(kept.where(~words))
