@@ -90,6 +90,20 @@ r AS (SELECT *, sum(size) OVER (ORDER BY vt, rk ROWS BETWEEN UNBOUNDED PRECEDING
 k AS (SELECT doc_id, rk, count(*) AS times FROM r, b WHERE running <= budget GROUP BY doc_id, rk)
 SELECT c.doc_id, c.size, c.source_size, c.target, (c.size * coalesce(k.times, 0))::BIGINT AS taken
 FROM c LEFT JOIN k ON c.doc_id = k.doc_id AND c.rk = k.rk
+""",
+    "op8_jaccard_join": r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM documents),
+i AS (SELECT doc_id, ws, least(5, len(ws)) AS k, unnest(range(1, len(ws) - least(5, len(ws)) + 2)) AS j FROM w WHERE len(ws) > 0),
+s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(ws, j, j + k - 1), ' ') AS g FROM i),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b, c = x.n AND c = y.n AS same FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 5 * c >= 4 * (x.n + y.n - c)),
+r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+t AS (SELECT d.doc_id, least(d.doc_id, min(l.b) FILTER (WHERE same)) AS set_id, 1 + count(*) FILTER (WHERE same) AS copies, count(l.b) AS n_links FROM documents d LEFT JOIN l ON l.a = d.doc_id GROUP BY d.doc_id),
+o AS (SELECT l.a AS doc_id, count(DISTINCT t.set_id) AS n_set_links FROM l JOIN t ON t.doc_id = l.b WHERE NOT same GROUP BY l.a),
+q AS (SELECT a AS doc_id, least(a, min(b)) AS class_id, count(DISTINCT b) AS class_size FROM r GROUP BY a)
+SELECT t.doc_id, coalesce(class_id, t.doc_id) AS class_id, coalesce(class_size, 1) AS class_size, CASE WHEN n.n IS NOT NULL THEN set_id END AS set_id, copies, n_links, coalesce(n_set_links, 0) AS n_set_links
+FROM t LEFT JOIN q ON q.doc_id = t.doc_id LEFT JOIN o ON o.doc_id = t.doc_id LEFT JOIN n ON n.doc_id = t.doc_id
 """,
     "op10_exact_top_k": """
 WITH v AS (
