@@ -9,7 +9,9 @@ enough for each of its characters is reported.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +24,8 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 #: A sensitive word, and what may follow it on its line before the candidate.
 CONTEXT = re.compile(r"(?:passphrase|passwd|password|pwd|secret|token|credential|api[_-]?key|private[_-]?key|access[_-]?key|bearer|authorization)", re.IGNORECASE | re.ASCII)
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=~-]{16,}")
+SHORTEST = 16
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=~-]{%d,}" % SHORTEST)
 REACH, AROUND = 64, 1024
 #: Bytes of novelty for each character. Random hexadecimal digits carry half a byte, base64 three quarters.
 NOVELTY = 0.5
@@ -54,18 +57,20 @@ def find(text: str) -> list[tuple[str, int, int]]:
     out = [("assign", *m.span()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
     out += [("access", *m.span()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 20]
     out += [("hex", *m.span()) for m in HEX.finditer(text)]
-    base, seen = out[:], 0
+    base = sorted((s, e) for _, s, e in out)
+    starts, reach = [s for s, _ in base], list(accumulate((e for _, e in base), max))  # the farthest end of all that start so far
+    seen = 0
     for c in CONTEXT.finditer(text):
-        low = max(seen, c.end())
-        line = text.find("\n", c.end(), c.end() + REACH)
-        for m in CANDIDATE.finditer(text, low, len(text)):
-            if m.start() > (c.end() + REACH if line < 0 else line):
-                break
-            seen = m.end()
-            word = m[0]
-            inside = any(s <= m.start() and m.end() <= e for _, s, e in base)
-            if not inside and any(x.isdigit() for x in word) and any(x.isalpha() for x in word) and novelty(text, *m.span()) >= NOVELTY:
-                out.append(("novel", *m.span()))
+        low, last = max(seen, c.end()), c.end() + REACH
+        line = text.find("\n", c.end(), last)
+        last = last if line < 0 else line
+        while low <= last and (near := CANDIDATE.search(text, low, last + SHORTEST)):
+            start, end = CANDIDATE.match(text, near.start()).span()
+            low = seen = end
+            word, k = text[start:end], bisect_right(starts, start)
+            inside = k > 0 and reach[k - 1] >= end
+            if not inside and any(x.isdigit() for x in word) and any(x.isalpha() for x in word) and novelty(text, start, end) >= NOVELTY:
+                out.append(("novel", start, end))
     return sorted(out, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
 
