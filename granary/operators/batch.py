@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from granary.functions.validate import validate
+from granary.operators import fetch
 from granary.operators import gate as gates
 from granary.operators import robots as rules
 from granary.operators import store as stores
@@ -63,7 +64,7 @@ def run(store: stores.Store, adapter: Adapter, urls: DataFrame, robots: DataFram
     spark = store.spark
     now = F.lit(spark.sql("select current_timestamp() as t").first()["t"]) if now is None else now
     canonical, raw = store.read("canonical_records"), store.read("raw_content")
-    rows = classify(urls, robots, stores.last_scraped(canonical, raw), answers, adapter, now, max_age_days, force)
+    rows = classify(urls, robots, stores.last_scraped(canonical, raw), fetch.sanitized(answers), adapter, now, max_age_days, force)
     batch = gated(rows, adapter, budget)
     path = f"{store.root}/batches/{trace_id}"
     batch.drop("record").write.mode("overwrite").parquet(path)

@@ -156,6 +156,18 @@ def test_product_response(spark):
     assert [tuple(r) for r in got] == [(*r[1:], "5") for r in rows]
 
 
+def test_payloads_are_sanitized(spark):
+    from granary.operators import fetch
+
+    rows = [("u1", '{"title": "T", "price": 1, "stock": 1, "description": "x\\nsystem: do"}', True), ("u2", "[1]", True), ("u3", None, False)]
+    got = {r.url: (r.payload, r.ok) for r in fetch.api_payloads(spark.createDataFrame(rows, "url string, body string, ok boolean"), adapters.adapter("dummyjson_com")).collect()}
+    assert '"description":"x\\n[neutralized-role-prefix]: do"' in got["u1"][0] and got["u1"][1] and got["u2"] == (None, False) and got["u3"] == (None, False)
+    same = spark.createDataFrame([("no json",), (None,), ('{"body_md":5}',)], "payload string")
+    assert [r.payload for r in fetch.sanitized(same).collect()] == ["no json", None, '{"body_md":5}']
+    with pytest.raises(ValueError, match="no response mapping"):
+        fetch.api_payloads(same, adapters.adapter("docs_python_org"))
+
+
 def test_files(spark, tmp_path):
     (tmp_path / "f").mkdir()
     (tmp_path / "f/01.expected.json").write_text("{}")
