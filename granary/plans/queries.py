@@ -413,3 +413,86 @@ def q_extract_docs(spark, d):
     p = table(spark, d, "pages").withColumnRenamed("html", "raw").withColumn("source_id", F.col("page_id").cast("string"))
     out = validate.validate(extract.local(p, "docs"), "docs")
     return out.select("page_id", F.size("errors").alias("n_errors"))
+
+
+@query("""SELECT c_custkey, 'https://dummyjson.com/products?limit=30&skip=' || (c_custkey * 30) AS url FROM customer""")
+def q_listing_urls(spark, d):
+    return table(spark, d, "customer").select("c_custkey", ids.listing_url(30, F.col("c_custkey") * 30).alias("url"))
+
+
+@query("""SELECT page_id, page_id % 6 IN (0, 1) AS is_article FROM pages""")
+def q_article_urls(spark, d):
+    k = F.col("page_id") % 6
+    tail = F.when(k == 0, "a-slug").when(k == 1, "slug/").when(k == 2, "").when(k == 3, "a/b").when(k == 4, "a?b").otherwise("a#b")
+    return table(spark, d, "pages").select("page_id", ids.is_article_url(F.concat(F.lit("https://x.y/news/"), tail), "https://x.y/news/").alias("is_article"))
+
+
+@query("""SELECT event_id, event_id % 4 <> 0 AS unsafe, CASE event_id % 4 WHEN 0 THEN 'a ' || event_type WHEN 1 THEN 'b' WHEN 2 THEN 'unparseable output: maybe' ELSE 'unparseable output: ' END AS reason FROM events""")
+def q_guard_verdicts(spark, d):
+    k = F.col("event_id") % 4
+    answer = F.when(k == 0, F.concat(F.lit("SAFE: a "), "event_type")).when(k == 1, " unsafe: b ").when(k == 2, "maybe")
+    v = text.verdict(answer)
+    return table(spark, d, "events").select("event_id", v["unsafe"].alias("unsafe"), v["reason"].alias("reason"))
+
+
+@query("""SELECT p_partkey, p_name AS term FROM part""")
+def q_term_prefix(spark, d):
+    k = F.col("p_partkey") % 3
+    return table(spark, d, "part").select("p_partkey", text.term(F.concat(F.when(k == 0, "Glossary: ").when(k == 1, "faq:  ").otherwise(""), "p_name")).alias("term"))
+
+
+@query("""SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'Ann Smith' END AS author FROM customer""")
+def q_author_byline(spark, d):
+    md = F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("# T\nBy  Ann Smith\n"), F.col("c_name"))).otherwise(F.concat(F.lit("by nobody, Byron "), F.col("c_name")))
+    return table(spark, d, "customer").select("c_custkey", text.byline(md).alias("author"))
+
+
+@query("""SELECT * FROM (VALUES ('developer_mozilla_org', 34, 34), ('docs_python_org', 27, 27), ('scrapethissite_com', 6, 6)) t(source, n, n_ids)""")
+def q_seed_urls(spark, d):
+    from functools import reduce
+
+    from granary.sources.adapters import ADAPTERS
+
+    listed = [a.ids(a.urls(spark)) for a in ADAPTERS.values() if a.seeds]
+    every = reduce(DataFrame.unionByName, listed)
+    return every.groupBy("source").agg(F.count("*").alias("n"), F.countDistinct("source_id").alias("n_ids"))
+
+
+@query("""SELECT c.event_id AS span_id, p.event_id AS root_id, p.event_type AS root_name FROM events c JOIN events p ON p.event_id = c.event_id - c.event_id % 10 AND p.event_id % 10 = 0 WHERE c.event_id % 10 > 0""")
+def q_span_children(spark, d):
+    from granary.sources import files
+
+    e = table(spark, d, "events")
+    spans = e.select(F.col("event_id").alias("span_id"), F.when(F.col("event_id") % 10 > 0, F.col("event_id") - F.col("event_id") % 10).alias("parent_id"), F.col("event_type").alias("name"))
+    return files.children(spans).select("span_id", "root_id", "root_name")
+
+
+@query("""SELECT o_orderkey FROM orders WHERE o_orderkey % 4 = 3""")
+def q_real_changes(spark, d):
+    k = F.col("o_orderkey") % 4
+    old = F.when(k == 0, '{"a": 1, "b": 2}').when(k == 1, '"x"').when(k == 2, "1.0").otherwise('"x"')
+    new = F.when(k == 0, '{"b":2,"a":1}').when(k == 1, '"x "').when(k == 2, "1").otherwise('"y"')
+    return reports.real_changes(table(spark, d, "orders").select("o_orderkey", old.alias("old_value"), new.alias("new_value"))).select("o_orderkey")
+
+
+@query("""SELECT event_id FROM events WHERE user_id = 7 AND ts >= (SELECT min(ts) FROM events) + INTERVAL 5 DAY""")
+def q_records_since(spark, d):
+    e = table(spark, d, "events").select("event_id", F.col("user_id").cast("string").alias("source"), F.col("ts").alias("valid_from"))
+    first = e.agg(F.min("valid_from")).first()[0]
+    import datetime as dt
+
+    return reports.records_since(e, "7", F.lit(first + dt.timedelta(days=5)).cast("timestamp_ntz")).select("event_id")
+
+
+@query("""SELECT doc_id AS id FROM documents WHERE doc_id % 3 = 0""")
+def q_fixture_drift(spark, d):
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), text.sha256(text.one_trailing_newline(F.col("text"))).alias("content_hash"))
+    known = docs.withColumn("content_hash", F.when(F.col("id") % 3 == 0, "other").otherwise(F.col("content_hash")))
+    return reports.drifted(docs, known)
+
+
+@query("""SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN 'anti-bot' WHEN 1 THEN 'redirect' WHEN 2 THEN 'adapter-bug' WHEN 3 THEN 'structure-drift' ELSE 'schema-too-strict' END AS diagnosis FROM documents""")
+def q_failure_diagnosis(spark, d):
+    k = F.col("doc_id") % 5
+    error = F.when(k == 0, "Are you a robot").when(k == 1, "page not found").when(k == 2, "source_id is required").when(k == 3, "title: is required").otherwise("currency: does not match")
+    return table(spark, d, "documents").select("doc_id", reports.diagnosis(error).alias("diagnosis"))
