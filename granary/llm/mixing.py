@@ -16,7 +16,7 @@ from pyspark.sql import window as W
 from granary.llm.common import WORD, Scratch
 
 #: Rows of a source that are summed together, and queued documents in a range of the global sort.
-SUMMED_TOGETHER, SORTED_TOGETHER = 50_000, 100_000
+SUMMED_TOGETHER, SORTED_TOGETHER = 10_000, 100_000
 HASH_BITS = 60
 
 
