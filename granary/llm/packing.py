@@ -22,7 +22,7 @@ from pyspark.sql import window as W
 from granary.llm.common import Scratch, small_batches
 
 #: Rows that are ranked together, so that a length that a third of all pieces have is ranked in many tasks.
-RANKED_TOGETHER = 50_000
+RANKED_TOGETHER = 10_000
 #: Encoded words that a Python worker remembers at most; then it starts anew.
 REMEMBERED = 600_000
 
