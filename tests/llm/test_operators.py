@@ -209,6 +209,20 @@ def test_quality_bands_reject_noise(spark):
     assert {r.doc_id for r in quality.quality(df).collect() if not r.kept and not r.base_failed} == {60}
 
 
+def test_quality_bands_follow_the_spread(spark):
+    rng = random.Random(8)
+    word = lambda: rng.choice("the of and a to in is was for on that with as it at by from are this be".split()) + rng.choice(["", "s", "ing", "ed"])
+    prose = [" ".join(word() for _ in range(200)) for _ in range(80)]
+    mixed = " ".join("".join(rng.choice("qxzjkvwy") for _ in range(5)) if k % 8 == 0 else word() for k in range(200))
+    easy = " ".join(rng.choice("the of and to in is was for that with as it at by from this be".split()) + "ing" for _ in range(200))
+    rows = {r.doc_id: r for r in quality.quality(spark.createDataFrame([*((i, t, "en") for i, t in enumerate(prose)), (80, mixed, "en"), (81, easy, "en")], "doc_id long, text string, lang string")).collect()}
+    middle = np.median([r.log_perplexity for r in rows.values()])
+    assert all(abs(rows[i].log_perplexity - middle) < 1 and not rows[i].base_failed and not rows[i].kept for i in (80, 81))
+    assert sum(rows[i].kept for i in range(80)) >= 78
+    same = quality.quality(spark.createDataFrame([(i, prose[0], "en") for i in range(5)], "doc_id long, text string, lang string"))
+    assert all(r.kept or r.base_failed for r in same.collect())
+
+
 def plain_kneser_ney(texts, order, symbols):
     """A dictionary-based modified Kneser-Ney, for comparison."""
     grams = [collections.Counter() for _ in range(order + 1)]
