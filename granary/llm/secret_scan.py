@@ -3,7 +3,7 @@
 Zstandard, primed with a dictionary of code and identifiers, compresses what surrounds a candidate, and
 then the same with the candidate. The difference is what the candidate adds. Names, paths, words and
 repetitions add little; keys add nearly all of their entropy. A candidate in a sensitive context that adds
-enough for each of its characters is reported.
+enough for each of its characters is reported, at each place where it stands in the text.
 """
 
 from __future__ import annotations
@@ -42,14 +42,20 @@ _ZSTD: list = []
 
 
 def novelty(text: str, start: int, end: int) -> float:
-    """Bytes for each character that text[start:end] adds to its surroundings under the primed compressor."""
+    """Bytes for each character that text[start:end] adds to its surroundings under the primed compressor. Other copies
+    of it do not count as surroundings: a key that stands twice is as new as one that stands once."""
     import zstandard
 
     if not _ZSTD:
         primed = zstandard.ZstdCompressionDict(DICTIONARY, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         _ZSTD.append(zstandard.ZstdCompressor(level=9, dict_data=primed, write_content_size=False))
-    around = (text[max(0, start - AROUND) : start] + text[end : end + AROUND]).encode()
-    return (len(_ZSTD[0].compress(around + text[start:end].encode())) - len(_ZSTD[0].compress(around))) / (end - start)
+    word = text[start:end]
+    before, after = text[max(0, start - AROUND - len(word)) : start], text[end : end + AROUND + len(word)]  # no copy is cut
+    for copy in {word, word.partition("=")[2]}:
+        if len(copy) >= SHORTEST:
+            before, after = before.replace(copy, " "), after.replace(copy, " ")
+    around = (before[-AROUND:] + after[:AROUND]).encode()
+    return (len(_ZSTD[0].compress(around + word.encode())) - len(_ZSTD[0].compress(around))) / (end - start)
 
 
 def find(text: str) -> list[tuple[str, int, int]]:
@@ -59,7 +65,8 @@ def find(text: str) -> list[tuple[str, int, int]]:
     out += [("hex", *m.span()) for m in HEX.finditer(text)]
     base = sorted((s, e) for _, s, e in out)
     starts, reach = [s for s, _ in base], list(accumulate((e for _, e in base), max))  # the farthest end of all that start so far
-    seen = 0
+    inside = lambda start, end: (k := bisect_right(starts, start)) > 0 and reach[k - 1] >= end
+    seen, novel = 0, set()
     for c in CONTEXT.finditer(text):
         low, last = max(seen, c.end()), c.end() + REACH
         line = text.find("\n", c.end(), last)
@@ -67,10 +74,14 @@ def find(text: str) -> list[tuple[str, int, int]]:
         while low <= last and (near := CANDIDATE.search(text, low, last + SHORTEST)):
             start, end = CANDIDATE.match(text, near.start()).span()
             low = seen = end
-            word, k = text[start:end], bisect_right(starts, start)
-            inside = k > 0 and reach[k - 1] >= end
-            if not inside and any(x.isdigit() for x in word) and any(x.isalpha() for x in word) and novelty(text, start, end) >= NOVELTY:
-                out.append(("novel", start, end))
+            word = text[start:end]
+            if word not in novel and not inside(start, end) and any(x.isdigit() for x in word) and any(x.isalpha() for x in word) and novelty(text, start, end) >= NOVELTY:
+                novel.add(word)
+    for m in CANDIDATE.finditer(text) if novel else ():  # wherever it stands, also as the value of a name
+        value = m[0].partition("=")[2]
+        start, end = (m.start(), m.end()) if m[0] in novel else (m.end() - len(value), m.end()) if value in novel else (0, 0)
+        if end and not inside(start, end):
+            out.append(("novel", start, end))
     return sorted(out, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
 

@@ -279,6 +279,19 @@ def test_secrets(spark, untidy):
     assert clean.where("text is null").count() == 1 and secret_scan.redact(untidy.limit(0)).count() == 0
 
 
+def test_repeated_secrets():
+    rng = random.Random(11)
+    for letters, n in (("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 40), ("0123456789ABCDEF", 32), ("abcdefghijklmnopqrstuvwxyz0123456789", 20)):
+        for gap in (0, 10, 300, 1100):
+            key = "1" + "".join(rng.choice(letters) for _ in range(n - 2)) + "A"
+            filler = (" ".join(words(rng, 300)) + " ")[:gap]
+            for times in (1, 2, 3):
+                text = "".join(f"Authorization: Bearer {key} {filler}\n" for _ in range(times))
+                assert [text[a:b] for k, a, b in secret_scan.find(text) if k == "novel"] == [key] * times
+            text = f"Bearer {key} {filler} x={key} and {key}"
+            assert [text[a:b].removeprefix("x=") for k, a, b in secret_scan.find(text) if k == "novel"] == [key] * 3
+
+
 def test_licenses(spark, untidy):
     rng = random.Random(8)
     rows = []
