@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary.llm import jaccard_join, license_scan, mixing, packing, quality, secret_scan, sharding, substring_dedup, token_counts, topk_search
-from granary.llm.common import documents
+from granary.llm.common import Scratch, documents
 
 PIECE_MODEL, WORD_TOKENIZER = "piece_bpe_32k.model", "word_bpe_49k.json"
 
@@ -54,10 +54,12 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_two_pass_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = F.coalesce("text", F.lit(""))
-    rows = documents(spark, sf_dir).select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
-    out = sharding.two_pass_shuffle(rows, ["doc_id", "size", "text_crc32"], 8)
-    return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    docs, text = documents(spark, sf_dir), F.coalesce("text", F.lit(""))
+    out = sharding.two_pass_shuffle(docs, ["doc_id", "text"], 8, row_bytes=64 + F.octet_length(text))
+    path = f"{Scratch(spark).root}/shards"
+    sharding.write_shards(out, path)
+    out = spark.read.schema(out.schema).parquet(path)
+    return out.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,14 +30,15 @@ def two_pass_shuffle(df: DataFrame, key: list[str], n_shards: int = 8, row_bytes
     total = df.agg(F.sum(weigh).alias("bytes"), F.count("*").alias("n")).first()
     n = int(total["n"])
     n_buckets = max(1, math.ceil((total["bytes"] or 0) / bucket_bytes))
+    rest = [c for c in df.columns if c not in key]  # a record holds each column once
     tie = F.xxhash64(*key, F.lit(seed))
-    scattered = df.select(F.struct(tie.alias("_tie"), *[F.col(c) for c in key], F.struct(*df.columns).alias("_row")).alias("_record"), F.pmod(F.xxhash64(tie, F.lit(seed + 1)), F.lit(n_buckets)).alias("_bucket"))
+    scattered = df.select(F.struct(tie.alias("_tie"), *[F.col(c).alias(f"_key{k}") for k, c in enumerate(key)], F.struct(*rest, F.lit(0).alias("_")).alias("_row")).alias("_record"), F.pmod(F.xxhash64(tie, F.lit(seed + 1)), F.lit(n_buckets)).alias("_bucket"))
     buckets = scattered.repartition(n_buckets, "_bucket").groupBy("_bucket").agg(F.collect_list("_record").alias("_records"))
     # shuffle() draws from one generator a partition: with its buckets in order, they get the same draws again
     buckets = buckets.withColumn("_records", F.array_sort("_records")).sortWithinPartitions("_bucket").select("_bucket", F.shuffle("_records", seed).alias("_records"))
     before = scattered.groupBy("_bucket").agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(W.Window.orderBy("_bucket").rowsBetween(W.Window.unboundedPreceding, -1)), F.lit(0)))
     placed = buckets.join(before.select("_bucket", "_before"), "_bucket").select("_before", F.posexplode("_records").alias("_i", "_record"))
-    placed = placed.select("_record._row.*", (F.col("_before") + F.col("_i")).cast("long").alias("_place"))
+    placed = placed.select(*[F.col(f"_record._key{key.index(c)}" if c in key else f"_record._row.`{c}`").alias(c) for c in df.columns], (F.col("_before") + F.col("_i")).cast("long").alias("_place"))
     small, large = divmod(n, n_shards)[0], divmod(n, n_shards)[1]  # the first `large` shards have one row more
     edge = large * (small + 1)
     shard = F.when(F.col("_place") < edge, F.expr(f"_place div {small + 1}")).otherwise(large + F.expr(f"(_place - {edge}) div {max(small, 1)}")).cast("int")

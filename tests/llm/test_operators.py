@@ -401,6 +401,20 @@ def test_shards_are_uniform_and_written(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "s")).count() == 4000
 
 
+def test_shards_query_moves_whole_records(spark, untidy, tmp_path, monkeypatch):
+    from granary.llm import queries
+
+    untidy.write.parquet(str(tmp_path / "documents.parquet"))
+    written, write = [], sharding.write_shards
+    monkeypatch.setattr(sharding, "write_shards", lambda df, path: (written.append(path), write(df, path)))
+    monkeypatch.setattr(sharding.two_pass_shuffle, "__defaults__", (8, None, 40_000, 29))  # several buckets
+    out = queries.op9_two_pass_shards(spark, str(tmp_path)).collect()
+    show = lambda rows: sorted(rows, key=str)
+    assert show((r.doc_id, r.text, r.lang, r.source, r.n_chars) for r in spark.read.parquet(written[0]).collect()) == show((r.doc_id, r.text, r.lang, r.source, r.n_chars) for r in untidy.collect())
+    assert show((r.doc_id, r.size, r.text_crc32) for r in out) == show((r.doc_id, len((r.text or "").encode()) + 1, zlib.crc32((r.text or "").encode())) for r in untidy.collect())
+    assert sorted((r.shard, r.slot) for r in out) == [(s, k) for s in range(8) for k in range(sum(r.shard == s for r in out))]
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(3)
     v = rng.normal(0, 0.2, (300, 16)).astype(np.float32)
