@@ -49,7 +49,9 @@ def search_block(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, qu
         unread_top, unread_bottom = (~top).astype(kind), (~bottom).astype(kind)
         upper = read + unread_top @ (a * sorted_v[n - t]).T + unread_bottom @ (b * sorted_v[t - 1]).T
         lower = read + unread_top @ (a * worst_up).T + unread_bottom @ (b * worst_down).T if t < n else read
-        kk = min(n, k + 1)  # one more, for the query's own row
+        own = ids[:, None] == query_ids[open_q]  # a query's id may have any number of rows; none is a candidate
+        lower, upper = np.where(own, -np.inf, lower), np.where(own, -np.inf, upper)
+        kk = min(n, k)
         least = np.partition(lower, n - kk, axis=0)[n - kk]
         alive = upper >= least
         count = alive.sum(0)

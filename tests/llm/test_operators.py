@@ -431,6 +431,22 @@ def test_top_k(spark):
     assert set(got) == set(range(0, 300, 20)) and topk_search.top_k(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_top_k_of_repeated_query_ids(spark):
+    rng = np.random.default_rng(6)
+    v = np.floor(rng.normal(0, 12, (3000, 64))).astype(np.int64)
+    v[1:6] = v[0]
+    ids = np.concatenate([[7] * 6, np.arange(100, 3094)])
+    for n in (3000, 20, 10):
+        q, c, s = topk_search.search_block(ids[:n], v[:n], np.array([7, 100]), v[[0, 6]], 20)
+        for i, own in ((7, v[0]), (100, v[6])):
+            best = sorted((-int(own @ v[j]), ids[j]) for j in range(n) if ids[j] != i)[:20]
+            assert [(int(-y), x) for x, y in zip(c[q == i], s[q == i])] == best
+    df = spark.createDataFrame([(int(i), [float(x) / 64 for x in e]) for i, e in zip(ids[:300], v)], "vec_id long, embedding array<float>")
+    got = [(r.rank, r.vec_id, r.score) for r in topk_search.top_k(df, F.col("vec_id") == 7, 20).orderBy("rank").collect()]
+    best = sorted((-int(v[0] @ v[j]), int(ids[j])) for j in range(6, 300))[:20]
+    assert got == [(k + 1, i, -s) for k, (s, i) in enumerate(best)]
+
+
 def test_top_k_stops_early_and_is_exact():
     rng = np.random.default_rng(4)
     base = np.floor(rng.normal(0, 8, (40, 32))).astype(np.int64)
