@@ -74,6 +74,37 @@ def texts(batch, column: int = 1) -> Iterator[bytes]:
         yield x or b""
 
 
+def text_bytes(column) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of a column's texts, one after another, and where each begins and the last ends; null is empty."""
+    import pyarrow as pa
+
+    if column.null_count:
+        column = column.fill_null("")
+    column = column.cast(pa.large_binary())
+    edges = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, 8 * column.offset) if len(column) else np.zeros(1, np.int64)
+    data = column.buffers()[2]
+    values = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return values[edges[0] : edges[-1]], edges - edges[0]
+
+
+def gathered(batches: Iterator, size: int) -> Iterator:
+    """The batches brought together until they have about `size` bytes."""
+    import pyarrow as pa
+
+    def whole(held):
+        return held[0] if len(held) == 1 else pa.concat_batches(held)
+
+    held, n = [], 0
+    for batch in batches:
+        if held and n + batch.nbytes > size:
+            yield whole(held)
+            held, n = [], 0
+        held.append(batch)
+        n += batch.nbytes
+    if held:
+        yield whole(held)
+
+
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 

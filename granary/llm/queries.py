@@ -25,7 +25,7 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(documents(spark, sf_dir), tokenizer(WORD_TOKENIZER)).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    return packing.pack(documents(spark, sf_dir), tokenizer(WORD_TOKENIZER), with_ids=False).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -94,6 +94,30 @@ def test_packing(untidy, texts):
     assert packing.pack(untidy.limit(0), public_tokenizers.path(WORD_TOKENIZER)).count() == 0
 
 
+def test_encoder_is_the_library():
+    """Random texts of letters, marks, accents, contractions and special tokens, alone and after one another; small memory."""
+    import pyarrow as pa
+
+    from granary.llm.common import text_bytes
+
+    e = packing.Encoder(public_tokenizers.path(WORD_TOKENIZER))
+    assert e.by_part
+    rng = random.Random(12)
+    alphabet = [*"abAB  \n\t.,;:!?'\"1é\u0301ßÀΣ日😀\x1c\xa0-s'sll<|>", "<|endoftext|>", "'s", "'LL", "w" * 30]
+    docs = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(0, 40))) for _ in range(4000)] + [None, "", "a b " * 600_000]
+    want = [list(x.ids) for x in e.t.encode_batch_fast([x or "" for x in docs], add_special_tokens=False)]
+    for remembered in (packing.REMEMBERED, 100):
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(packing, "REMEMBERED", remembered)
+            m.setattr(packing, "SHIFT", 64 - (2 * remembered).bit_length() + 1)
+            e.words.clear()
+            got = []
+            for ids, counts in e.encode(*text_bytes(pa.array(docs))):
+                got += [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
+            assert got == want
+        e.words.clear()
+
+
 def best_possible(sizes, capacity):
     """The least number of sequences, by exhaustive search."""
     best = len(sizes)
