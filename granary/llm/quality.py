@@ -1,102 +1,183 @@
-"""Quality rules: word rules, and perplexity bands of a character n-gram model.
-
-The model has modified Kneser-Ney smoothing. Characters are hashed to 32 symbols (5 bits), so the hash of a
-4-gram has 20 bits and a model at most 2**20 entries, whatever the corpus. Spark counts the 4-grams of all
-documents; the lower orders' continuation counts follow from them. A language that has at least 1/16 of the
-documents has a model and bands of its own, the others share one: at most 17 models. A model is kept as
-arrays sorted by hash. Both bands are the median log perplexity of the language's documents plus or minus a
-multiple of their median absolute deviation.
+"""Quality rules: word rules, and perplexity bands of a character n-gram model per language.
+
+A 4-gram of characters (16 bits each: code points as they are, lower case; what lies beyond U+FFFF shares 2,048 codes) is
+one 64-bit number, whose upper bits are its context and whose lower bits its suffix. Spark counts the
+4-grams of all documents, halved by a hash of the text, and works out modified Kneser-Ney probabilities order by order with
+aggregations and joins, for each half by itself: each text is scored by the model of the other half, so that no text is
+scored by what it taught. The model has as many rows as the corpus has distinct 4-grams. Tasks that score look
+4-grams up in arrays sorted by number; a model beyond MODEL_ROWS is joined instead of sent to them.
+
+Both bands are the median log perplexity of the language's documents that pass the word rules, plus or minus
+a multiple of their median absolute deviation.
 """
 
 from __future__ import annotations
 
-import math
-import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import window as W
 
 from granary.llm.common import Scratch, shingle_hashes, small_batches, texts, word_hashes, word_spans
 
-ORDER, BITS = 4, 5
-SYMBOLS = 1 << BITS
-SPACE, DIGIT, POINT, SIGN, OTHER = 0, 27, 28, 29, 30
-LEAST_SHARE = 16
+ORDER, BITS = 4, 16
 #: Widths of the bands in median absolute deviations, and the bins of log perplexities, whose width a band has at
 #: least. On half of the labelled documents, the narrowest whole widths that each lose at most 1.5 % of the good ones.
-BAND_LOW, BAND_HIGH, BIN = 4.0, 5.0, 0.001
-
-
-def symbol(cp: int) -> int:
-    """White space, 26 classes of letters (accents dropped; other scripts hashed into them), digits, marks, signs."""
-    c = chr(cp).lower()[0]
-    if c.isspace() or cp < 32:
-        return SPACE
-    c = unicodedata.normalize("NFD", c)[0]
-    if "a" <= c <= "z":
-        return ord(c) - 96
-    kind = unicodedata.category(c)[0]
-    return 1 + ord(c) * 40503 % 65536 * 26 // 65536 if kind == "L" else {"N": DIGIT, "P": POINT, "S": SIGN}.get(kind, OTHER)
-
+BAND_LOW, BAND_HIGH, BIN = 5.0, 6.0, 0.001
+#: A language with fewer documents that pass the word rules has no bands: a median of so few says nothing.
+LEAST_DOCUMENTS = 20
+#: A model of more 4-grams (24 bytes each) is not sent to the tasks.
+MODEL_ROWS = 1 << 22
+#: 4-grams that a counting task holds at most, before and after they are counted.
+PENDING, HELD = 1 << 22, 1 << 21
 
 _TABLE: list[np.ndarray] = []
 
 
 def symbols(text: bytes) -> np.ndarray:
+    """A 16-bit code of each character: lower case, white space and controls as a space, digits as 0."""
     if not _TABLE:
-        _TABLE.append(np.array([SPACE if 0xD800 <= i < 0xE000 else symbol(i) for i in range(1 << 16)], np.uint32))
+        table = np.arange(1 << 16, dtype=np.uint64)
+        for i in range(1 << 16):
+            c = chr(i)
+            if 0xD800 <= i < 0xE000:
+                continue
+            table[i] = 32 if i < 32 or c.isspace() else 48 if c.isdecimal() else min(ord(c.lower()[0]), 0xFFFF)
+        _TABLE.append(table)
     cp = np.frombuffer(text.decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
-    return _TABLE[0][np.minimum(cp, 0xFFFF)] if len(cp) and cp.max() > 0xFFFF else _TABLE[0][cp]
+    if len(cp) and cp.max() > 0xFFFF:
+        cp = np.where(cp > 0xFFFF, 0xD800 + cp % 2048, cp)
+    return _TABLE[0][cp]
 
 
-def ngram_hashes(text: bytes) -> np.ndarray:
+def ngrams(text: bytes) -> np.ndarray:
     """The 4-gram that ends at each character; spaces come before the text."""
-    s = np.concatenate([np.zeros(ORDER - 1, np.uint32), symbols(text)])
+    s = np.concatenate([np.full(ORDER - 1, 32, np.uint64), symbols(text)])
     n = len(s) - ORDER + 1
     out = s[:n].copy()
     for k in range(1, ORDER):
-        out <<= np.uint32(BITS)
+        out <<= np.uint64(BITS)
         out |= s[k : k + n]
     return out
 
 
-def train(counts: np.ndarray) -> list[tuple[np.ndarray, ...]]:
-    """The model of each order from 1 on: the sorted hashes of its n-grams, their log probabilities, the sorted
-    hashes of their contexts, and the logs of the weight that each context leaves to the lower order.
+def half(text: bytes) -> int:
+    """Which half of the corpus a text is in; equal texts are in the same."""
+    import xxhash
+
+    return xxhash.xxh3_64_intdigest(text) & 1
+
+
+def language(lang: Column) -> Column:
+    """A language's key: null is a language, too, and not the same as an empty one."""
+    return F.coalesce(F.concat(F.lit("="), lang.cast("string")), F.lit(""))
+
+
+def count_ngrams(df: DataFrame, text_col: str, lang_col: str) -> DataFrame:
+    """lang (its key), gram, n0, n1: how often each half has it. Each task counts its own before the shuffle."""
+    small_batches(df.sparkSession)
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        pending: dict[tuple[str, int], list[np.ndarray]] = {}
+        counts: dict[tuple[str, int], tuple[np.ndarray, np.ndarray]] = {}
+        waiting = 0
 
-    counts: of each 4-gram; one that was counted once is left out, for it would tell the text that holds it from itself. A lower order counts by how many symbols its n-grams are preceded. Each has three
-    discounts, for n-grams seen once, twice and more often, from its counts of counts.
+        def settle() -> None:
+            for key, parts in pending.items():
+                grams, n = np.unique(np.concatenate(parts), return_counts=True)
+                if key in counts:
+                    both, at = np.unique(np.concatenate([counts[key][0], grams]), return_inverse=True)
+                    grams, n = both, np.bincount(at, np.concatenate([counts[key][1], n])).astype(np.int64)
+                counts[key] = grams, n
+            pending.clear()
+
+        def out() -> Iterator:
+            for (lang, side), (grams, n) in counts.items():
+                yield pa.RecordBatch.from_arrays([pa.array([lang], pa.string()).take(pa.array(np.zeros(len(grams), np.int32))), pa.array(np.full(len(grams), side), pa.int32()), pa.array(grams.view(np.int64)), pa.array(n.astype(np.int64))], ["lang", "side", "gram", "n"])
+            counts.clear()
+
+        for batch in batches:
+            for lang, text in zip(batch.column(0).to_pylist(), texts(batch)):
+                if text:
+                    own = ngrams(text)
+                    pending.setdefault((lang, half(text)), []).append(own)
+                    waiting += len(own)
+                    if waiting > PENDING:
+                        settle()
+                        waiting = 0
+                        if sum(len(g) for g, _ in counts.values()) > HELD:
+                            yield from out()
+        settle()
+        yield from out()
+
+    found = df.select(language(df[lang_col]), df[text_col]).mapInArrow(run, "lang string, side int, gram long, n long")
+    of = lambda k: F.sum(F.when(F.col("side") == k, F.col("n")).otherwise(0))
+    return found.groupBy("lang", "gram").agg(of(0).alias("n0"), of(1).alias("n1"))
+
+
+def discounts(level: DataFrame) -> DataFrame:
+    """lang, and for each half the three discounts, for n-grams counted once, twice and more often, from the counts of counts."""
+    times = [F.count_if(F.col(f"n{h}") == k).cast("double").alias(f"t{h}{k}") for h in (0, 1) for k in (1, 2, 3, 4)]
+    out = level.groupBy("lang").agg(*times)
+    made = []
+    for h in (0, 1):
+        t = {k: F.col(f"t{h}{k}") for k in (1, 2, 3, 4)}
+        y = F.when(t[1] > 0, F.try_divide(t[1], t[1] + 2 * t[2])).otherwise(0.5)
+        made += [F.when(t[k] > 0, F.least(F.greatest(k - (k + 1) * y * F.try_divide(t[k + 1], t[k]), F.lit(0.05)), F.lit(float(k)))).otherwise(0.5 * k).alias(f"d{h}{k}") for k in (1, 2, 3)]
+    return out.select("lang", *made)
+
+
+def suffix(gram: Column, n: int) -> Column:
+    """The last n characters of an n-gram."""
+    return gram.bitwiseAND(F.lit((1 << BITS * n) - 1))
+
+
+def train(counts: DataFrame) -> DataFrame:
+    """lang, gram, p0, p1: the natural log of each 4-gram's probability under the model of each half, seen there or not.
+
+    The highest order counts occurrences, the lower ones the characters that precede. The lowest interpolates with
+    equal probabilities of all characters of the language.
     """
-    levels = [np.where(counts > 1, counts, 0).reshape((SYMBOLS,) * ORDER).astype(np.float64)]
-    while levels[-1].ndim > 1:
-        levels.append((levels[-1] > 0).sum(0).astype(np.float64))
-    lower, model = np.full(SYMBOLS, 1.0 / SYMBOLS), []
-    for c in levels[::-1]:
-        n1, n2, n3, n4 = (float((c == k).sum()) for k in (1, 2, 3, 4))
-        y = n1 / (n1 + 2 * n2) if n1 else 0.5
-        discounts = [min(max(k - (k + 1) * y * b / a, 0.05), k) if a else 0.5 * k for k, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
-        less = np.select([c == 0, c == 1, c == 2], [0.0, *discounts[:2]], discounts[2])
-        total = c.sum(-1, keepdims=True)
-        known = np.maximum(total, 1)
-        rest = np.where(total > 0, less.sum(-1, keepdims=True) / known, 1.0)
-        p = (c - less) / known + rest * lower
-        seen, contexts = np.flatnonzero(c), np.flatnonzero(total)
-        model.append((seen.astype(np.uint32), np.log(p.reshape(-1)[seen]).astype(np.float32), contexts.astype(np.uint32), np.log(rest.reshape(-1)[contexts]).astype(np.float32)))
-        lower = p
-    return model
-
-
-def expand(model: list[tuple[np.ndarray, ...]]) -> np.ndarray:
-    """The log probability of every 4-gram, seen or not, by its hash: the sorted arrays spread out, for speed."""
-    out = np.full(SYMBOLS, -math.log(SYMBOLS), np.float32)
-    for n, (seen, logs, contexts, weights) in enumerate(model):
-        weight = np.zeros(SYMBOLS**n, np.float32)
-        weight[contexts] = weights
-        out = np.repeat(weight, SYMBOLS) + (np.tile(out, SYMBOLS) if n else out)
-        out[seen] = logs
-    return out
+    levels = {ORDER: counts}
+    for n in range(ORDER - 1, 0, -1):
+        up = levels[n + 1]
+        levels[n] = up.groupBy("lang", suffix(F.col("gram"), n).alias("gram")).agg(F.count_if(F.col("n0") > 0).alias("n0"), F.count_if(F.col("n1") > 0).alias("n1"))
+    lower = levels[1].groupBy("lang").agg((1.0 / F.count("*")).alias("q0")).select("lang", F.lit(0).cast("long").alias("low"), "q0", F.col("q0").alias("q1"))
+    for n in range(1, ORDER + 1):
+        context = F.shiftrightunsigned("gram", BITS) if n > 1 else F.lit(0).cast("long")
+        same = W.Window.partitionBy("lang", "context")
+        rows = levels[n].join(discounts(levels[n]), "lang").withColumn("context", context)
+        for h in (0, 1):
+            c = F.col(f"n{h}")
+            rows = rows.withColumn(f"d{h}", F.when(c == 0, 0.0).when(c == 1, F.col(f"d{h}1")).when(c == 2, F.col(f"d{h}2")).otherwise(F.col(f"d{h}3")))
+        rows = rows.select("lang", "gram", (suffix(F.col("gram"), n - 1) if n > 1 else F.lit(0).cast("long")).alias("low"), *[x for h in (0, 1) for x in (f"n{h}", f"d{h}", F.sum(f"n{h}").over(same).alias(f"all{h}"), F.sum(f"d{h}").over(same).alias(f"rest{h}"))])
+        rows = rows.join(lower, ["lang", "low"])
+        p = lambda h: F.when(F.col(f"all{h}") > 0, (F.col(f"n{h}") - F.col(f"d{h}") + F.col(f"rest{h}") * F.col(f"q{h}")) / F.col(f"all{h}")).otherwise(F.col(f"q{h}"))
+        lower = rows.select("lang", F.col("gram").alias("low"), p(0).alias("q0"), p(1).alias("q1"))
+    return lower.select("lang", F.col("low").alias("gram"), F.log("q0").cast("float").alias("p0"), F.log("q1").cast("float").alias("p1"))
+
+
+class Model:
+    """A model as arrays sorted by 4-gram, one for each language, with the log probabilities under each half."""
+
+    def __init__(self, table):
+        langs, grams = table.column("lang").to_pandas(), table.column("gram").to_numpy().view(np.uint64)
+        logs = np.stack([table.column("p0").to_numpy(), table.column("p1").to_numpy()])
+        self.arrays = {}
+        for lang, rows in langs.groupby(langs).indices.items():
+            order = rows[np.argsort(grams[rows], kind="stable")]
+            self.arrays[lang] = grams[order], logs[:, order]
+
+    def log_perplexity(self, text: bytes, lang: str) -> float | None:
+        """The mean negative log probability of a text's characters under the other half's model; none of an empty text."""
+        if not text:
+            return None
+        grams, logs = self.arrays[lang]
+        return -float(logs[1 - half(text)][np.searchsorted(grams, ngrams(text))].mean(dtype=np.float64))
 
 
 def word_rules(text: bytes) -> tuple[int, int, int, int, int]:
@@ -122,133 +203,117 @@ def fails(n_words: int, n_repeat_words: int) -> bool:
     return n_words < 50 or 100 * n_repeat_words > 50 * n_words
 
 
-class Rules:
-    """The rules as fitted to a corpus: a model and a pair of bands for each group of languages."""
-
-    def __init__(self, majors: list[str], models: dict[int, list], bands: dict[int, tuple[float, float]]):
-        self.majors, self.models, self.bands = majors, models, bands
-        self.tables: dict[int, np.ndarray] = {}
+KINDS = {"n_words": "long", "word_chars": "long", "n_symbols": "long", "n_dup_lines": "long", "n_repeat_words": "long", "base_failed": "boolean", "lang_key": "string", "log_perplexity": "double"}
 
-    def group(self, lang: str | None) -> int:
-        return self.majors.index(lang) if lang in self.majors else -1
-
-    def perplexity(self, text: bytes, group: int) -> float | None:
-        """The mean negative log probability of a text's characters; none of an empty text."""
-        if not text or group not in self.models:
-            return None
-        if group not in self.tables:
-            self.tables[group] = expand(self.models[group])
-        return -float(self.tables[group][ngram_hashes(text)].mean(dtype=np.float64))
 
-    def inside(self, group: int, value: float | None) -> bool:
-        low, high = self.bands.get(group, (-math.inf, math.inf))
-        return value is not None and low <= value <= high
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that df has not, in any case."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name = "_" + name
+    return name
 
 
-def count_ngrams(df: DataFrame, majors: list[str], text_col: str, lang_col: str) -> DataFrame:
-    """group, hash, n over all documents: each task sums its own before the shuffle."""
+def measure(df: DataFrame, model: DataFrame, at: str, text_col: str, lang_col: str, scratch: Scratch) -> DataFrame:
+    """df with a struct `at` of KINDS."""
     small_batches(df.sparkSession)
+    sent = None
+    if model.count() <= MODEL_ROWS:
+        sent = df.sparkSession.sparkContext.broadcast(Model(model.toArrow()))
+    where = len(df.columns)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        rules, counts = Rules(majors, {}, {}), {}
+        kinds = [pa.int64()] * 5 + [pa.bool_(), pa.string(), pa.float64()]
         for batch in batches:
-            pending: dict[int, list[np.ndarray]] = {}
-            for lang, text in zip(batch.column(0).to_pylist(), texts(batch)):
-                if text:
-                    pending.setdefault(rules.group(lang), []).append(ngram_hashes(text))
-            for g, parts in pending.items():
-                counts[g] = counts.get(g, 0) + np.bincount(np.concatenate(parts), minlength=SYMBOLS**ORDER)
-        for g, c in counts.items():
-            seen = np.flatnonzero(c)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(seen), g), pa.int32()), pa.array(seen, pa.int32()), pa.array(c[seen], pa.int64())], ["group", "hash", "n"])
+            rows = []
+            for lang, text in zip(batch.column(where).to_pylist(), texts(batch, where + 1)):
+                rule = word_rules(text)
+                rows.append((*rule, fails(rule[0], rule[4]), lang, sent.value.log_perplexity(text, lang) if sent else None))
+            cols = list(zip(*rows)) or [()] * len(kinds)
+            found = pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], list(KINDS))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:where], found], [*batch.schema.names[:where], at])
 
-    return df.select(df[lang_col], df[text_col]).mapInArrow(run, "group int, hash int, n long").groupBy("group", "hash").agg(F.sum("n").alias("n"))
+    struct = "struct<" + ", ".join(f"{n}: {k}" for n, k in KINDS.items()) + ">"
+    schema = df.limit(0).withColumn(at, F.lit(None).cast(struct)).schema
+    text = F.col(text_col)
+    out = df.select("*", language(F.col(lang_col)), text).mapInArrow(run, schema)
+    return out if sent else joined(out, model, at, text_col, lang_col)
 
 
-def measure(df: DataFrame, rules: Rules, id_col: str, text_col: str, lang_col: str) -> DataFrame:
-    small_batches(df.sparkSession)
-    shared = df.sparkSession.sparkContext.broadcast(rules)  # at most 17 models of 2**20 entries
+def joined(measured: DataFrame, model: DataFrame, at: str, text_col: str, lang_col: str) -> DataFrame:
+    """measured with its log perplexities by joins, for a model of any size: each distinct text's 4-grams meet their
+    probabilities, and their sums meet the texts again by a 128-bit hash."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        rules = shared.value
-        names = ["id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "lang_group", "log_perplexity"]
-        kinds = [pa.int64()] * 5 + [pa.bool_(), pa.int32(), pa.float64()]
         for batch in batches:
-            rows = []
-            for lang, text in zip(batch.column(2).to_pylist(), texts(batch)):
-                rule, g = word_rules(text), rules.group(lang)
-                rows.append((*rule, fails(rule[0], rule[4]), g, rules.perplexity(text, g)))
-            cols = list(zip(*rows)) or [()] * len(kinds)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds))], names)
-
-    kind = df.schema[id_col].dataType.simpleString()
-    return df.select(df[id_col], df[text_col], df[lang_col]).mapInArrow(run, f"id {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, lang_group int, log_perplexity double").withColumnRenamed("id", id_col)
-
-
-def band(bins: np.ndarray, counts: np.ndarray) -> tuple[float, float]:
-    """The bands of one group from the histogram of its log perplexities."""
-    def middle(x, n):
-        order = np.argsort(x, kind="stable")
-        return x[order][np.searchsorted(np.cumsum(n[order]), n.sum() / 2)]
-
-    value = (bins + 0.5) * BIN
-    center = middle(value, counts)
-    spread = middle(np.abs(value - center), counts)
-    return center - max(BAND_LOW * spread, BIN), center + max(BAND_HIGH * spread, BIN)
-
-
-def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[Rules, DataFrame, Scratch]:
-    """The rules as fitted to all documents, and what they measured on each."""
-    scratch = Scratch(df.sparkSession)
-    total = df.count()
-    majors = [r[lang_col] for r in df.where(F.col(lang_col).isNotNull()).groupBy(lang_col).count().where(F.col("count") * LEAST_SHARE >= total).orderBy(lang_col).collect()]  # 16 at most
-    grams = count_ngrams(df, majors, text_col, lang_col).toPandas()  # 17 * 2**20 rows at most
-    models = {}
-    for g, part in grams.groupby("group"):
-        full = np.zeros(SYMBOLS**ORDER, np.int64)
-        full[part["hash"].to_numpy()] = part["n"].to_numpy()
-        models[int(g)] = train(full)
-    rules = Rules(majors, models, {})
-    measured = scratch.save(measure(df, rules, id_col, text_col, lang_col), "measured")
-    bins = measured.where("log_perplexity is not null").groupBy("lang_group", F.floor(F.col("log_perplexity") / BIN).cast("int").alias("bin")).count().toPandas()  # of 17 groups, with at most 30,000 bins each
-    rules.bands = {int(g): band(p["bin"].to_numpy(), p["count"].to_numpy()) for g, p in bins.sort_values("bin").groupby("lang_group")}
-    return rules, measured, scratch
+            for lang, text, of in zip(batch.column(0).to_pylist(), texts(batch), batch.column(2)):
+                if text:
+                    grams, n = np.unique(ngrams(text), return_counts=True)
+                    one = lambda x, kind: pa.array([x], kind).take(pa.array(np.zeros(len(grams), np.int32)))  # noqa: B023, E731
+                    yield pa.RecordBatch.from_arrays([one(lang, pa.string()), one(of.as_py(), pa.string()), one(half(text), pa.int32()), pa.array(grams.view(np.int64)), pa.array(n, pa.int64())], ["lang", "of", "side", "gram", "n"])
+
+    of = F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
+    distinct = measured.select(language(F.col(lang_col)).alias("lang"), F.col(text_col).alias("text"), of.alias("of")).dropDuplicates(["lang", "of"])
+    grams = distinct.mapInArrow(run, "lang string, of string, side int, gram long, n long")
+    scored = grams.join(model, ["lang", "gram"]).groupBy("lang", "of").agg((-F.sum(F.col("n") * F.when(F.col("side") == 0, F.col("p1")).otherwise(F.col("p0")).cast("double")) / F.sum("n")).alias("value"))
+    keys, value = unused(measured, "key"), unused(measured, "value")
+    scored = scored.select(F.struct("lang", "of").alias(keys), F.col("value").alias(value))
+    full = measured.withColumn(keys, F.struct(language(F.col(lang_col)).alias("lang"), of.alias("of"))).join(scored, keys, "left")
+    return full.withColumn(at, F.col(at).withField("log_perplexity", F.col(value))).drop(keys, value)
+
+
+def bands(measured: DataFrame, at: str) -> DataFrame:
+    """lang_key, low, high of each language with LEAST_DOCUMENTS. Medians are of whole bins, so that they are the same in any order."""
+    low, high = F.col("cum") - F.col("n"), F.col("cum")
+
+    def middle(bins: DataFrame, name: str) -> DataFrame:
+        by = W.Window.partitionBy("lang_key")
+        cum = bins.withColumn("cum", F.sum("n").over(by.orderBy("bin").rowsBetween(W.Window.unboundedPreceding, 0))).withColumn("total", F.sum("n").over(by))
+        return cum.where((2 * low < F.col("total")) & (2 * high >= F.col("total"))).select("lang_key", F.col("bin").alias(name), "total")
+
+    values = measured.where(~F.col(f"{at}.base_failed") & F.col(f"{at}.log_perplexity").isNotNull()).select(f"{at}.lang_key", F.floor(F.col(f"{at}.log_perplexity") / BIN).cast("long").alias("bin"))
+    bins = values.groupBy("lang_key", "bin").agg(F.count("*").alias("n"))
+    center = middle(bins, "center")
+    spread = bins.join(center.drop("total"), "lang_key").groupBy("lang_key", F.abs(F.col("bin") - F.col("center")).alias("bin")).agg(F.sum("n").alias("n"))
+    both = center.join(middle(spread, "spread").drop("total"), "lang_key").where(F.col("total") >= LEAST_DOCUMENTS)
+    width = lambda x: F.greatest(F.col("spread") * x, F.lit(1.0)) * BIN
+    at_center = (F.col("center") + 0.5) * BIN
+    return both.select("lang_key", (at_center - width(BAND_LOW)).alias("low"), (at_center + width(BAND_HIGH)).alias("high"))
+
+
+def judged(df: DataFrame, text_col: str, lang_col: str) -> tuple[DataFrame, str, str]:
+    """df with a struct of KINDS and a boolean, whether the row is kept; their names."""
+    scratch, at, kept = Scratch(df.sparkSession), unused(df, "quality"), unused(df, "kept")
+    counts = scratch.save(count_ngrams(df, text_col, lang_col), "ngrams")
+    model = scratch.save(train(counts), "model")
+    scratch.drop("ngrams")
+    measured = scratch.save(measure(df, model, at, text_col, lang_col, scratch), "measured")
+    limits = bands(measured, at).select(F.struct("low", "high").alias(unused(measured, "limits")), F.col("lang_key").alias(unused(measured, "language")))
+    band, lang = limits.columns
+    full = measured.join(limits, F.col(f"{at}.lang_key") == F.col(lang), "left")
+    inside = F.col(f"{at}.log_perplexity").between(F.col(f"{band}.low"), F.col(f"{band}.high"))
+    verdict = ~F.col(f"{at}.base_failed") & F.when(F.col(band).isNull(), True).otherwise(F.coalesce(inside, F.lit(False)))
+    return full.withColumn(kept, verdict).drop(band, lang), at, kept
 
 
 def quality(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The word counts, base_failed, log_perplexity and kept of each row.
 
-    A null or empty text has no words and fails. Null languages and those with few documents share a model and
-    bands; null ids and repeated rows are rows like others; an empty table gives an empty one. Other columns
-    are not read. kept: base_failed is false and the log perplexity is within the language's bands.
+    A null or empty text has no words and fails. Null languages are a language; one with fewer than LEAST_DOCUMENTS documents
+    that pass the word rules has no bands; null ids and repeated rows are rows like others; an empty table gives an empty one.
+    Other columns are not read. kept: base_failed is false and the log perplexity is within the language's bands.
     """
-    rules, measured, _ = fit(df, id_col, text_col, lang_col)
-    kept = F.lit(False)
-    for g, (low, high) in rules.bands.items():
-        kept = F.when(F.col("lang_group") == g, F.col("log_perplexity").between(low, high)).otherwise(kept)
-    return measured.withColumn("kept", ~F.col("base_failed") & F.coalesce(kept, F.lit(False)))
+    narrow = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    slim = judged(narrow, "text", "lang")
+    return slim[0].select(F.col("id").alias(id_col), f"{slim[1]}.*", F.col(slim[2]).alias("kept"))
 
 
 def keep_good(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows of df that quality() keeps, with all columns as they are."""
-    rules, _, scratch = fit(df, id_col, text_col, lang_col)
-    scratch.drop("measured")
-    shared = df.sparkSession.sparkContext.broadcast(rules)
-    at_text, at_lang = df.columns.index(text_col), df.columns.index(lang_col)
-
-    def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        rules = shared.value
-        for batch in batches:
-            keep = []
-            for lang, text in zip(batch.column(at_lang).to_pylist(), texts(batch, at_text)):
-                rule, g = word_rules(text), rules.group(lang)
-                keep.append(not fails(rule[0], rule[4]) and rules.inside(g, rules.perplexity(text, g)))
-            yield batch.filter(pa.array(keep, pa.bool_()))
-
-    return df.mapInArrow(run, df.schema)
+    """The rows of df that quality() keeps, with all columns as they are. Rows are judged as there: null and empty texts go, null ids
+    and languages, repeated rows and clashing columns stay as they are, and an empty table gives an empty one."""
+    full, _, kept = judged(df, text_col, lang_col)
+    return full.where(F.col(kept)).select(*df.columns)

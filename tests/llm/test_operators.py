@@ -221,45 +221,64 @@ def test_quality_counts(untidy, texts):
         assert r.base_failed == (len(w) < 50 or 100 * len(cover) > 50 * len(w)) and not (r.base_failed and r.kept)
     kept = quality.keep_good(untidy)
     assert kept.columns == untidy.columns and kept.count() == sum(r.kept for r in rows)
+    clash = untidy.withColumnsRenamed({"key": "Quality", "start": "kept", "id": "value"})
+    assert sorted(map(str, quality.keep_good(clash).collect())) == sorted(map(str, kept.withColumnsRenamed({"key": "Quality", "start": "kept", "id": "value"}).collect()))
+    assert quality.keep_good(untidy.limit(0)).columns == untidy.columns and quality.keep_good(untidy.limit(0)).count() == 0
     assert quality.quality(untidy.limit(0)).count() == 0
 
 
-def test_quality_bands_reject_noise(spark):
-    rng = random.Random(4)
-    prose = [" ".join(rng.choice("the of and a to in is was for on that with as it at by from are this be".split()) for _ in range(120)) + " ." for _ in range(60)]
-    prose = [" ".join(w + rng.choice(["", "s", "ing", "ed"]) for w in p.split()) for p in prose]
-    noise = " ".join("".join(rng.choice("qxzjkvwyQZ93178") for _ in range(7)) for _ in range(100))
-    df = spark.createDataFrame([(i, t, "en") for i, t in enumerate([*prose, noise])], "doc_id long, text string, lang string")
-    assert {r.doc_id for r in quality.quality(df).collect() if not r.kept and not r.base_failed} == {60}
+PROSE = {
+    "en": ("the of and a to in is was for on that with as it at by from are this be", ["", "s", "ing", "ed"]),
+    "ru": ("и в не на я быть он с что по это она этот как но они мы весь который из", ["", "а", "ов", "ами"]),
+    "ja": ("これ それ 日本 東京 大学 学生 先生 本 車 電車 会社 時間 今日 明日 水 山 川 空 人 国", ["", "は", "を", "に"]),
+}
 
 
-def test_quality_bands_follow_the_spread(spark):
-    rng = random.Random(8)
-    word = lambda: rng.choice("the of and a to in is was for on that with as it at by from are this be".split()) + rng.choice(["", "s", "ing", "ed"])
-    prose = [" ".join(word() for _ in range(200)) for _ in range(80)]
-    mixed = " ".join("".join(rng.choice("qxzjkvwy") for _ in range(5)) if k % 8 == 0 else word() for k in range(200))
-    easy = " ".join(rng.choice("the of and to in is was for that with as it at by from this be".split()) + "ing" for _ in range(200))
-    rows = {r.doc_id: r for r in quality.quality(spark.createDataFrame([*((i, t, "en") for i, t in enumerate(prose)), (80, mixed, "en"), (81, easy, "en")], "doc_id long, text string, lang string")).collect()}
-    middle = np.median([r.log_perplexity for r in rows.values()])
-    assert all(abs(rows[i].log_perplexity - middle) < 1 and not rows[i].base_failed and not rows[i].kept for i in (80, 81))
-    assert sum(rows[i].kept for i in range(80)) >= 78
-    same = quality.quality(spark.createDataFrame([(i, prose[0], "en") for i in range(5)], "doc_id long, text string, lang string"))
-    assert all(r.kept or r.base_failed for r in same.collect())
-
-
-def plain_kneser_ney(texts, order, symbols):
+def prose(rng, lang, n):
+    stems, ends = PROSE[lang]
+    return " ".join(rng.choice(stems.split()) + rng.choice(ends) for _ in range(n))
+
+
+def test_quality_bands_reject_noise_and_monotony(spark):
+    """In each language, planted noise is above the band and planted monotony below; nearly all prose is kept. A language
+    with few documents has no bands; neither are its texts judged by another language's."""
+    rng = random.Random(4)
+    rows, planted = [], {}
+    for lang in PROSE:
+        rows += [(prose(rng, lang, 200), lang) for _ in range(80)]
+        stems = PROSE[lang][0].split()
+        letters = "".join(stems)
+        noise = " ".join("".join(rng.choice(letters) for _ in range(5)) if k % 4 == 0 else rng.choice(stems) for k in range(200))
+        dull = " ".join(rng.choice(sorted(stems, key=len)[-14:]) + max(PROSE[lang][1], key=len) for _ in range(200))
+        planted |= {len(rows): (lang, 1), len(rows) + 1: (lang, -1)}
+        rows += [(noise, lang), (dull, lang)]
+    few = range(len(rows), len(rows) + 5)
+    rows += [(" ".join("".join(rng.choice("qxzjk") for _ in range(6)) for _ in range(100)), None) for _ in few]
+    df = spark.createDataFrame([(i, t, lang) for i, (t, lang) in enumerate(rows)], "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in quality.quality(df).collect()}
+    for lang in PROSE:
+        own = [got[i] for i, (_, x) in enumerate(rows) if x == lang and i not in planted]
+        middle = np.median([r.log_perplexity for r in own])
+        assert sum(r.kept for r in own) >= 78
+        for i, (x, sign) in planted.items():
+            assert x != lang or sign * (got[i].log_perplexity - middle) > 0 and not got[i].base_failed and not got[i].kept
+    assert all(got[i].kept for i in few)
+    same = quality.quality(spark.createDataFrame([(i, rows[0][0], "en") for i in range(25)], "doc_id long, text string, lang string"))
+    assert all(r.kept for r in same.collect())
+
+
+def plain_kneser_ney(texts, order):
     """A dictionary-based modified Kneser-Ney, for comparison."""
     grams = [collections.Counter() for _ in range(order + 1)]
     for t in texts:
-        s = [0] * (order - 1) + list(t)
+        s = " " * (order - 1) + t
         for k in range(len(t)):
-            grams[order][tuple(s[k : k + order])] += 1
-    grams[order] = collections.Counter({g: n for g, n in grams[order].items() if n > 1})
+            grams[order][s[k : k + order]] += 1
     for n in range(order - 1, 0, -1):
         for g in grams[n + 1]:
             grams[n][g[1:]] += 1
 
-    def p(g):
+    def p(g, symbols):
         if not g:
             return 1 / symbols
         c = grams[len(g)]
@@ -268,23 +287,42 @@ def plain_kneser_ney(texts, order, symbols):
         d = [0] + [min(max(k - (k + 1) * y * n[k + 1] / n[k], 0.05), k) if n[k] else 0.5 * k for k in (1, 2, 3)]
         after = [v for h, v in c.items() if h[:-1] == g[:-1]]
         if not after:
-            return p(g[1:])
-        return (c[g] - d[min(c[g], 3)]) / sum(after) + sum(d[min(v, 3)] for v in after) / sum(after) * p(g[1:])
+            return p(g[1:], symbols)
+        return (c[g] - d[min(c[g], 3)]) / sum(after) + sum(d[min(v, 3)] for v in after) / sum(after) * p(g[1:], symbols)
 
     return p
 
 
-def test_kneser_ney():
+def test_kneser_ney(spark, monkeypatch):
+    """Log perplexities against dictionaries, trained on the other half; the same from a model that is joined instead of sent."""
     rng = random.Random(6)
-    texts = ["".join(rng.choice("abcd e") for _ in range(rng.randrange(5, 60))) for _ in range(12)]
-    codes = [[int(x) for x in quality.symbols(t.encode())] for t in texts]
-    p = plain_kneser_ney(codes, quality.ORDER, quality.SYMBOLS)
-    counts = np.bincount(np.concatenate([quality.ngram_hashes(t.encode()) for t in texts]), minlength=quality.SYMBOLS**quality.ORDER)
-    table = quality.expand(quality.train(counts))
-    for g in [(0, 0, 0, 1), (1, 2, 3, 4), (5, 5, 5, 5), (4, 0, 5, 1), (30, 29, 1, 2), *(tuple(rng.randrange(6) for _ in range(4)) for _ in range(40))]:
-        h = sum(x << (quality.BITS * (3 - k)) for k, x in enumerate(g))
-        assert abs(float(table[h]) - float(np.log(p(g)))) < 1e-4
-    assert abs(np.exp(table.reshape(-1, quality.SYMBOLS)).sum(1) - 1).max() < 1e-3
+    texts = {lang: ["".join(rng.choice(letters) for _ in range(rng.randrange(5, 60))) for _ in range(14)] for lang, letters in (("x", "abcd e"), ("y", "жзи 日本é"), (None, "ab  "))}
+    rows = [(t, lang) for lang, own in texts.items() for t in own] + [("", "x"), (None, "x"), ("A1\t😀", "z")]
+    df = spark.createDataFrame([(i, t, lang) for i, (t, lang) in enumerate(rows)], "doc_id long, text string, lang string")
+    want = {}
+    for lang, own in texts.items():
+        halves = [[t for t in own if quality.half(t.encode()) == h] for h in (0, 1)]
+        models = [plain_kneser_ney(h, quality.ORDER) for h in halves]
+        alphabet = len(set("".join(own)))
+        for i, (t, x) in enumerate(rows[: 14 * len(texts)]):
+            if x == lang:
+                p, s = models[1 - quality.half(t.encode())], "   " + t
+                want[i] = -np.mean([np.log(p(s[k : k + 4], alphabet)) for k in range(len(t))])
+    for limit in (quality.MODEL_ROWS, 0):
+        monkeypatch.setattr(quality, "MODEL_ROWS", limit)
+        got = {r.doc_id: r.log_perplexity for r in quality.quality(df).collect()}
+        assert all(abs(got[i] - want[i]) < 1e-4 for i in want)
+        assert got[42] is None and got[43] is None and abs(got[44] - np.log(4)) < 1e-6
+
+
+def test_counting_in_small_steps(spark, docs, monkeypatch):
+    show = lambda df: sorted(map(tuple, df.collect()))
+    want = show(quality.count_ngrams(docs, "text", "lang"))
+    grams = collections.Counter((r.lang, int(g), quality.half(r.text.encode())) for r in docs.where("text is not null").collect() for g in quality.ngrams(r.text.encode()).view(np.int64))
+    assert sum(n0 + n1 for _, _, n0, n1 in want) == sum(grams.values()) and all(grams[(lang[1:] if lang else None, g, 0)] == n0 and grams[(lang[1:] if lang else None, g, 1)] == n1 for lang, g, n0, n1 in want)
+    monkeypatch.setattr(quality, "PENDING", 500)
+    monkeypatch.setattr(quality, "HELD", 300)
+    assert show(quality.count_ngrams(docs, "text", "lang")) == want
 
 
 def test_secrets(spark, untidy):
