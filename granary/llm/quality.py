@@ -13,6 +13,7 @@ a multiple of their median absolute deviation.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-from granary.llm.common import Scratch, shingle_hashes, small_batches, texts, word_hashes, word_spans
+from granary.llm.common import Scratch, mix, shingle_hashes, small_batches, texts, word_hashes, word_spans
 
 ORDER, BITS = 4, 16
 #: Widths of the bands in median absolute deviations, and the bins of log perplexities, whose width a band has at
@@ -136,7 +137,7 @@ def suffix(gram: Column, n: int) -> Column:
     return gram.bitwiseAND(F.lit((1 << BITS * n) - 1))
 
 
-def train(counts: DataFrame) -> DataFrame:
+def train(counts: DataFrame, scratch: Scratch) -> DataFrame:
     """lang, gram, p0, p1: the natural log of each 4-gram's probability under the model of each half, seen there or not.
 
     The highest order counts occurrences, the lower ones the characters that precede. The lowest interpolates with
@@ -146,11 +147,13 @@ def train(counts: DataFrame) -> DataFrame:
     for n in range(ORDER - 1, 0, -1):
         up = levels[n + 1]
         levels[n] = up.groupBy("lang", suffix(F.col("gram"), n).alias("gram")).agg(F.count_if(F.col("n0") > 0).alias("n0"), F.count_if(F.col("n1") > 0).alias("n1"))
+    # four rows a language, written: its known size lets Spark broadcast it, so that no language's rows meet in one task
+    less = scratch.save(functools.reduce(DataFrame.union, [discounts(rows).withColumn("order", F.lit(n)) for n, rows in levels.items()]), "discounts")
     lower = levels[1].groupBy("lang").agg((1.0 / F.count("*")).alias("q0")).select("lang", F.lit(0).cast("long").alias("low"), "q0", F.col("q0").alias("q1"))
     for n in range(1, ORDER + 1):
         context = F.shiftrightunsigned("gram", BITS) if n > 1 else F.lit(0).cast("long")
         same = W.Window.partitionBy("lang", "context")
-        rows = levels[n].join(discounts(levels[n]), "lang").withColumn("context", context)
+        rows = levels[n].join(less.where(F.col("order") == n).drop("order"), "lang").withColumn("context", context)
         for h in (0, 1):
             c = F.col(f"n{h}")
             rows = rows.withColumn(f"d{h}", F.when(c == 0, 0.0).when(c == 1, F.col(f"d{h}1")).when(c == 2, F.col(f"d{h}2")).otherwise(F.col(f"d{h}3")))
@@ -162,22 +165,35 @@ def train(counts: DataFrame) -> DataFrame:
 
 
 class Model:
-    """A model as arrays sorted by 4-gram, one for each language, with the log probabilities under each half."""
+    """A model as arrays sorted by a hash of the 4-gram (one-to-one: no two share one), one for each language, with the
+    log probabilities under each half, and where the hashes with each leading bits begin."""
 
     def __init__(self, table):
-        langs, grams = table.column("lang").to_pandas(), table.column("gram").to_numpy().view(np.uint64)
+        langs, hashes = table.column("lang").to_pandas(), mix(table.column("gram").to_numpy().view(np.uint64))
         logs = np.stack([table.column("p0").to_numpy(), table.column("p1").to_numpy()])
         self.arrays = {}
         for lang, rows in langs.groupby(langs).indices.items():
-            order = rows[np.argsort(grams[rows], kind="stable")]
-            self.arrays[lang] = grams[order], logs[:, order]
+            order = rows[np.argsort(hashes[rows], kind="stable")]
+            bits = len(order).bit_length() + 1
+            count = np.bincount((hashes[order] >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+            self.arrays[lang] = hashes[order], logs[:, order], np.uint64(64 - bits), (np.cumsum(count) - count).astype(np.int32)
+
+    def find(self, grams: np.ndarray, lang: str) -> np.ndarray:
+        """The place of each 4-gram, all of which the model has."""
+        known, _, shift, first = self.arrays[lang]
+        hashes = mix(grams)
+        at = first[hashes >> shift]
+        behind = np.flatnonzero(known[at] != hashes)
+        while len(behind):
+            at[behind] += 1
+            behind = behind[known[at[behind]] != hashes[behind]]
+        return at
 
     def log_perplexity(self, text: bytes, lang: str) -> float | None:
         """The mean negative log probability of a text's characters under the other half's model; none of an empty text."""
         if not text:
             return None
-        grams, logs = self.arrays[lang]
-        return -float(logs[1 - half(text)][np.searchsorted(grams, ngrams(text))].mean(dtype=np.float64))
+        return -float(self.arrays[lang][1][1 - half(text)][self.find(ngrams(text), lang)].mean(dtype=np.float64))
 
 
 def word_rules(text: bytes) -> tuple[int, int, int, int, int]:
@@ -214,13 +230,15 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
-def measure(df: DataFrame, model: DataFrame, at: str, text_col: str, lang_col: str, scratch: Scratch) -> DataFrame:
-    """df with a struct `at` of KINDS."""
+def measure(df: DataFrame, carried: list[str], model: DataFrame, at: str, text_col: str, lang_col: str) -> DataFrame:
+    """df's carried columns with a struct `at` of KINDS."""
     small_batches(df.sparkSession)
     sent = None
     if model.count() <= MODEL_ROWS:
         sent = df.sparkSession.sparkContext.broadcast(Model(model.toArrow()))
-    where = len(df.columns)
+    if sent is None and text_col not in carried:
+        return measure(df, df.columns, model, at, text_col, lang_col).select(*carried, at)
+    where = len(carried)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -236,9 +254,8 @@ def measure(df: DataFrame, model: DataFrame, at: str, text_col: str, lang_col: s
             yield pa.RecordBatch.from_arrays([*batch.columns[:where], found], [*batch.schema.names[:where], at])
 
     struct = "struct<" + ", ".join(f"{n}: {k}" for n, k in KINDS.items()) + ">"
-    schema = df.limit(0).withColumn(at, F.lit(None).cast(struct)).schema
-    text = F.col(text_col)
-    out = df.select("*", language(F.col(lang_col)), text).mapInArrow(run, schema)
+    schema = df.select(*carried, F.lit(None).cast(struct).alias(at)).schema
+    out = df.select(*carried, language(F.col(lang_col)), F.col(text_col)).mapInArrow(run, schema)
     return out if sent else joined(out, model, at, text_col, lang_col)
 
 
@@ -285,15 +302,16 @@ def bands(measured: DataFrame, at: str) -> DataFrame:
     return both.select("lang_key", (at_center - width(BAND_LOW)).alias("low"), (at_center + width(BAND_HIGH)).alias("high"))
 
 
-def judged(df: DataFrame, text_col: str, lang_col: str) -> tuple[DataFrame, str, str]:
-    """df with a struct of KINDS and a boolean, whether the row is kept; their names."""
+def judged(df: DataFrame, carried: list[str], text_col: str, lang_col: str) -> tuple[DataFrame, str, str]:
+    """df's carried columns with a struct of KINDS and a boolean, whether the row is kept; their names."""
     scratch, at, kept = Scratch(df.sparkSession), unused(df, "quality"), unused(df, "kept")
     counts = scratch.save(count_ngrams(df, text_col, lang_col), "ngrams")
-    model = scratch.save(train(counts), "model")
+    model = scratch.save(train(counts, scratch), "model")
     scratch.drop("ngrams")
-    measured = scratch.save(measure(df, model, at, text_col, lang_col, scratch), "measured")
+    measured = scratch.save(measure(df, carried, model, at, text_col, lang_col), "measured")
     limits = bands(measured, at).select(F.struct("low", "high").alias(unused(measured, "limits")), F.col("lang_key").alias(unused(measured, "language")))
     band, lang = limits.columns
+    limits = scratch.save(limits, "bands")  # written: see train()
     full = measured.join(limits, F.col(f"{at}.lang_key") == F.col(lang), "left")
     inside = F.col(f"{at}.log_perplexity").between(F.col(f"{band}.low"), F.col(f"{band}.high"))
     verdict = ~F.col(f"{at}.base_failed") & F.when(F.col(band).isNull(), True).otherwise(F.coalesce(inside, F.lit(False)))
@@ -308,12 +326,12 @@ def quality(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     Other columns are not read. kept: base_failed is false and the log perplexity is within the language's bands.
     """
     narrow = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    slim = judged(narrow, "text", "lang")
+    slim = judged(narrow, ["id"], "text", "lang")
     return slim[0].select(F.col("id").alias(id_col), f"{slim[1]}.*", F.col(slim[2]).alias("kept"))
 
 
 def keep_good(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows of df that quality() keeps, with all columns as they are. Rows are judged as there: null and empty texts go, null ids
     and languages, repeated rows and clashing columns stay as they are, and an empty table gives an empty one."""
-    full, _, kept = judged(df, text_col, lang_col)
+    full, _, kept = judged(df, df.columns, text_col, lang_col)
     return full.where(F.col(kept)).select(*df.columns)
