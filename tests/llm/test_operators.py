@@ -493,16 +493,28 @@ def test_top_k(spark):
     assert set(got) == set(range(0, 300, 20)) and topk_search.top_k(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def search_all(ids, v, query_ids, queries, k, block, depths=None):
+    s = topk_search.Search(query_ids, queries, k, depths)
+    for a in range(0, len(ids), block):
+        s.block(ids[a : a + block], v[a : a + block])
+    return s.result()
+
+
+def check_top(ids, v, query_ids, queries, k, found):
+    q, c, s = found
+    for i, own in zip(query_ids, queries):
+        best = sorted((-sum(int(x) * int(y) for x, y in zip(own, v[j])), int(ids[j])) for j in range(len(ids)) if ids[j] != i)[:k]
+        assert [(int(-y), int(x)) for x, y in zip(c[q == i], s[q == i])] == best
+
+
 def test_top_k_of_repeated_query_ids(spark):
     rng = np.random.default_rng(6)
     v = np.floor(rng.normal(0, 12, (3000, 64))).astype(np.int64)
     v[1:6] = v[0]
     ids = np.concatenate([[7] * 6, np.arange(100, 3094)])
     for n in (3000, 20, 10):
-        q, c, s = topk_search.search_block(ids[:n], v[:n], np.array([7, 100]), v[[0, 6]], 20)
-        for i, own in ((7, v[0]), (100, v[6])):
-            best = sorted((-int(own @ v[j]), ids[j]) for j in range(n) if ids[j] != i)[:20]
-            assert [(int(-y), x) for x, y in zip(c[q == i], s[q == i])] == best
+        for block in (3000, 700, 15):
+            check_top(ids[:n], v[:n], np.array([7, 100]), v[[0, 6]], 20, search_all(ids[:n], v[:n], np.array([7, 100]), v[[0, 6]], 20, block))
     df = spark.createDataFrame([(int(i), [float(x) / 64 for x in e]) for i, e in zip(ids[:300], v)], "vec_id long, embedding array<float>")
     got = [(r.rank, r.vec_id, r.score) for r in topk_search.top_k(df, F.col("vec_id") == 7, 20).orderBy("rank").collect()]
     best = sorted((-int(v[0] @ v[j]), int(ids[j])) for j in range(6, 300))[:20]
@@ -510,15 +522,26 @@ def test_top_k_of_repeated_query_ids(spark):
 
 
 def test_top_k_stops_early_and_is_exact():
+    """On vectors without any structure and on clusters most queries stop before the lists' ends; sums beyond 64-bit floats stay exact."""
     rng = np.random.default_rng(4)
+    plain = rng.normal(0, 1, (12_000, 64))
+    plain = np.floor(64 * plain / np.linalg.norm(plain, axis=1)[:, None]).astype(np.int64)
     base = np.floor(rng.normal(0, 8, (40, 32))).astype(np.int64)
-    v = np.concatenate([base[rng.integers(0, 40, 4000)] + rng.integers(-1, 2, (4000, 32))])
-    ids, stats = np.arange(4000), {}
-    q, c, s = topk_search.search_block(ids, v, ids[:50], v[:50], 5, stats)
-    for i in range(50):
-        best = sorted((-int(v[i] @ v[j]), j) for j in range(4000) if j != i)[:5]
-        assert [(int(-y), int(x)) for x, y in zip(c[q == i], s[q == i])] == best
-    assert sum(n for depth, n in stats.items() if depth < 1) > 0
-    big = v[:100] * 10**9
-    q, c, s = topk_search.search_block(ids[:100], big, ids[:2], v[:2], 3)
-    assert list(c[q == 1]) == [j for _, j in sorted((-int(big[j] @ v[1]), j) for j in range(100) if j != 1)[:3]]
+    for v, block in ((plain, 2048), (base[rng.integers(0, 40, 4000)] + rng.integers(-1, 2, (4000, 32)), 500)):
+        ids, depths = np.arange(len(v)), []
+        check_top(ids, v, ids[:10], v[:10], 5, search_all(ids, v, ids[:10], v[:10], 5, block, depths))
+        assert len(depths) == 10 * -(-len(v) // block) and sum(d < 1 for d in depths) > 0.8 * len(depths) and np.mean(depths[20:]) < 0.8
+    big = plain[:100] * 10**7
+    check_top(ids[:100], big, ids[:2], big[:2], 3, search_all(ids[:100], big, ids[:2], big[:2], 3, 30))
+
+
+def test_top_k_in_many_tasks(spark, monkeypatch):
+    for name, n in (("BLOCK", 16), ("SPAN", 64), ("QUERY_GROUP", 7), ("QUERIES_TOGETHER", 3)):
+        monkeypatch.setattr(topk_search, name, n)
+    rng = np.random.default_rng(5)
+    v = np.floor(rng.normal(0, 9, (500, 8))).astype(np.int64)
+    for scale in (1, 10_000):  # as 16-bit numbers and as longer ones
+        df = spark.createDataFrame([(i, [float(x * scale) / 64 for x in e]) for i, e in enumerate(v)], "vec_id long, embedding array<double>")
+        rows = topk_search.top_k(df, F.col("vec_id") % 20 == 0, 20).orderBy("query_id", "rank").collect()
+        found = [np.array(c) for c in zip(*((r.query_id, r.vec_id, r.score) for r in rows))]
+        check_top(np.arange(500), v * scale, np.arange(0, 500, 20), v[::20] * scale, 20, found)
