@@ -22,11 +22,17 @@ KINDS = ("assign", "access", "hex", "novel")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
-#: A sensitive word, and what may follow it on its line before the candidate.
-CONTEXT = re.compile(r"(?:passphrase|passwd|password|pwd|secret|token|credential|api[_-]?key|private[_-]?key|access[_-]?key|bearer|authorization)", re.IGNORECASE | re.ASCII)
-SHORTEST = 16
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=~-]{%d,}" % SHORTEST)
-REACH, AROUND = 64, 1024
+#: A sensitive word.
+CONTEXT = re.compile(r"(?:passphrase|passwd|password|pwd|secret|token|credential|api[ _-]?key|private[ _-]?key|access[ _-]?key|bearer|authorization)", re.IGNORECASE | re.ASCII)
+#: What may be a secret: a run without white space, quotes, brackets and the signs that end a name or a value, perhaps padded.
+SHORTEST, LONG = 10, 16
+INNER = r"""[^\s"'`,;:(){}\[\]<>=&?]"""
+CANDIDATE, BACK = re.compile(r"%s{%d,}={0,2}" % (INNER, SHORTEST)), re.compile(INNER)
+#: A name: words of letters, joined by signs, with at most a short number at the end.
+NAME = re.compile(r"[A-Za-z]+(?:[._-]+[A-Za-z]+)*[._-]?[0-9]{0,3}")
+#: How far behind a sensitive word, or behind a secret that was found there, a candidate may begin, over lines; and the characters
+#: on either side that count as its surroundings.
+REACH, AROUND = 128, 1024
 #: Bytes of novelty for each character. Random hexadecimal digits carry half a byte, base64 three quarters.
 NOVELTY = 0.5
 #: Common words of code, configuration and keys, most common last, where zstandard matches cheapest.
@@ -51,13 +57,19 @@ def novelty(text: str, start: int, end: int) -> float:
         _ZSTD.append(zstandard.ZstdCompressor(level=9, dict_data=primed, write_content_size=False))
     word = text[start:end]
     before, after = text[max(0, start - AROUND - len(word)) : start], text[end : end + AROUND + len(word)]  # no copy is cut
-    for copy in {word, word.partition("=")[2]}:
-        if len(copy) >= SHORTEST:
-            before, after = before.replace(copy, " "), after.replace(copy, " ")
+    before, after = before.replace(word, " "), after.replace(word, " ")
     around = (before[-AROUND:] + after[:AROUND]).encode()
     return (len(_ZSTD[0].compress(around + word.encode())) - len(_ZSTD[0].compress(around))) / (end - start)
 
 
+def plausible(word: str) -> bool:
+    """Letters and digits; of a short one, three kinds of lower case, upper case, digits and signs. No name, path, host or mail address."""
+    letters, digits = sum(map(str.isalpha, word)), sum(map(str.isdigit, word))
+    if letters < 2 or not digits or NAME.fullmatch(word) or "." in word and ("/" in word or "@" in word):
+        return False
+    return len(word) >= LONG or any(map(str.islower, word)) + any(map(str.isupper, word)) + (letters + digits < len(word)) >= 2
+
+
 def find(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) of all secrets in a text, in characters, by start and then by kind."""
     out = [("assign", *m.span()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
@@ -69,25 +81,29 @@ def find(text: str) -> list[tuple[str, int, int]]:
     seen, novel = 0, set()
     for c in CONTEXT.finditer(text):
         low, last = max(seen, c.end()), c.end() + REACH
-        line = text.find("\n", c.end(), last)
-        last = last if line < 0 else line
         while low <= last and (near := CANDIDATE.search(text, low, last + SHORTEST)):
-            start, end = CANDIDATE.match(text, near.start()).span()
+            start = near.start()
+            while start > seen and BACK.match(text[start - 1]):  # the sensitive word may be the run's beginning
+                start -= 1
+            start, end = CANDIDATE.match(text, start).span()
             low = seen = end
             word = text[start:end]
-            if word not in novel and not inside(start, end) and any(x.isdigit() for x in word) and any(x.isalpha() for x in word) and novelty(text, start, end) >= NOVELTY:
-                novel.add(word)
-    for m in CANDIDATE.finditer(text) if novel else ():  # wherever it stands, also as the value of a name
-        value = m[0].partition("=")[2]
-        start, end = (m.start(), m.end()) if m[0] in novel else (m.end() - len(value), m.end()) if value in novel else (0, 0)
-        if end and not inside(start, end):
-            out.append(("novel", start, end))
+            if word not in novel and (inside(start, end) or not plausible(word) or novelty(text, start, end) < NOVELTY):
+                continue
+            novel.add(word)
+            last = end + REACH  # a key may go on, line by line
+    for m in CANDIDATE.finditer(text) if novel else ():  # wherever it stands
+        if m[0] in novel and not inside(*m.span()):
+            out.append(("novel", *m.span()))
     return sorted(out, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
 
 def scan_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id and spans: array<struct<kind, start, end>> (code points, end exclusive) of each row's whole text.
 
+    Beyond the base patterns a secret is looked for within REACH characters behind a sensitive word, over lines, and from
+    each secret found on; it has at least SHORTEST characters, and plausible() says which kinds of runs are measured.
+
     A null or empty text has no spans; null ids and repeated rows give a row each; an empty table gives an
     empty one. Other columns are not read. One row in, one row out, no shuffle.
     """
@@ -106,7 +122,9 @@ def scan_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def redact(df: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
-    """df with each secret in its texts (overlapping ones as one) replaced by a mark. All other columns stay."""
+    """df with each secret in its texts (overlapping ones as one) replaced by a mark. All other columns stay, whatever
+    their names; a null text stays null, an empty one empty; null ids and repeated rows are rows like others; an empty table gives
+    an empty one."""
     small_batches(df.sparkSession)
     at = df.columns.index(text_col)
 
