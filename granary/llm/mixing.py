@@ -47,16 +47,29 @@ def shares(sizes: DataFrame, max_repeats: int, budget: Column | None = None) ->
     return fill.select("source", "weight", "source_size", F.greatest(target, F.lit(0.0)).cast("double").alias("target"))
 
 
+OURS = ("_size", "_source_size", "_target", "_taken")
+
+
 def mix(df: DataFrame, size: Column, weight: Column | None = None, id_col: str = "doc_id", source_col: str = "source", max_repeats: int = 3, seed: int = 17) -> DataFrame:
     """df with _size, _source_size, _target and _taken: how much of each document the mix takes, a multiple of
     its size. weight: of the column `source_rank` (1, 2, ... by code point, null last); 1, 2, 3 repeating by default.
 
     Null sources are one source; null ids are ordered as the empty text; a null size counts as 0, and what
     has no size is never taken. Documents that tie in hash and id are ordered by size; equal rows are
-    interchangeable. An empty table gives an empty one. Columns of df keep their names; ours begin with _.
+    interchangeable. An empty table gives an empty one. Columns of df with one of the four names are replaced.
     """
+    out = queued(df, size, weight, id_col, source_col, max_repeats, seed)
+    kept = [(k, c) for k, c in enumerate(df.columns) if c.lower() not in OURS]
+    return out.select(*[F.col(f"c{k}").alias(c) for k, c in kept], *OURS)
+
+
+def queued(df: DataFrame, size: Column, weight: Column | None, id_col: str, source_col: str, max_repeats: int, seed: int) -> DataFrame:
+    """mix() with df's columns named c0, c1, ..., so that no name of theirs can clash."""
     scratch = Scratch(df.sparkSession)
-    docs = df.withColumns({"_size": F.coalesce(size, F.lit(0)).cast("long"), "_hash": order_hash(F.col(id_col), seed), "_key": F.coalesce(F.col(source_col), F.lit("")), "_none": F.col(source_col).isNull()})
+    own, names = df.columns, [f"c{k}" for k in range(len(df.columns))]
+    id_name, source = names[own.index(id_col)], F.col(source_col)
+    docs = df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(own, names)], F.coalesce(size, F.lit(0)).cast("long").alias("_size"), order_hash(F.col(id_col), seed).alias("_hash"), F.coalesce(source, F.lit("")).alias("_key"), source.isNull().alias("_none"))
+    docs = scratch.save(docs, "documents")  # texts are measured once; what follows reads the narrow columns
     weight = (F.col("source_rank") - 1) % 3 + 1 if weight is None else weight
     sizes = docs.groupBy("_key", "_none").agg(F.sum("_size").alias("source_size"), F.count("*").alias("rows"))
     sizes = sizes.withColumn("source", F.when(~F.col("_none"), F.col("_key"))).withColumn("source_rank", F.row_number().over(W.Window.orderBy(F.col("_none"), F.col("_key")))).withColumn("weight", weight)
@@ -69,7 +82,7 @@ def mix(df: DataFrame, size: Column, weight: Column | None = None, id_col: str =
 
     # cumulative sizes in the order of the hash: within ranges of it, after the sums of earlier ranges
     docs = docs.join(sources, ["_key", "_none"]).withColumn("_bucket", F.expr(f"shiftright(_hash, {HASH_BITS - 30}) * _buckets div {1 << 30}"))
-    within = W.Window.partitionBy("_key", "_none", "_bucket").orderBy("_hash", id_col, "_size").rowsBetween(W.Window.unboundedPreceding, 0)
+    within = W.Window.partitionBy("_key", "_none", "_bucket").orderBy("_hash", id_name, "_size").rowsBetween(W.Window.unboundedPreceding, 0)
     before = docs.groupBy("_key", "_none", "_bucket").agg(F.sum("_size").alias("_before"))
     before = before.withColumn("_before", F.coalesce(F.sum("_before").over(W.Window.partitionBy("_key", "_none").orderBy("_bucket").rowsBetween(W.Window.unboundedPreceding, -1)), F.lit(0)))
     before = scratch.save(before, "before")
@@ -87,10 +100,12 @@ def mix(df: DataFrame, size: Column, weight: Column | None = None, id_col: str =
     at, rank = (last["_time"], last["_rank"]) if last else (-1.0, 0)
     times = [((F.col("_sum") + F.col("_source_size") * k) / F.col("_weight")) for k in range(max_repeats)]
     taken = sum((F.when((t < at) | ((t == at) & (F.col("_rank") <= rank)), 1).otherwise(0) for t in times), F.lit(0))
-    return docs.withColumn("_taken", (F.col("_size") * taken).cast("long")).select(*df.columns, "_size", "_source_size", "_target", "_taken")
+    return docs.withColumn("_taken", (F.col("_size") * taken).cast("long")).select(*names, *OURS)
 
 
-def mixed(df: DataFrame, **options) -> DataFrame:
-    """The mix itself: each document as often as it is taken, in df's own columns."""
-    out = mix(df, words(F.col("text")), **options).where("_taken > 0")
-    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), (F.expr("_taken div _size")).cast("int")))).select(*df.columns)
+def mixed(df: DataFrame, text_col: str = "text", weight: Column | None = None, id_col: str = "doc_id", source_col: str = "source", max_repeats: int = 3, seed: int = 17) -> DataFrame:
+    """The mix itself: each row as often as it is taken, in df's own columns whatever their names. Null and empty texts have
+    no words and are never taken; all else is as in mix()."""
+    out = queued(df, words(F.col(text_col)), weight, id_col, source_col, max_repeats, seed).where("_taken > 0")
+    out = out.withColumn("_copy", F.explode(F.sequence(F.lit(1), (F.expr("_taken div _size")).cast("int"))))
+    return out.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(df.columns)])
