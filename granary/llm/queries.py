@@ -33,7 +33,7 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = mixing.mix(documents(spark, sf_dir), mixing.words(F.col("text")))
+    out = mixing.mix(documents(spark, sf_dir).select("doc_id", "source", mixing.words(F.col("text")).alias("words")), F.col("words"))
     return out.select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), F.col("_taken").alias("taken"))
 
 
@@ -55,7 +55,7 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_two_pass_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, text = documents(spark, sf_dir), F.coalesce("text", F.lit(""))
-    out = sharding.two_pass_shuffle(docs, ["doc_id", "text"], 8, row_bytes=64 + F.octet_length(text))
+    out = sharding.two_pass_shuffle(docs, ["doc_id", "text"], 8)
     path = f"{Scratch(spark).root}/shards"
     sharding.write_shards(out, path)
     out = spark.read.schema(out.schema).parquet(path)

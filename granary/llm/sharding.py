@@ -8,31 +8,52 @@ most one apart.
 
 from __future__ import annotations
 
+import functools
 import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-#: Bytes of records that are shuffled in memory together.
-BUCKET_BYTES = 8 << 20
+#: Bytes of records that are shuffled in memory together, and how many records with equal keys one bucket may get.
+BUCKET_BYTES, EQUAL_ROWS = 8 << 20, 10_000
+
+
+def record_bytes(df: DataFrame) -> Column:
+    """What a record weighs, by its values."""
+    weights = [F.lit(16)]
+    for f in df.schema.fields:
+        kind, c = f.dataType.typeName(), F.col(f"`{f.name}`")
+        if kind in ("string", "binary"):
+            weights.append(F.octet_length(c))
+        else:
+            weights.append(F.octet_length(F.to_json(F.struct(c))) if kind in ("array", "struct", "map") else F.lit(16))
+    return functools.reduce(lambda a, b: a + b, [F.coalesce(w, F.lit(0)) for w in weights])
 
 
 def two_pass_shuffle(df: DataFrame, key: list[str], n_shards: int = 8, row_bytes: Column | None = None, bucket_bytes: int = BUCKET_BYTES, seed: int = 29) -> DataFrame:
     """df with shard (0 to n_shards - 1) and slot (from 0, without gaps). The same rows and seed give the same result.
 
-    key: columns that tell records apart; rows that are equal in them are equal to us, and land in one bucket.
-    row_bytes: what a record weighs (64 by default). Nulls in any column are values like others; an empty table
+    key: columns that tell records apart; rows that are equal in them are equal to us, and land in one bucket. Only of a key that
+    more than EQUAL_ROWS rows have, rows are dealt over all buckets by where they stand in the input, and then the same result needs
+    the same input files, too. row_bytes: what a record weighs (by default, its values' bytes). Nulls in any column are values like others; an empty table
     gives an empty one. df must not have columns named shard or slot, which would clash: they are replaced.
     """
     df = df.drop("shard", "slot")
-    weigh = (row_bytes if row_bytes is not None else F.lit(64)).cast("double")
+    weigh = (row_bytes if row_bytes is not None else record_bytes(df)).cast("double")
     total = df.agg(F.sum(weigh).alias("bytes"), F.count("*").alias("n")).first()
     n = int(total["n"])
     n_buckets = max(1, math.ceil((total["bytes"] or 0) / bucket_bytes))
     rest = [c for c in df.columns if c not in key]  # a record holds each column once
     tie = F.xxhash64(*key, F.lit(seed))
-    scattered = df.select(F.struct(tie.alias("_tie"), *[F.col(c).alias(f"_key{k}") for k, c in enumerate(key)], F.struct(*rest, F.lit(0).alias("_")).alias("_row")).alias("_record"), F.pmod(F.xxhash64(tie, F.lit(seed + 1)), F.lit(n_buckets)).alias("_bucket"))
+    records = df.select(F.struct(tie.alias("_tie"), *[F.col(c).alias(f"_key{k}") for k, c in enumerate(key)], F.struct(*rest, F.lit(0).alias("_")).alias("_row")).alias("_record"), tie.alias("_tie"))
+    hot = df.groupBy(tie.alias("_tie")).count().where(F.col("count") > EQUAL_ROWS).select("_tie", F.lit(True).alias("_hot"))
+    salt = F.when(F.col("_hot"), F.monotonically_increasing_id()).otherwise(F.lit(0))
+    if n > EQUAL_ROWS:  # at most n / EQUAL_ROWS keys are hot, of 8 bytes each: 8 MB for 10**10 rows
+        records = records.join(F.broadcast(hot) if n <= EQUAL_ROWS * 10**6 else hot, "_tie", "left")
+    else:
+        records = records.withColumn("_hot", F.lit(False))
+    scattered = records.select("_record", F.pmod(F.xxhash64("_tie", salt, F.lit(seed + 1)), F.lit(n_buckets)).alias("_bucket"))
     buckets = scattered.repartition(n_buckets, "_bucket").groupBy("_bucket").agg(F.collect_list("_record").alias("_records"))
     # shuffle() draws from one generator a partition: with its buckets in order, they get the same draws again
     buckets = buckets.withColumn("_records", F.array_sort("_records")).sortWithinPartitions("_bucket").select("_bucket", F.shuffle("_records", seed).alias("_records"))
