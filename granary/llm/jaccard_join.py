@@ -42,10 +42,17 @@ def runs_for(threshold: float, recall: float) -> int:
     return math.ceil(math.log(1 - recall) / math.log(1 - q))
 
 
+def picks(nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The coordinates that each node samples: the first, the second, and whether it has a second."""
+    h = mix(nodes)
+    first, second = h % np.uint64(SIZE), (h >> np.uint64(16)) % np.uint64(SIZE)
+    return first, second, ((h >> np.uint64(8)) % np.uint64(4) == 0) & (second != first)
+
+
 def coordinates(node: int) -> list[int]:
     """The coordinates that a node samples."""
-    h = int(mix(np.array([node & (2**64 - 1)], np.uint64))[0])
-    return [h % SIZE] + ([(h >> 16) % SIZE] if (h >> 8) % 4 == 0 and (h >> 16) % SIZE != h % SIZE else [])
+    first, second, both = picks(np.array([node & (2**64 - 1)], np.uint64))
+    return [int(first[0])] + ([int(second[0])] if both[0] else [])
 
 
 def shingle_set(text: bytes, size: int) -> np.ndarray:
@@ -88,21 +95,18 @@ def signatures(df: DataFrame, size: int, runs: int) -> DataFrame:
     return df.select("_key", "_text").mapInArrow(run, "key long, n int, set binary, sketch binary, roots array<bigint>")
 
 
-def streamed(df: DataFrame, by: str, schema: str, group: Callable, limit: int | None = None, beyond: Callable | None = None) -> DataFrame:
-    """Hands the rows of each value of `by` to group() together, as a pyarrow table, and yields the tables that it returns.
-    Of a value with more than `limit` rows, beyond() gets the rows, some at a time."""
+def streamed(df: DataFrame, by: str, schema: str, group: Callable) -> DataFrame:
+    """Hands the rows of each value of `by` to group() together, as a pyarrow table, and yields the tables that it returns."""
     order = df.columns.index(by)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        held, n_held, value, over = [], 0, None, False
+        held, value = [], None
 
         def flush() -> Iterator:
-            if held:
-                out = (beyond if over else group)(pa.Table.from_batches(held))
-                if out is not None:
-                    yield from out.to_batches()
+            if held and (out := group(pa.Table.from_batches(held))) is not None:
+                yield from out.to_batches()
 
         for batch in batches:
             keys = batch.column(order).to_numpy(zero_copy_only=False)
@@ -112,13 +116,8 @@ def streamed(df: DataFrame, by: str, schema: str, group: Callable, limit: int |
                     continue
                 if keys[a] != value:
                     yield from flush()
-                    held, n_held, value, over = [], 0, keys[a], False
+                    held, value = [], keys[a]
                 held.append(batch.slice(a, b - a))
-                n_held += b - a
-                if limit and (over or n_held > limit):
-                    over = True
-                    yield from flush()
-                    held, n_held = [], 0
         yield from flush()
 
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -155,9 +154,10 @@ def close_pairs(sketch: np.ndarray, n: np.ndarray, threshold: float) -> np.ndarr
 NODES = "bucket long, key long, n int, sketch binary, other long"
 
 
-def compare(nodes: DataFrame, threshold: float, limit: int | None) -> DataFrame:
-    """Of each bucket the edges to the least key of each component (key, other); of those with too many rows, the
-    rows again, in their children's buckets."""
+def compare(nodes: DataFrame, threshold: float, limit: int | None, scratch: Scratch) -> DataFrame:
+    """Of each bucket the edges to the least key of each component (key, other); of those with more rows than the limit, the
+    rows again, in their children's buckets. These rows split where they are: a hot bucket never meets in one task."""
+    nodes = nodes.select("bucket", "key", "n", "sketch")
 
     def arrays(table):
         keys = table.column("key").to_numpy()
@@ -182,18 +182,27 @@ def compare(nodes: DataFrame, threshold: float, limit: int | None) -> DataFrame:
         none = lambda kind: pa.nulls(len(at), kind)
         return pa.Table.from_arrays([none(pa.int64()), pa.array(keys[at]), none(pa.int32()), none(pa.binary()), pa.array(keys[root[at]])], names(table))
 
-    def split(table):
+    def split(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        keys, n, sketch = arrays(table)
-        bucket = int(table.column("bucket")[0].as_py())
-        out = []
-        for c in coordinates(bucket):
-            child = mix(sketch[:, c].astype(np.uint64) + np.uint64(1 + c * 256) + mix(np.full(len(keys), bucket & (2**64 - 1), np.uint64))).view(np.int64)
-            out.append(pa.Table.from_arrays([pa.array(child), table.column("key"), table.column("n"), table.column("sketch"), pa.nulls(len(keys), pa.int64())], names(table)))
-        return pa.concat_tables([x.combine_chunks() for x in out])
-
-    return streamed(nodes.select("bucket", "key", "n", "sketch"), "bucket", NODES, group, limit, split)
+        for table in batches:
+            keys, _, sketch = arrays(table)
+            bucket = table.column("bucket").to_numpy().view(np.uint64)
+            first, second, both = picks(bucket)
+            for c, some in ((first, slice(None)), (second, np.flatnonzero(both))):
+                at, of = c[some], bucket[some]
+                own = sketch[np.arange(len(keys))[some], at.astype(np.int64)]
+                child = mix(own.astype(np.uint64) + np.uint64(1) + at * np.uint64(256) + mix(of)).view(np.int64)
+                rows = table if isinstance(some, slice) else table.take(pa.array(some))
+                yield pa.RecordBatch.from_arrays([pa.array(child), rows.column("key"), rows.column("n"), rows.column("sketch"), pa.nulls(len(child), pa.int64())], names(table))
+
+    if limit is None:
+        return streamed(nodes, "bucket", NODES, group)
+    # one row for every `limit` nodes at most, written: its known size decides whether Spark broadcasts it
+    hot = scratch.save(nodes.groupBy("bucket").count().where(F.col("count") > limit).select("bucket", F.lit(True).alias("hot")), "hot")
+    marked = nodes.join(hot, "bucket", "left")
+    small = streamed(marked.where("hot is null").drop("hot"), "bucket", NODES, group)
+    return small.union(marked.where("hot").drop("hot").mapInArrow(split, NODES)) if not hot.isEmpty() else small
 
 
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
@@ -283,7 +292,7 @@ def classes(df: DataFrame, scratch: Scratch, size: int, threshold: float, recall
     own = scratch.save(signatures(df, size, runs_for(threshold, recall)), "signatures")
     reps = own.where("n > 0").groupBy("set", "n").agg(F.min(F.struct("key", "sketch", "roots")).alias("r"), F.count("*").alias("copies"))
     reps = scratch.save(reps.select("set", "n", F.col("r.key").alias("rep"), F.col("r.sketch").alias("sketch"), F.col("r.roots").alias("roots"), "copies"), "reps")
-    level = compare(reps.select(F.explode("roots").alias("bucket"), F.col("rep").alias("key"), "n", "sketch"), threshold, BUCKET)
+    level = compare(reps.select(F.explode("roots").alias("bucket"), F.col("rep").alias("key"), "n", "sketch"), threshold, BUCKET, scratch)
     edges = None
     for depth in range(1, DEPTH + 2):
         done = scratch.save(level, f"level{depth}")
@@ -295,7 +304,7 @@ def classes(df: DataFrame, scratch: Scratch, size: int, threshold: float, recall
         if depth == DEPTH:  # all pairs of blocks; a block pair is one bucket
             count = rest.groupBy("bucket").agg(F.ceil(F.count("*") / BUCKET).cast("int").alias("blocks"))
             rest = pairs_of_blocks(rest.join(count, "bucket").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")), "bucket").withColumn("bucket", F.col("task"))
-        level = compare(rest, threshold, BUCKET if depth < DEPTH else None)
+        level = compare(rest, threshold, BUCKET if depth < DEPTH else None, scratch)
     near = components(edges, scratch)
     members = reps.join(near, reps["rep"] == near["node"]).select("rep", "n", "copies", F.col("root").alias("component"))
     members = scratch.save(members, "members")
@@ -356,9 +365,10 @@ def join_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, threshold: float = 0.8, recall: float = 0.999) -> DataFrame:
-    """df with one row of each class, that with the least key; texts without a set all stay. Columns as they are."""
+    """df with one row of each class, that with the least key (its id, or a hash where ids are null or repeat); null, empty and blank
+    texts all stay. Columns as they are, whatever their names; an empty table gives an empty one."""
     scratch = Scratch(df.sparkSession)
-    rows, unique = keyed(df, id_col, text_col)
+    rows, unique = keyed(df.select(F.struct("*").alias("_row"), F.col(id_col), F.col(text_col)), id_col, text_col)
     own, sets = classes(rows if unique else rows.withColumn("_repeated", F.lit(True)), scratch, size, threshold, recall)
     first = sets.where("rep = root").select(F.col("rep").alias("_keep"))
     blank = own.where("n = 0").select(F.col("key").alias("_keep"))
@@ -366,4 +376,4 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size
     if not unique:  # equal rows share a key: of those with words one stays
         words = F.length(F.regexp_replace(F.coalesce("_text", F.lit("")), r"[\x20\x09-\x0D]+", "")) > 0
         kept = kept.where(words).dropDuplicates(["_key"]).unionByName(kept.where(~words))
-    return kept.select(*df.columns)
+    return kept.select("_row.*")

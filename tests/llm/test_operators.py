@@ -199,6 +199,10 @@ def test_mix(untidy, texts):
         assert sum(x[0] for x in v) == v[0][1] and abs(sum(x[3] for x in v) - v[0][2]) <= max(x[0] for x in v)
     assert mixing.mix(untidy.limit(0), mixing.words(F.col("text"))).count() == 0
     assert mixing.mixed(untidy).columns == untidy.columns
+    clash = {"key": "_hash", "start": "_size", "id": "_key", "length": "_none"}
+    assert sorted(map(str, mixing.mixed(untidy.withColumnsRenamed(clash)).collect())) == sorted(map(str, mixing.mixed(untidy).withColumnsRenamed(clash).collect()))
+    again = mixing.mix(untidy.withColumnsRenamed(clash), mixing.words(F.col("text")))
+    assert sorted(rows, key=str) == sorted(collect(again, "doc_id", "source", "_size", "_source_size", "_target", "_taken"), key=str)
     assert mixing.mixed(untidy).count() == sum(t // s for _, _, s, _, _, t in rows if s)
 
 
@@ -457,6 +461,8 @@ def test_jaccard_join(spark, docs, untidy, texts):
     kept = jaccard_join.keep_one(docs)
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {i for i, (c, _) in brute_links(dict(enumerate(texts))).items() if i == c}
     assert jaccard_join.keep_one(untidy).count() == kept.count()
+    clash = {"key": "_key", "start": "_text", "id": "_row", "length": "_keep"}
+    assert sorted(map(str, jaccard_join.keep_one(docs.withColumnsRenamed(clash)).collect())) == sorted(map(str, kept.withColumnsRenamed(clash).collect()))
     assert jaccard_join.join_documents(untidy.limit(0)).count() == 0 and jaccard_join.keep_one(untidy.limit(0)).count() == 0
 
 
