@@ -5,12 +5,12 @@ any copy of it whole. A window and a template that share a band's MinHash are a
 bands makes that nearly certain for every window that holds enough of the template. Candidates are
 verified by the exact share of the template's shingles that the window holds.
 
-Two filters precede, and neither can lose a match: a text must contain one of the words without which no
-match is possible, and a window must hold one of the template's shingles, for otherwise no MinHash is equal.
+A filter precedes that cannot lose a match: a text must contain one of the words without which no match is possible.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 
@@ -18,20 +18,27 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SHINGLE, CONTAINMENT, MISS = 5, 0.8, 1e-4
+#: Templates of more characters are not broadcast.
+TEMPLATE_CHARACTERS = 1 << 20
 #: Short notices in common use.
 TEMPLATES = {
+    "agpl-3.0-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     "all-rights-reserved": "All rights reserved.",
     "apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "apache-2.0-header": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.',
     "bsd-conditions": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+    "bsd-no-endorsement": "may be used to endorse or promote products derived from this software without specific prior written permission.",
     "cc-by-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0.",
     "cc-by-sa-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
     "gpl-3.0": "This work is licensed under the GNU General Public License, version 3.",
     "gpl-3.0-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "isc-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "lgpl-2.1-notice": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
     "mit": "Released under the MIT License.",
     "mit-grant": 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software',
     "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
 }
 
 
@@ -102,21 +109,22 @@ def scan_licenses(df: DataFrame, templates: dict[str, str] | None = None, id_col
     docs = docs.select("id", F.xxhash64("text").alias("of"), tokens(F.col("text")).alias("words"))
     docs = docs.select("id", "of", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), shingles(F.col("words"), F.lit(k)).alias("hashes")) for k in sizes])).alias("x")).select("id", "of", "x.k", "x.hashes")
 
-    wanted = F.broadcast(known.select("license", "k", "m", "step", F.explode("own").alias("hash")))
-    hits = docs.select("id", "of", "k", F.posexplode("hashes").alias("at", "hash")).join(wanted, ["k", "hash"])
-    span = F.col("m") + F.col("step")  # shingles in a window
-    first = F.greatest(F.lit(0), F.ceil((F.col("at") - span + 1) / F.col("step"))).cast("int")
-    windows = hits.select("id", "of", "k", "license", F.explode(F.sequence(first, (F.col("at") / F.col("step")).cast("int"))).alias("w")).distinct()
-    windows = windows.groupBy("id", "of", "k").agg(F.collect_set(F.struct("license", "w")).alias("windows"))  # of one text
+    n_bands = {k: max(shape(x)["n_bands"] for x in templates.values() if shape(x)["k"] == k) for k in sizes}
+    most = functools.reduce(lambda c, k: F.when(F.col("k") == k, F.lit(n_bands[k])).otherwise(c), sizes, F.lit(1))
+    small = F.broadcast if sum(len(x) for x in templates.values()) <= TEMPLATE_CHARACTERS else (lambda t: t)
     one = docs.dropDuplicates(["id", "of", "k"])
-    joined = one.alias("d").join(windows.alias("v"), F.col("d.id").eqNullSafe(F.col("v.id")) & (F.col("d.of") == F.col("v.of")) & (F.col("d.k") == F.col("v.k")))
+    banded = one.where(F.size("hashes") > 0).withColumn("band", F.explode(F.sequence(F.lit(0), most - 1)))
+    banded = banded.select("id", "of", "k", "band", F.transform("hashes", lambda h: F.xxhash64(h, F.col("band") + 1)).alias("values"))
+    sought = small(known.select("license", "k", "m", "step", F.posexplode("bands").alias("band", "value")))
+    met = banded.join(sought, ["k", "band"]).where(F.array_contains("values", F.col("value")))  # no window's MinHash is what the text has not
+    starts = F.sequence(F.lit(0), F.expr("(size(values) - 1) div step").cast("int"))
+    windows = F.filter(starts, lambda w: F.array_min(F.slice("values", w * F.col("step") + 1, F.col("m") + F.col("step"))) == F.col("value"))
+    found = met.select("id", "of", "k", "license", F.explode(windows).alias("w")).distinct()
+    found = found.groupBy("id", "of", "k").agg(F.collect_set(F.struct("license", "w")).alias("windows"))  # of one text
+    joined = one.alias("d").join(found.alias("v"), F.col("d.id").eqNullSafe(F.col("v.id")) & (F.col("d.of") == F.col("v.of")) & (F.col("d.k") == F.col("v.k")))
     cut = joined.select("d.id", "d.of", "d.hashes", F.explode("v.windows").alias("x")).select("id", "of", "hashes", "x.license", "x.w")
-    cut = cut.join(F.broadcast(known), "license")
-    cut = cut.select("id", "of", "license", "w", "step", "m", "n_bands", "own", F.slice("hashes", F.col("w") * F.col("step") + 1, F.col("m") + F.col("step")).alias("part"))
-    looked = cut.withColumn("sought", bands(F.col("part"), F.col("n_bands"))).select("id", "of", "license", "w", "step", "part", F.posexplode("sought").alias("band", "value"))
-    table = F.broadcast(known.select(F.col("license").alias("found"), F.posexplode("bands").alias("band", "value")))
-    candidates = looked.join(table, ["band", "value"]).where("license = found").select("id", "of", "license", "w", "step", "part").dropDuplicates(["id", "of", "license", "w"])
-    verified = candidates.join(F.broadcast(known.select("license", "own", "m")), "license").withColumn("containment", F.size(F.array_intersect("own", "part")) / F.size("own")).where(F.col("containment") >= CONTAINMENT)
+    candidates = cut.join(small(known.select("license", "m", "step")), "license").select("id", "of", "license", "w", "step", F.slice("hashes", F.col("w") * F.col("step") + 1, F.col("m") + F.col("step")).alias("part"))
+    verified = candidates.join(small(known.select("license", "own")), "license").withColumn("containment", F.size(F.array_intersect("own", "part")) / F.size("own")).where(F.col("containment") >= CONTAINMENT)
     found = verified.groupBy("id", "of", "license").agg(F.max("containment").alias("containment"), F.min(F.col("w") * F.col("step")).cast("long").alias("first_word"), F.count("*").alias("n_matches"))
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(may).select("id", F.xxhash64("text").alias("of")).groupBy("id", "of").count()
     out = found.alias("f").join(rows.alias("r"), F.col("f.id").eqNullSafe(F.col("r.id")) & (F.col("f.of") == F.col("r.of")))
