@@ -7,8 +7,10 @@ has failed already skips.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from granary.functions import text
 from granary.schema import RECORDS, Field
@@ -20,14 +22,38 @@ def error(field: str, code: str, message: str | Column) -> Column:
     return F.struct(F.lit(field).alias("field"), F.lit(code).alias("code"), (F.lit(message) if isinstance(message, str) else message).alias("message"))
 
 
+def escaped(c: Column) -> Column:
+    """c with all but printable ASCII percent-encoded as UTF-8."""
+    parts = F.transform(F.split(c, ""), lambda x: F.when(x.rlike(r"\A[\x21-\x7e]\z"), x).otherwise(F.regexp_replace(F.hex(F.encode(x, "UTF-8")), "(..)", "%$1")))
+    return F.array_join(parts, "")
+
+
+@F.pandas_udf(T.StringType())
+def ascii_host(s: pd.Series) -> pd.Series:
+    """Host names with their labels in Punycode; only hosts that are not ASCII come here. Null where a label has none."""
+
+    def convert(x):
+        try:
+            return None if x is None or x != x else x.encode("idna").decode()
+        except UnicodeError:
+            return None
+
+    return s.map(convert)
+
+
 def web_url(c: Column) -> Column:
-    """An http or https URL with its host in lower case, no default port and a path; null where it is none."""
+    """An http or https URL with its host in lower case and ASCII, no default port and a path, percent-encoded; null where it is none."""
+    c = F.trim(c)
     scheme = F.lower(F.regexp_extract(c, r"(?i)\A(https?)://", 1))
     host = F.lower(F.regexp_extract(c, r"(?i)\Ahttps?://([^/?#\s]+)", 1))
     host = F.when(scheme == "http", F.regexp_replace(host, r":80\z", "")).otherwise(F.regexp_replace(host, r":443\z", ""))
-    rest = F.regexp_extract(c, r"(?i)\Ahttps?://[^/?#\s]+(.*)\z", 1)
+    rest = F.regexp_extract(c, r"(?is)\Ahttps?://[^/?#\s]+(.*)\z", 1)
     path = F.when(rest.startswith("/"), rest).otherwise(F.concat(F.lit("/"), rest))
-    return F.when((scheme != "") & (host != "") & ~c.rlike(r"\s"), F.concat(scheme, F.lit("://"), host, F.regexp_replace(path, " ", "%20")))
+    port = F.regexp_extract(host, r":(\d*)\z", 1)
+    good = (F.length(port) <= 5) & (F.coalesce(port.try_cast("int"), F.lit(0)) <= 65535) & ~host.rlike(r":[^\d\]]+\z")
+    plain = host.rlike(r"\A[\x21-\x7e]*\z") & path.rlike(r"\A[\x21-\x7e]*\z")
+    whole = F.concat(scheme, F.lit("://"), F.when(host.rlike(r"[^\x21-\x7e]"), ascii_host(host)).otherwise(host), F.when(path.rlike(r"[^\x21-\x7e]"), escaped(path)).otherwise(path))
+    return F.when((scheme != "") & (host != "") & good & ~c.rlike(r"\A\S*[\r\n\t]"), F.when(plain, F.concat(scheme, F.lit("://"), host, path)).otherwise(whole))
 
 
 def _json_type(v: Column) -> Column:
@@ -113,6 +139,8 @@ def validate(df: DataFrame, page_type: str, payload: str = "payload") -> DataFra
     out = out.withColumns({
         "record": F.struct(*[F.col(f"_t_{f.name}").alias(f.name) for f in fields]),
         "errors": F.filter(F.array(*errors), lambda e: e.isNotNull()),
+        # a decimal is written as it was given: its digits are part of it
+        "record_json": F.to_json(F.struct(*[(F.when(F.col(f"_t_{f.name}").isNotNull(), F.trim(F.col(f"_s_{f.name}"))) if f.kind == "decimal" else F.col(f"_t_{f.name}")).alias(f.name) for f in fields]), {"ignoreNullFields": "false"}),
     })
     return out.drop("_doc", *[f"_{k}_{f.name}" for f in fields for k in "vkst"])
 

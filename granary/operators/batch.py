@@ -6,6 +6,7 @@ fetch that ran before. Each URL ends in exactly one bucket, unless the gate trip
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -16,7 +17,7 @@ from granary.operators import fetch
 from granary.operators import gate as gates
 from granary.operators import robots as rules
 from granary.operators import store as stores
-from granary.sources.adapters import Adapter
+from granary.sources.adapters import SCRAPE, Adapter
 
 BUCKETS = ("canonical", "validation_failed", "skipped_robots", "errors", "skipped_fresh")
 
@@ -26,6 +27,7 @@ class Outcome:
     counts: dict[str, int]
     tripped: str | None
     batch: DataFrame
+    credits: int = 0
 
     @property
     def exit_code(self) -> int:
@@ -33,13 +35,16 @@ class Outcome:
 
 
 def classify(urls: DataFrame, robots: DataFrame, scraped: DataFrame, answers: DataFrame, adapter: Adapter, now, max_age_days: int = 7, force: bool = False) -> DataFrame:
-    """urls(seq, url) with source, source_id, payload, errors and bucket. The cheap checks come before what needs a payload."""
+    """urls(seq, url) with source, source_id, payload, errors, record_json and bucket. The cheap checks come first: only answers to
+    URLs that robots and freshness let pass are sanitized and validated. Of several answers to a URL, the greatest that is ok counts."""
     found = adapter.ids(urls.withColumn("source", F.lit(adapter.name)))
     allowed = rules.decide(found, robots, now)
     fresh = stores.freshness(allowed, scraped, now, max_age_days, force)
+    asked = fresh.where(F.col("allowed") & ~F.col("is_fresh")).select("url").distinct()
+    one = answers.join(asked, "url", "left_semi").groupBy("url").agg(F.max(F.struct("ok", "payload")).alias("a")).select("url", "a.payload", "a.ok")
     doc = F.try_parse_json("payload")
     named = F.to_json(F.map_concat(F.map_filter(F.from_json("payload", "map<string,variant>"), lambda k, v: ~k.isin("source", "source_id", "source_url")), F.from_json(F.to_json(F.struct("source", "source_id", F.col("url").alias("source_url"))), "map<string,variant>")))
-    answered = fresh.join(answers, "url", "left").withColumn("payload", F.when(doc.isNotNull(), named))
+    answered = fresh.join(fetch.sanitized(one), "url", "left").withColumn("payload", F.when(doc.isNotNull(), named))
     checked = validate(answered, adapter.page_type)
     bucket = (
         F.when(~F.col("allowed"), "skipped_robots")
@@ -48,58 +53,31 @@ def classify(urls: DataFrame, robots: DataFrame, scraped: DataFrame, answers: Da
         .when(F.size("errors") > 0, "validation_failed")
         .otherwise("canonical")
     )
-    return checked.withColumn("bucket", bucket)
+    return checked.withColumn("bucket", bucket).drop("record")
 
 
-def gated(classified: DataFrame, adapter: Adapter, budget: gates.Budget) -> DataFrame:
-    """The rows that happen before the gate trips; rows that fetch nothing pass it by."""
-    tries = classified.where(F.col("bucket").isin("canonical", "validation_failed", "errors")).select("source", "seq", F.lit(adapter.kind).alias("kind"), (F.col("bucket") == "canonical").alias("ok"))
-    trip = gates.gate(tries, budget).where("tripped is not null").groupBy("source").agg(F.min("seq").alias("stop_seq"), F.min_by("tripped", "seq").alias("tripped"))
-    out = classified.join(F.broadcast(trip), "source", "left")  # a row per source
-    return out.where((F.col("seq") < budget.iterations) & (F.col("stop_seq").isNull() | (F.col("seq") < F.col("stop_seq"))))
+def attempts(classified: DataFrame, adapter: Adapter) -> DataFrame:
+    """The log of what fetches: source, seq, kind, ok."""
+    return classified.where(F.col("bucket").isin("canonical", "validation_failed", "errors")).select("source", "seq", F.lit(adapter.kind).alias("kind"), (F.col("bucket") == "canonical").alias("ok"))
 
 
-def run(store: stores.Store, adapter: Adapter, urls: DataFrame, robots: DataFrame, answers: DataFrame, now=None, trace_id: str = "batch", budget: gates.Budget = gates.Budget(), max_age_days: int = 7, force: bool = False) -> Outcome:
-    """Writes raw, then failures, then changes, then the new canonical version, so that a crash leaves an audited prefix."""
-    spark = store.spark
+def run(store: stores.Store, adapter: Adapter, urls: DataFrame, robots: DataFrame, answers: DataFrame, now=None, trace_id: str | None = None, budget: gates.Budget = gates.Budget(), max_age_days: int = 7, force: bool = False) -> Outcome:
+    """One batch. With the trace id of a batch that crashed, it goes on where that stopped, with what that had classified."""
+    spark, trace_id = store.spark, trace_id or uuid.uuid4().hex
     now = F.lit(spark.sql("select current_timestamp() as t").first()["t"]) if now is None else now
-    canonical, raw = store.read("canonical_records"), store.read("raw_content")
-    rows = classify(urls, robots, stores.last_scraped(canonical, raw), fetch.sanitized(answers), adapter, now, max_age_days, force)
-    batch = gated(rows, adapter, budget)
     path = f"{store.root}/batches/{trace_id}"
-    batch.drop("record").write.mode("overwrite").parquet(path)
-    batch = spark.read.parquet(path)
-    tripped = gates_reason(rows, adapter, budget)
-    fetched = batch.where(F.col("bucket").isin("canonical", "validation_failed"))
-    last = store.last_id("raw_content")
-    attempts = stores.record_attempts(fetched.select("seq", "source", "source_id", "url", "payload"), last, now, trace_id)
-    store.append("raw_content", attempts)
-    logged = store.read("raw_content").where((F.col("id") > last) & (F.col("trace_id") == trace_id)).select(F.col("id").alias("raw_id"), "source", "source_id", "url", "raw_payload")
-    done = logged.join(fetched.select("url", "seq", "errors", "bucket").dropDuplicates(["url"]), "url")
-    failed = stores.failures(done.where("bucket = 'validation_failed'"), now)
-    store.append("validation_failed", stores.dense_ids(failed, "raw_id", store.last_id("validation_failed")).select(*store.read("validation_failed").columns))
-    valid = validate(done.where("bucket = 'canonical'").withColumnRenamed("raw_payload", "payload"), adapter.page_type)
-    new = valid.select("source", "source_id", "url", F.to_json("record", {"ignoreNullFields": "false"}).alias("payload"), now.cast("timestamp").alias("valid_from"), "raw_id")
-    diff = stores.changes(canonical, new, now)
-    numbered = diff.withColumn("_order", F.xxhash64("source", "source_id", "field", "raw_id"))
-    store.append("change_history", number_changes(numbered, store.last_id("change_history")).select(*store.read("change_history").columns))
-    store.replace("canonical_records", stores.upsert(canonical, new))
+    if not store.fs.exists(store._path("batches", trace_id, "_SUCCESS")):
+        canonical, raw = store.read("canonical_records"), store.read("raw_content")
+        classify(urls, robots, stores.last_scraped(canonical, raw), answers, adapter, now, max_age_days, force).write.mode("overwrite").parquet(path)
+    rows = spark.read.parquet(path)
+    trip = gates.gate(attempts(rows.where(F.col("seq") < budget.iterations), adapter), budget).where("tripped is not null").agg(F.min("seq").alias("seq"), F.min_by("tripped", "seq").alias("why")).first()
+    stop = budget.iterations if trip["seq"] is None else min(trip["seq"], budget.iterations)
+    batch = rows.where(F.col("seq") < stop)  # what happens before the gate trips; rows that fetch nothing pass it by
+    stores.commit(store, batch.where(F.col("bucket").isin("canonical", "validation_failed")), now, trace_id)
     found = {r["bucket"]: r["count"] for r in batch.groupBy("bucket").count().collect()}  # five buckets
-    return Outcome({b: found.get(b, 0) for b in BUCKETS}, tripped, batch)
-
-
-def number_changes(diff: DataFrame, last: int) -> DataFrame:
-    """Ids by raw_id: a version's changes get a block of ids of their own, which a version's fields never exceed."""
-    from pyspark.sql import window as W
-
-    per = diff.withColumn("_k", F.row_number().over(W.Window.partitionBy("raw_id").orderBy("field")))
-    return per.withColumn("id", (F.lit(last) + F.col("raw_id") * 1024 + F.col("_k")).cast("long"))
-
-
-def gates_reason(rows: DataFrame, adapter: Adapter, budget: gates.Budget) -> str | None:
-    tries = rows.where(F.col("bucket").isin("canonical", "validation_failed", "errors") & (F.col("seq") < budget.iterations)).select("source", "seq", F.lit(adapter.kind).alias("kind"), (F.col("bucket") == "canonical").alias("ok"))
-    first = gates.gate(tries, budget).where("tripped is not null").agg(F.min_by("tripped", "seq").alias("t")).first()
-    return first["t"]
+    counts = {b: found.get(b, 0) for b in BUCKETS}
+    conserved(counts, urls.where(F.col("seq") < stop).count())
+    return Outcome(counts, trip["why"], batch, counts["canonical"] * budget.scrape_cost * (adapter.kind == SCRAPE))
 
 
 def conserved(counts: dict[str, int], iterated: int) -> None:

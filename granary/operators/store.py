@@ -1,13 +1,15 @@
 """The record store: append-only raw log, latest valid versions, field changes and the failure queue.
 
-All functions take and return DataFrames. Tables live as versions of Parquet directories (Store): a new
-version is written in full or appended, and then named current, so that a reader never sees half a write.
+All functions take and return DataFrames. A table is a list of Parquet folders (Store): what is new is written to a folder of its
+own, and then a new list names it, so that a reader never sees half a write and a crash leaves nothing in the way.
 """
 
 from __future__ import annotations
 
 import json
 import math
+import re
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,24 +22,28 @@ ROWS_TOGETHER = 100_000
 KEY = ["source", "source_id"]
 
 
-def dense_ids(df: DataFrame, order: str, start: int = 0, name: str = "id") -> DataFrame:
-    """Numbers rows from start + 1 in the order of a unique integer column, without one task for all rows: ranges
-    of the column are numbered by themselves, after the counts of earlier ranges."""
+def dense_ids(df: DataFrame, order: str, start: int = 0, name: str = "id", ties: tuple[str, ...] = ()) -> DataFrame:
+    """Numbers rows from start + 1 in the order of an integer column, and of others where it ties, without one task for all
+    rows: ranges of the column are numbered by themselves, after the counts of earlier ranges."""
     ends = df.agg(F.min(order).alias("low"), F.max(order).alias("high"), F.count("*").alias("n")).first()
     if not ends["n"]:
         return df.withColumn(name, F.lit(0).cast("long"))
     width = max(1, math.ceil((ends["high"] - ends["low"] + 1) / math.ceil(ends["n"] / ROWS_TOGETHER)))
     ranged = df.withColumn("_range", F.floor((F.col(order) - ends["low"]) / width))
     before = ranged.groupBy("_range").agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(W.Window.orderBy("_range").rowsBetween(W.Window.unboundedPreceding, -1)), F.lit(0)))
-    own = F.row_number().over(W.Window.partitionBy("_range").orderBy(order))
+    own = F.row_number().over(W.Window.partitionBy("_range").orderBy(order, *ties))
     return ranged.join(before.select("_range", "_before"), "_range").withColumn(name, (F.lit(start) + F.col("_before") + own).cast("long")).drop("_range", "_before")
 
 
 def record_attempts(fetched: DataFrame, last_id: int, now: Column, trace_id: str) -> DataFrame:
     """Rows of raw_content for fetched(seq, source, source_id, url, payload): every payload, also those that are invalid later."""
+    return raw_rows(dense_ids(fetched, "seq", last_id), now, trace_id)
+
+
+def raw_rows(numbered: DataFrame, now: Column, trace_id: str) -> DataFrame:
     body = canonical_json(F.col("payload"))
-    rows = fetched.withColumns({"raw_payload": body, "content_hash": sha256(body), "scraped_at": now, "trace_id": F.lit(trace_id)})
-    return dense_ids(rows, "seq", last_id).select("id", *KEY, "url", "content_hash", "raw_payload", "scraped_at", "trace_id")
+    rows = numbered.withColumns({"raw_payload": body, "content_hash": sha256(body), "scraped_at": now, "trace_id": F.lit(trace_id)})
+    return rows.select("id", *KEY, "url", "content_hash", "raw_payload", "scraped_at", "trace_id")
 
 
 def latest(versions: DataFrame, order: str, key: list[str] = KEY) -> DataFrame:
@@ -119,8 +125,35 @@ def unseen(candidates: DataFrame, known: DataFrame, on: list[str]) -> DataFrame:
     return candidates.join(known.select(*on), on, "left_anti")
 
 
+def commit(store: Store, checked: DataFrame, now: Column, trace_id: str) -> None:
+    """Writes what was fetched, checked(seq, source, source_id, url, payload, errors, record_json): all to the raw log, then
+    the invalid to the failure queue, then the valid ones' changes, then their versions, so that a crash leaves an audited
+    prefix. Each write is made once for a trace id: the same call again does what is left. seq is unique."""
+    raw = store.read("raw_content")
+    again = store.has("raw_content", trace_id)
+    last = (raw.where(F.col("trace_id") == trace_id).agg(F.min("id") - 1).first()[0] if again else None) or (0 if again else store.last_id("raw_content"))
+    rows = dense_ids(checked, "seq", last)
+    if not again:
+        store.append("raw_content", raw_rows(rows, now, trace_id), trace_id)
+    rows = rows.withColumnRenamed("id", "raw_id")
+    if not store.has("validation_failed", trace_id):
+        failed = dense_ids(failures(rows, now), "raw_id", store.last_id("validation_failed"))
+        store.append("validation_failed", failed.select(*TABLES["validation_failed"].names), trace_id)
+    new = rows.where(F.size("errors") == 0).select(*KEY, "url", F.col("record_json").alias("payload"), now.cast("timestamp").alias("valid_from"), "raw_id")
+    old = store.read("canonical_records")
+    if not store.has("change_history", trace_id):
+        diff = dense_ids(changes(old, new, now), "raw_id", store.last_id("change_history"), ties=("field",))
+        store.append("change_history", diff.select(*TABLES["change_history"].names), trace_id)
+    if not store.has("canonical_records", trace_id):
+        store.replace("canonical_records", upsert(old, new), trace_id)
+
+
 class Store:
-    """Tables below a root path, each as versions of a Parquet directory and a pointer to the current one."""
+    """Tables below a root path. A table's folder holds its data's folders and `current`, whose newest entry (a number) lists the
+    data's folders and the labels of the writes that made them. One writer at a time; readers need no lock."""
+
+    #: Appended folders that are brought together, versions that stay readable, and labels that are remembered.
+    COMPACT, KEEP, LABELS = 64, 3, 10_000
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -131,37 +164,119 @@ class Store:
 
     def migrate(self) -> None:
         """Creates the tables that are not there; running it again changes nothing."""
-        for name, schema in TABLES.items():
+        for name in TABLES:
             if self.version(name) < 0:
-                self.replace(name, self.spark.createDataFrame([], schema))
+                self._publish(name, [], [])
+
+    def _versions(self, name: str) -> list[int]:
+        if not self.fs.exists(self._path(name, "current")):
+            return []
+        names = [x.getPath().getName() for x in self.fs.listStatus(self._path(name, "current"))]
+        return sorted(int(x) for x in names if x.isdigit())
 
     def version(self, name: str) -> int:
-        """The newest version that was written in full: its directory holds the writer's success mark."""
-        if not self.fs.exists(self._path(name)):
-            return -1
-        found = [int(s.getPath().getName()[1:]) for s in self.fs.listStatus(self._path(name)) if self.fs.exists(self._path(name, s.getPath().getName(), "_SUCCESS"))]
-        return max(found, default=-1)
+        """The newest version; -1 of a table that is not there."""
+        return max(self._versions(name), default=-1)
 
-    def read(self, name: str) -> DataFrame:
+    def _entry(self, name: str, version: int) -> dict:
+        stream = self.fs.open(self._path(name, "current", f"{version:010}"))
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def _now(self, name: str) -> dict:
         if (v := self.version(name)) < 0:
             raise FileNotFoundError(f"no table {name} below {self.root}: run migrate() first")
-        return self.spark.read.schema(TABLES[name]).parquet(f"{self.root}/{name}/v{v}")
+        return self._entry(name, v)
 
-    def replace(self, name: str, df: DataFrame) -> None:
-        df.write.parquet(f"{self.root}/{name}/v{self.version(name) + 1}")
+    def has(self, name: str, label: str) -> bool:
+        """Whether a write of that label was published."""
+        return label in self._now(name)["labels"]
 
-    def append(self, name: str, df: DataFrame) -> None:
-        df.write.mode("append").parquet(f"{self.root}/{name}/v{self.version(name)}")
+    def read(self, name: str) -> DataFrame:
+        folders = self._now(name)["folders"]
+        if not folders:
+            return self.spark.createDataFrame([], TABLES[name])
+        return self.spark.read.schema(TABLES[name]).parquet(*[f"{self.root}/{name}/{f}" for f in folders])
+
+    def _publish(self, name: str, folders: list[str], labels: list[str]) -> None:
+        """Names these folders current, by one rename."""
+        version = self.version(name) + 1
+        half, entry = self._path(name, "current", f"half-{uuid.uuid4().hex}"), self._path(name, "current", f"{version:010}")
+        out = self.fs.create(half)
+        out.write(json.dumps({"folders": folders, "labels": labels[-self.LABELS :]}).encode())
+        out.close()
+        if self.fs.exists(entry) or not self.fs.rename(half, entry):
+            raise RuntimeError(f"{name}: another writer was faster")
+        for old in self._versions(name)[: -self.KEEP]:
+            self.fs.delete(self._path(name, "current", f"{old:010}"), False)
+
+    def _write(self, name: str, df: DataFrame) -> str:
+        folder = f"data-{uuid.uuid4().hex}"
+        df.write.parquet(f"{self.root}/{name}/{folder}")
+        return folder
+
+    def replace(self, name: str, df: DataFrame, label: str | None = None) -> None:
+        """Makes df the table. Folders that no readable version names are deleted."""
+        now = self._now(name) if self.version(name) >= 0 else {"folders": [], "labels": []}
+        self._publish(name, [self._write(name, df)], now["labels"] + ([label] if label else []))
+        named = {f for v in self._versions(name) for f in self._entry(name, v)["folders"]}
+        for status in self.fs.listStatus(self._path(name)):
+            if (folder := status.getPath().getName()).startswith("data-") and folder not in named:
+                self.fs.delete(status.getPath(), True)
+
+    def append(self, name: str, df: DataFrame, label: str | None = None) -> None:
+        now = self._now(name)
+        if len(now["folders"]) >= self.COMPACT:
+            return self.replace(name, self.read(name).unionByName(df), label)
+        self._publish(name, [*now["folders"], self._write(name, df)], now["labels"] + ([label] if label else []))
 
     def last_id(self, name: str) -> int:
         return self.read(name).agg(F.coalesce(F.max("id"), F.lit(0)).alias("n")).first()["n"]
 
 
+#: What a query that only reads is parsed into.
+READING = set(
+    "Aggregate Distinct Except Filter Generate GlobalLimit Intersect Join LateralJoin LocalLimit LocalRelation Offset OneRowRelation Pivot Project Range Sample Sort SubqueryAlias "
+    "Subquery Tail Union UnresolvedHaving UnresolvedInlineTable UnresolvedOrderedTable UnresolvedRelation UnresolvedSubqueryColumnAliases UnresolvedTableValuedFunction UnresolvedWith "
+    "Unpivot View Window WithWindowDefinition WithCTE CTERelationDef CTERelationRef".split()
+)
+#: Functions that run code of any kind.
+UNSAFE_FUNCTIONS = {"reflect", "java_method", "try_reflect"}
+
+
 def read_only_sql(spark: SparkSession, query: str, rows: int = 50) -> DataFrame:
-    """The first rows of a query, which must be one that only reads: commands and writes are refused before they run."""
+    """The first rows of a query over tables and views, made of reading operators alone: anything else is refused before it runs,
+    and so are paths in place of tables and functions that run code."""
     plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(query)
-    names = json.loads(plan.toJSON())
-    bad = [n["class"].rpartition(".")[2] for n in names if any(w in n["class"] for w in ("Command", "InsertInto", "CreateTable", "CreateView", "DropTable", "DropView", "DropNamespace", "CreateNamespace", "DeleteFrom", "UpdateTable", "MergeInto", "AlterTable", "SetCatalog", "TruncateTable", "ReplaceTable", "CacheTable", "UncacheTable", "RefreshTable", "AddColumns", "RenameTable", "LoadData", "RepairTable", "AnalyzeTable", "CreateFunction", "DropFunction"))]
-    if bad:
-        raise PermissionError(f"only queries are allowed, not {bad[0]}")
+
+    def refuse(what: str) -> None:
+        raise PermissionError(f"only queries are allowed, not {what}")
+
+    def check(node, path: str) -> None:
+        if isinstance(node, list):
+            for x in node:
+                check(x, path)
+        elif isinstance(node, dict):
+            name = node.get("class", "")
+            short = name.rpartition(".")[2]
+            if ".plans.logical." in name or ".execution." in name or (".analysis." in name and path == "plan"):
+                if short not in READING:
+                    refuse(short)
+            if short in ("UnresolvedRelation", "UnresolvedTableValuedFunction"):
+                parts = [x.strip().lower() for x in str(node.get("multipartIdentifier", node.get("name", ""))).strip("[]").split(",")]
+                if short == "UnresolvedRelation" and (len(parts) > 1 and any(c in parts[-1] for c in "/:.*")):
+                    refuse("a path")
+            if short == "UnresolvedFunction" and {x.strip().lower() for x in str(node.get("nameParts")).strip("[]").split(",")} & UNSAFE_FUNCTIONS:
+                refuse("a function that runs code")
+            for x in node.values():
+                check(x, "inner")
+
+    tree = json.loads(plan.toJSON())
+    for node in tree:
+        check(node, "plan")
+    text = plan.treeString().lower()
+    if any(re.search(rf"\b{f}\b", text) for f in UNSAFE_FUNCTIONS):
+        refuse("a function that runs code")
     return spark.sql(query).limit(rows)

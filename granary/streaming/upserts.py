@@ -10,28 +10,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from granary.functions.validate import validate
 from granary.operators import store as stores
 
 INCOMING = "seq long, source string, source_id string, url string, payload string"
 
 
-def upsert_stream(incoming: DataFrame, store: stores.Store, checkpoint: str, now: Column | None = None, once: bool = True) -> StreamingQuery:
-    """Writes each micro-batch's changes and new versions. A batch that is replayed after a crash finds its raw rows by
-    its trace id and does not append them again."""
+def upsert_stream(incoming: DataFrame, store: stores.Store, checkpoint: str, page_type: str, now: Column | None = None, once: bool = True, name: str = "stream") -> StreamingQuery:
+    """Writes each micro-batch as a batch does: all payloads to the raw log, invalid ones to the failure queue, the changes and
+    versions of valid ones. A micro-batch that is replayed after a crash does what is left (store.commit)."""
     now = F.current_timestamp() if now is None else now
 
     def write(batch: DataFrame, epoch: int) -> None:
-        trace = f"stream-{epoch}"
-        if store.read("raw_content").where(F.col("trace_id") == trace).isEmpty():
-            store.append("raw_content", stores.record_attempts(batch, store.last_id("raw_content"), now, trace))
-        new = store.read("raw_content").where(F.col("trace_id") == trace).select("source", "source_id", "url", F.col("raw_payload").alias("payload"), F.col("scraped_at").alias("valid_from"), F.col("id").alias("raw_id"))
-        old = store.read("canonical_records")
-        diff = stores.changes(old, new, now)
-        last = store.last_id("change_history")
-        from granary.operators.batch import number_changes
-
-        store.append("change_history", number_changes(diff, last).select(*store.read("change_history").columns))
-        store.replace("canonical_records", stores.upsert(old, new))
+        stores.commit(store, validate(batch, page_type), now, f"{name}-{epoch}")
 
     writer = incoming.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()

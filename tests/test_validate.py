@@ -2,7 +2,9 @@ import json
 
 import pytest
 
-from granary.functions.validate import validate
+from pyspark.sql import functions as F
+
+from granary.functions.validate import validate, web_url
 
 BASE = {"source": "s", "source_url": "HTTPS://Example.COM:443", "source_id": "1"}
 GOOD = {
@@ -44,3 +46,19 @@ def test_bad_records(spark):
         assert errors == want, (t, over)
 
 
+
+
+def test_web_urls(spark):
+    want = {
+        "https://é.com/a b": "https://xn--9ca.com/a%20b", " HTTP://A.B:80 ": "http://a.b/", "https://a.b:443?q=ü": "https://a.b/?q=%C3%BC", "https://a.b:8443/x": "https://a.b:8443/x",
+        "https://a.b:99999/": None, "ftp://a.b/": None, "https://": None, "https://a.b:x/": None, "no url": None, None: None, "https://a.b/日": "https://a.b/%E6%97%A5",
+    }
+    df = spark.createDataFrame([(k,) for k in want], "u string")
+    assert {r.u: r.v for r in df.select("u", web_url(F.col("u")).alias("v")).collect()} == want
+
+
+def test_decimals_keep_their_digits(spark):
+    rows = [(p,) for p in ('"29.90"', "149", '"149.00"', "null", '"x"')]
+    df = spark.createDataFrame(rows, "p string").withColumn("payload", F.concat(F.lit('{"source":"s","source_url":"https://u.v","source_id":"i","name":"n","in_stock":true,"price":'), "p", F.lit("}")))
+    got = {r.p: r.record_json for r in validate(df, "product").collect()}
+    assert [('"price":"29.90"' in got['"29.90"']), ('"price":"149"' in got["149"]), ('"price":"149.00"' in got['"149.00"']), ('"price":null' in got["null"]), ('"price":null' in got['"x"'])] == [True] * 5
