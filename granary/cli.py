@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import sys
+import uuid
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -23,8 +24,11 @@ def run(a: argparse.Namespace) -> int:
     tables.migrate()
     urls = source.urls(spark, a.seeds).select("seq", "url")
     budget = gate.Budget(a.max_credits, a.max_iterations, 3, a.max_http_calls)
-    out = batch.run(tables, source, urls, spark.read.parquet(a.robots), spark.read.parquet(a.answers), trace_id=a.trace_id, budget=budget, max_age_days=a.max_age_days, force=a.force)
-    print(" ".join(f"{k}={v}" for k, v in out.counts.items()), f"tripped={out.tripped}")
+    trace_id = a.trace_id or uuid.uuid4().hex
+    with files.Tracer(spark, f"{a.store}/traces").span("batch", batch_id=trace_id, source=source.name) as attrs:
+        out = batch.run(tables, source, urls, spark.read.parquet(a.robots), spark.read.parquet(a.answers), trace_id=trace_id, budget=budget, max_age_days=a.max_age_days, force=a.force)
+        attrs |= out.counts | {"credits": out.credits}
+    print(" ".join(f"{k}={v}" for k, v in out.counts.items()), f"credits={out.credits} tripped={out.tripped} trace={trace_id}")
     return out.exit_code
 
 
@@ -46,10 +50,10 @@ def resolve(a: argparse.Namespace) -> int:
     tables = store.Store(spark, a.store)
     wanted = spark.createDataFrame([(a.id, a.resolution)], "id long, resolution string")
     out = store.resolve(tables.read("validation_failed"), wanted, F.current_timestamp())
-    row = out.where(F.col("id") == a.id).first()
-    print(row)
-    if not a.dry_run:
-        tables.replace("validation_failed", out)
+    with files.Tracer(spark, f"{a.store}/traces").span("resolve", id=a.id, resolution=a.resolution, reason=a.reason or "", dry_run=a.dry_run):
+        print(out.where(F.col("id") == a.id).first())
+        if not a.dry_run:
+            tables.replace("validation_failed", out)
     return 0
 
 
@@ -71,7 +75,7 @@ def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="granary")
     sub = p.add_subparsers(required=True)
     r = sub.add_parser("run")
-    for name, kind, default in (("source", str, None), ("store", str, None), ("robots", str, None), ("answers", str, None), ("seeds", str, ""), ("trace-id", str, "batch"), ("since", str, ""), ("max-credits", int, 100), ("max-iterations", int, 200), ("max-http-calls", int, 200), ("max-age-days", int, 7)):
+    for name, kind, default in (("source", str, None), ("store", str, None), ("robots", str, None), ("answers", str, None), ("seeds", str, ""), ("trace-id", str, ""), ("since", str, ""), ("max-credits", int, 100), ("max-iterations", int, 200), ("max-http-calls", int, 200), ("max-age-days", int, 7)):
         r.add_argument(f"--{name}", type=kind, default=default or None, required=default is None)
     r.add_argument("--force", action="store_true")
     r.set_defaults(do=run)
@@ -83,6 +87,7 @@ def parser() -> argparse.ArgumentParser:
     v.add_argument("--store", required=True)
     v.add_argument("--id", type=int, required=True)
     v.add_argument("--resolution", choices=sorted(store.RESOLUTIONS), required=True)
+    v.add_argument("--reason")
     v.add_argument("--dry-run", action="store_true")
     v.set_defaults(do=resolve)
     d = sub.add_parser("discover")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.functions import html, text
@@ -24,11 +24,22 @@ def sanitized(answers: DataFrame, payload: str = "payload") -> DataFrame:
     return out.withColumn(payload, F.coalesce(F.to_json(merged), F.col(payload))).drop(*[f"_{f}" for f in SANITIZED])
 
 
+REQUIRED = ("source", "source_id", "source_url")
+
+
+def has_required(payload: Column) -> Column:
+    """Whether a payload is a JSON object with all keys that name its record."""
+    doc = F.try_parse_json(payload)
+    there = F.map_keys(F.from_json(F.when(F.schema_of_variant(doc).startswith("OBJECT"), payload), "map<string,variant>"))
+    return F.coalesce(F.forall(F.array(*map(F.lit, REQUIRED)), lambda k: F.array_contains(there, k)), F.lit(False))
+
+
 def api_payloads(answers: DataFrame, adapter: Adapter) -> DataFrame:
-    """url, payload, ok of an API's answers(url, body, ok): a body that is no JSON object, or a source without a mapping, is an error."""
+    """url, payload, ok of an API's answers(url, body, ok): a body that is no JSON object, a payload without the keys that name its
+    record, or a source without a mapping, is an error."""
     if adapter.response is None:
         raise ValueError(f"source {adapter.name!r} has no response mapping")
     doc = F.try_parse_json("body")
     good = F.coalesce(F.col("ok") & F.schema_of_variant(doc).startswith("OBJECT"), F.lit(False))
-    mapped = answers.select("url", F.when(good, adapter.response(doc, F.col("url"))).alias("payload"), good.alias("ok"))
-    return sanitized(mapped)
+    mapped = answers.select("url", F.when(good, adapter.response(doc, F.col("url"))).alias("payload")).withColumn("ok", has_required(F.col("payload")))
+    return sanitized(mapped.withColumn("payload", F.when(F.col("ok"), F.col("payload"))))

@@ -6,6 +6,8 @@ an attempt is what the source's earlier attempts have left. Windows are per sour
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -84,3 +86,14 @@ class LiveGate:
         if ok:
             self.credits += self.budget.scrape_cost * (kind == "scrape")
             self.http += kind == "http"
+
+    @contextmanager
+    def guard(self, kind: str) -> Iterator[None]:
+        """A call: refused before it if the gate trips, counted after it as it went. The rate is the caller's business."""
+        self.check(kind)
+        ok = False
+        try:
+            yield
+            ok = True
+        finally:
+            self.done(kind, ok)

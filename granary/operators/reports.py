@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
@@ -32,16 +34,28 @@ def change_rate(changes: DataFrame) -> DataFrame:
     return changes.groupBy(F.trunc("changed_at", "month").alias("month")).agg(F.count("*").alias("n_changes")).withColumn("over_limit", F.col("n_changes") > 50)
 
 
+def change_share(changes: DataFrame, canonical: DataFrame) -> DataFrame:
+    """Changes by month, the records there are, and whether more than a tenth of as many changed."""
+    size = canonical.agg(F.count("*").alias("n_records"))  # one row
+    share = F.col("n_changes") > 0.1 * F.col("n_records")
+    return change_rate(changes).drop("over_limit").join(F.broadcast(size)).withColumn("over_share", share)
+
+
+def with_payload_field(canonical: DataFrame, path: str, kind: str, test: Callable[[Column], Column]) -> DataFrame:
+    """Records whose payload has a value of that type at a path for which the test holds."""
+    return canonical.where(F.coalesce(test(F.try_variant_get(F.try_parse_json("payload"), path, kind)), F.lit(False)))
+
+
 def real_changes(changes: DataFrame) -> DataFrame:
     """Without changes that are noise: equal when read as JSON, or as text without outer white space."""
     same = F.try_parse_json("old_value").cast("string").eqNullSafe(F.try_parse_json("new_value").cast("string"))
     return changes.where(~(same | (F.trim(F.regexp_replace("old_value", '^"|"$', "")) == F.trim(F.regexp_replace("new_value", '^"|"$', "")))))
 
 
-def trace_report(spans: DataFrame, by: list[str], duration: str = "duration_ms") -> DataFrame:
-    """Spans, errors and exact latency quantiles."""
+def trace_report(spans: DataFrame, by: list[str], duration: str = "duration_ms", credits: Column | None = None) -> DataFrame:
+    """Spans, errors, exact latency quantiles and, if given, the sum of credits."""
     q = lambda p: F.percentile(duration, p)
-    return spans.groupBy(*by).agg(F.count("*").alias("n_spans"), F.count_if(F.col("status") == "error").alias("n_errors"), q(0.5).alias("p50"), q(0.95).alias("p95"), F.max(duration).alias("longest"))
+    return spans.groupBy(*by).agg(F.count("*").alias("n_spans"), F.count_if(F.col("status") == "error").alias("n_errors"), q(0.5).alias("p50"), q(0.95).alias("p95"), F.max(duration).alias("longest"), *([] if credits is None else [F.coalesce(F.sum(credits), F.lit(0)).cast("long").alias("credits")]))
 
 
 def failures_with_raw(failed: DataFrame, raw: DataFrame, n: int = 10) -> DataFrame:

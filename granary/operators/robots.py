@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -59,3 +61,33 @@ def decide(urls: DataFrame, robots: DataFrame, now: Column, host_cached: bool =
         first = out.groupBy("robots_url").agg(F.min_by(F.struct("allowed", "delay"), "seq").alias("_first"))
         out = out.drop("allowed", "delay").join(first, "robots_url", "left").select("*", "_first.allowed", "_first.delay").drop("_first")
     return out.drop("_v", "_r", "status", "body", "robots_url")
+
+
+def http_get(url: str, timeout: float = 10.0) -> tuple[int | None, str | None]:
+    """Status and body of a robots.txt; no status where there was no answer."""
+    import urllib.error
+    import urllib.request
+
+    try:
+        with urllib.request.urlopen(urllib.request.Request(url, headers={"User-Agent": USER_AGENT}), timeout=timeout) as answer:
+            return answer.status, answer.read().decode("utf-8", errors="replace")
+    except urllib.error.HTTPError as e:
+        return e.code, None
+    except (urllib.error.URLError, TimeoutError, OSError):
+        return None, None
+
+
+def fetched(urls: DataFrame, known: DataFrame | None = None, now: Column | None = None, get: Callable[[str], tuple[int | None, str | None]] = http_get, tasks: int = 8) -> DataFrame:
+    """robots_url, status, body, fetched_at of each host of urls(url): one call a host, none for those that `known` has within TTL_SECONDS."""
+    now = F.current_timestamp() if now is None else now
+    hosts = urls.select(robots_url(F.col("url")).alias("robots_url")).where("robots_url is not null").distinct()
+    if known is not None:
+        fresh = known.where(F.unix_micros(now) - F.unix_micros("fetched_at") < TTL_SECONDS * 1_000_000).select("robots_url").distinct()
+        hosts = hosts.join(fresh, "robots_url", "left_anti")
+
+    def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [(u, *get(u)) for u in batch["robots_url"]]
+            yield pd.DataFrame(rows, columns=["robots_url", "status", "body"]).astype({"status": "Int32"})
+
+    return hosts.repartition(tasks, "robots_url").mapInPandas(call, "robots_url string, status int, body string").withColumn("fetched_at", now.cast("timestamp"))

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +33,32 @@ def append_spans(spans: DataFrame, path: str) -> None:
     spans.withColumn("day", F.date_format(F.timestamp_seconds("started"), "yyyyMMdd")).write.mode("append").partitionBy("day").json(path)
 
 
+class Tracer:
+    """Spans of a driver's work: span() opens one below that which is open, measures it and notes how it ended; when the
+    outermost ends, all are appended to the trace files."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path, self.open, self.ended = spark, path, [], []
+
+    @contextmanager
+    def span(self, name: str, **attrs) -> Iterator[dict]:
+        """attrs, to which the caller may add; values are written as text."""
+        ident, began, mark = uuid.uuid4().hex, time.time(), time.monotonic()
+        parent, status, fault = self.open[-1] if self.open else None, "ok", None
+        self.open.append(ident)
+        try:
+            yield attrs
+        except BaseException as e:
+            status, fault = "error", repr(e)
+            raise
+        finally:
+            self.open.pop()
+            self.ended.append((ident, parent, name, began, {k: str(v) for k, v in attrs.items()}, status, fault, int((time.monotonic() - mark) * 1000)))
+            if not self.open:
+                rows, self.ended = self.ended, []
+                append_spans(self.spark.createDataFrame(rows, SPANS).coalesce(1), self.path)
+
+
 def children(spans: DataFrame) -> DataFrame:
     """root, child pairs by parent id."""
     root = spans.where("parent_id is null").select(F.col("span_id").alias("root_id"), F.col("name").alias("root_name"))

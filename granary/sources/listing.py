@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import logging
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame
@@ -41,14 +42,17 @@ def listed_urls(pages: DataFrame, limit: int = LIMIT, max_pages: int = MAX_PAGES
 
 
 class _Page(InputPartition):
-    def __init__(self, page: int):
+    """A page, or with `on` all from it on until the listing ends."""
+
+    def __init__(self, page: int, on: bool = False):
         super().__init__(page)
-        self.page = page
+        self.page, self.on = page, on
 
 
 class ListingSource(DataSource):
-    """spark.read.format("limit_skip").option("template", ...).load(): page, body. The first page says how many there are; each
-    is a partition of its own. Options: limit, max_pages, total_key, rps (the spacing of calls in a task)."""
+    """spark.read.format("limit_skip").option("template", ...).load(): page, body. Where the first page says how many items there
+    are, each page is a partition of its own; else one partition asks page after page and stops at the first that is short or
+    empty, so that no page is fetched behind the end. Options: rps (calls a second, required), limit, max_pages, items_key, total_key."""
 
     fetch: Callable[[str], str] | None = None
 
@@ -68,7 +72,9 @@ def http_get(url: str, agent: str = "granary/1.0 (+contact@example.com)", timeou
 
     request = urllib.request.Request(url, headers={"User-Agent": agent, "Accept": "application/json"})
     with urllib.request.urlopen(request, timeout=timeout) as answer:
-        body = answer.read().decode("utf-8")
+        kind, body = answer.headers.get("Content-Type", ""), answer.read().decode("utf-8")
+    if not kind.startswith("application/json"):
+        logging.getLogger(__name__).warning("%s answers with Content-Type %r; read as JSON all the same", url, kind)
     if not isinstance(json.loads(body), dict):
         raise ValueError(f"expected a JSON object from {url}")
     return body
@@ -78,18 +84,32 @@ class _ListingReader(DataSourceReader):
     def __init__(self, options: dict, fetch: Callable[[str], str] | None):
         self.template, self.limit = options["template"], int(options.get("limit", LIMIT))
         self.max_pages, self.total_key = int(options.get("max_pages", MAX_PAGES)), options.get("total_key", "total")
-        self.rps, self.fetch = float(options.get("rps", 1.0)), fetch or http_get
+        self.items_key, self.fetch = options.get("items_key", "products"), fetch or http_get
+        if "rps" not in options or float(options["rps"]) <= 0:
+            raise ValueError("a listing needs rps, the calls a second that its source allows")
+        self.rps = float(options["rps"])
 
     def url(self, page: int) -> str:
         return self.template.format(limit=self.limit, skip=page * self.limit)
 
     def partitions(self):
-        total = json.loads(self.fetch(self.url(0))).get(self.total_key)
-        n = self.max_pages if not isinstance(total, int) else min(self.max_pages, max(1, -(-total // self.limit)))
-        return [_Page(k) for k in range(n)]
+        first = json.loads(self.fetch(self.url(0)))
+        total = first.get(self.total_key)
+        if not isinstance(total, int):
+            return [_Page(0, on=True)]
+        if len(first.get(self.items_key) or []) < self.limit:
+            return [_Page(0)]
+        return [_Page(k) for k in range(min(self.max_pages, max(1, -(-total // self.limit))))]
 
     def read(self, partition: _Page) -> Iterator[tuple]:
         import time
 
-        time.sleep(partition.page / self.rps if self.fetch is http_get else 0)  # pages start one interval apart
-        yield partition.page, self.fetch(self.url(partition.page))
+        page = partition.page
+        time.sleep(page / self.rps if self.fetch is http_get else 0)  # pages start one interval apart
+        while True:
+            body = self.fetch(self.url(page))
+            yield page, body
+            page += 1
+            if not partition.on or page >= self.max_pages or len(json.loads(body).get(self.items_key) or []) < self.limit:
+                return
+            time.sleep(1 / self.rps if self.fetch is http_get else 0)

@@ -101,9 +101,109 @@ def test_data_source(spark):
             limit, skip = map(int, re.findall(r"=(\d+)", url))
             return json.dumps({"products": [{"id": i} for i in range(skip, min(70, skip + limit))], "total": 70})
 
-    spark.dataSource.register(Fake)
-    pages = spark.read.format("limit_skip").option("template", "https://x/p?limit={limit}&skip={skip}").load()
-    assert pages.count() == 3 and listing.listed_urls(pages).count() == 70
+    class Endless(Fake):
+        """Never says how many there are, and fails behind the end."""
+
+        @classmethod
+        def name(cls):
+            return "endless"
+
+        @staticmethod
+        def fetch(url):
+            import json
+            import re
+
+            limit, skip = map(int, re.findall(r"=(\d+)", url))
+            if skip >= 90:
+                raise RuntimeError("behind the end")
+            return json.dumps({"products": [{"id": i} for i in range(skip, min(70, skip + limit))]})
+
+    for source in (Fake, Endless):
+        spark.dataSource.register(source)
+        read = lambda: spark.read.format(source.name()).option("template", "https://x/p?limit={limit}&skip={skip}")  # noqa: B023, E731
+        pages = read().option("rps", 5).load()
+        assert pages.count() == 3 and listing.listed_urls(pages).count() == 70
+        with pytest.raises(Exception, match="needs rps"):
+            read().load().count()
+
+
+def test_robots_are_fetched_once_a_host(spark):
+    urls = spark.createDataFrame([("https://a.b/1",), ("https://a.b/2",), ("https://c.d/x",), ("https://e.f/x",), (None,)], "url string")
+    known = spark.createDataFrame([("https://e.f/robots.txt", 200, "", dt.datetime(2026, 1, 9, 23, 30)), ("https://c.d/robots.txt", 200, "", dt.datetime(2026, 1, 9, 20))], "robots_url string, status int, body string, fetched_at timestamp")
+
+    def get(url):
+        return (200, "User-agent: *\nDisallow: /2") if "a.b" in url else (None, None)
+
+    got = robots.fetched(urls, known, now(), get)
+    assert sorted((r.robots_url, r.status, r.body is None) for r in got.collect()) == [("https://a.b/robots.txt", 200, False), ("https://c.d/robots.txt", None, True)]
+    allowed = {r.url: r.allowed for r in robots.decide(urls.where("url is not null"), got.unionByName(known.where("robots_url like '%e.f%'")), now()).collect()}
+    assert allowed == {"https://a.b/1": True, "https://a.b/2": False, "https://c.d/x": False, "https://e.f/x": True}
+
+
+def test_guarded_calls():
+    live = gate.LiveGate(gate.Budget(credits=10, errors=2))
+    with live.guard("scrape"):
+        pass
+    for _ in range(2):
+        with pytest.raises(KeyError), live.guard("scrape"):
+            raise KeyError
+    assert (live.credits, live.iterations, live.errors) == (5, 3, 2)
+    with pytest.raises(RuntimeError, match="circuit breaker"), live.guard("scrape"):
+        raise AssertionError("not reached")
+
+
+def test_spans_nest(spark, tmp_path):
+    tracer = files.Tracer(spark, str(tmp_path / "t"))
+    with pytest.raises(ValueError), tracer.span("outer", batch_id="b"):
+        with tracer.span("inner", credits=5) as attrs:
+            attrs["more"] = 1
+        raise ValueError("x")
+    spans = files.traces(spark, str(tmp_path / "t"))
+    inner, outer = spans.where("name = 'inner'").first(), spans.where("name = 'outer'").first()
+    assert inner.parent_id == outer.span_id and outer.parent_id is None and (inner.status, outer.status) == ("ok", "error") and "ValueError" in outer.error
+    assert inner.attrs == {"credits": "5", "more": "1"} and 0 <= inner.duration_ms <= outer.duration_ms
+    report = reports.trace_report(spans, ["name"], credits=F.col("attrs")["credits"].cast("long"))
+    assert {r.name: (r.n_errors, r.credits) for r in report.collect()} == {"inner": (0, 5), "outer": (1, 0)}
+
+
+def test_reports(spark):
+    runs = spark.createDataFrame([(1, True), (1, False), (2, True), (3, False)], "k int, ok boolean")
+    verdict = lambda k: reports.run_summary(runs.where(F.col("k") == k), F.col("ok")).first().verdict
+    assert [verdict(k) for k in (1, 2, 3)] == ["intermittent", "stable", "broken"]
+    records = spark.createDataFrame([(i, '{"code_block_count": %d}' % i) for i in range(20)] + [(30, None), (31, "no json")], "id int, payload string")
+    assert sorted(r.id for r in reports.with_payload_field(records, "$.code_block_count", "int", lambda n: n > 10).collect()) == list(range(11, 20))
+    changed = spark.createDataFrame([(dt.datetime(2026, 1, 1),)] * 3 + [(dt.datetime(2026, 2, 1),)] * 2, "changed_at timestamp")
+    assert {r.month.month: r.over_share for r in reports.change_share(changed, records).collect()} == {1: True, 2: False}
+
+
+def test_payloads_need_their_names(spark):
+    from granary.operators import fetch
+
+    whole = '{"source": "s", "source_id": "1", "source_url": "u"}'
+    rows = [(whole, True), ('{"source": "s", "source_id": "1"}', False), ("{}", False), ("[1]", False), ("no json", False), (None, False)]
+    df = spark.createDataFrame(rows, "payload string, want boolean")
+    assert all(r.got == r.want for r in df.withColumn("got", fetch.has_required(F.col("payload"))).collect())
+
+
+def test_command_line(spark, tmp_path, capsys, monkeypatch):
+    from granary import cli
+
+    monkeypatch.setattr(cli, "session", lambda: spark)
+    source, root = adapters.adapter("scrapethissite_com"), f"file://{tmp_path}/store"
+    assert cli.main(["state", "--store", root]) == 1 and "migrate" in capsys.readouterr().err
+    spark.createDataFrame([("https://www.scrapethissite.com/robots.txt", 404, None, dt.datetime.now())], "robots_url string, status int, body string, fetched_at timestamp").write.parquet(str(tmp_path / "robots"))
+    good = '{"term": "t", "definition": "a definition of it"}'
+    spark.createDataFrame([(u, good if i else '{"term": "t"}', True) for i, u in enumerate(source.seeds)], "url string, payload string, ok boolean").write.parquet(str(tmp_path / "answers"))
+    assert cli.main(["run", "--source", source.name, "--store", root, "--robots", str(tmp_path / "robots"), "--answers", str(tmp_path / "answers")]) == 0
+    assert "canonical=5 validation_failed=1" in (out := capsys.readouterr().out) and "credits=25" in out
+    assert cli.main(["resolve", "--store", root, "--id", "1", "--resolution", "discarded", "--reason", "thin page"]) == 0
+    assert cli.main(["state", "--store", root, "--source", source.name]) == 0 and f"| {source.name} | 5 | 0 |" in capsys.readouterr().out
+    spans = {r.name: r.attrs for r in files.traces(spark, f"{root}/traces").collect()}
+    assert spans["resolve"]["reason"] == "thin page" and spans["batch"]["credits"] == "25"
+    (tmp_path / "links").write_text("https://x.y/news/a\nhttps://x.y/news/b\nhttps://x.y/other\n")
+    (tmp_path / "seeds").write_text("https://x.y/news/a\n")
+    assert cli.main(["discover", "--links", str(tmp_path / "links"), "--seeds", str(tmp_path / "seeds"), "--prefix", "https://x.y/news/"]) == 0
+    assert "| 3 | 2 | 1 |" in capsys.readouterr().out
 
 
 def test_batch_twice(spark, tmp_path):
