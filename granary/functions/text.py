@@ -49,17 +49,20 @@ def has_hint(c: Column) -> Column:
 def sanitize(c: Column, hidden: Column | None = None) -> Column:
     """struct(text, warnings) of a text that is normalized already. hidden: warnings of hidden markup, which come first.
 
-    Null stays null. All in one pass of the JVM; warnings are in order and unique.
+    Null stays null. Each step's text is bound once (as the element of an array) and serves all that follows; warnings are in
+    order and unique.
     """
-    plain = strip_invisible(c)
-    found = F.array(
-        F.when(c.rlike(INVISIBLE), F.lit(WARNINGS["invisible"])),
-        F.when(plain.rlike(ROLE), F.lit(WARNINGS["role"])),
-        F.when(has_hint(neutralize_roles(plain)), F.lit(WARNINGS["hint"])),
-    )
-    own = F.filter(found, lambda x: x.isNotNull())
-    warnings = own if hidden is None else F.array_distinct(F.concat(F.coalesce(hidden, F.array().cast("array<string>")), own))
-    return F.when(c.isNotNull(), F.struct(neutralize_roles(plain).alias("text"), warnings.alias("warnings")))
+    plain = F.array(strip_invisible(c))
+    marked = F.transform(plain, lambda p: F.struct(p.alias("plain"), p.rlike(ROLE).alias("role")))
+    clean = F.transform(marked, lambda x: F.struct(x["plain"].alias("plain"), x["role"].alias("role"), F.when(x["role"], neutralize_roles(x["plain"])).otherwise(x["plain"]).alias("text")))
+
+    def outcome(x: Column) -> Column:
+        own = F.array(F.when(x["plain"] != c, F.lit(WARNINGS["invisible"])), F.when(x["role"], F.lit(WARNINGS["role"])), F.when(has_hint(x["text"]), F.lit(WARNINGS["hint"])))
+        own = F.filter(own, lambda w: w.isNotNull())
+        warnings = own if hidden is None else F.array_distinct(F.concat(F.coalesce(hidden, F.array().cast("array<string>")), own))
+        return F.struct(x["text"].alias("text"), warnings.alias("warnings"))
+
+    return F.when(c.isNotNull(), F.get(F.transform(clean, outcome), F.lit(0)))
 
 
 def first_heading(md: Column) -> Column:

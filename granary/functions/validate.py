@@ -7,10 +7,8 @@ has failed already skips.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from granary.functions import text
 from granary.schema import RECORDS, Field
@@ -28,17 +26,9 @@ def escaped(c: Column) -> Column:
     return F.array_join(parts, "")
 
 
-@F.pandas_udf(T.StringType())
-def ascii_host(s: pd.Series) -> pd.Series:
-    """Host names with their labels in Punycode; only hosts that are not ASCII come here. Null where a label has none."""
-
-    def convert(x):
-        try:
-            return None if x is None or x != x else x.encode("idna").decode()
-        except UnicodeError:
-            return None
-
-    return s.map(convert)
+def ascii_host(host: Column) -> Column:
+    """A host name with its labels in Punycode, by the JVM's own conversion; null where a label has none."""
+    return F.try_reflect(F.lit("java.net.IDN"), F.lit("toASCII"), host)
 
 
 def web_url(c: Column) -> Column:

@@ -31,12 +31,16 @@ def reference(md: Column, markup: Column, url: Column, extra: dict[str, Column])
 PARSERS: dict[str, Callable[..., dict[str, Column]]] = {"article": article, "docs": docs, "product": product, "reference": reference}
 
 
+def fields(page_type: str, url: Column) -> dict[str, Column]:
+    """The page type's fields from a staged `_page` (html.page_parts); source and id are derived from the URL."""
+    found = PARSERS[page_type](F.col("_page.md"), F.col("_page.html"), url, {"section_path": F.col("_page.section_path"), "published": F.col("_page.published")})
+    return {"source": ids.derived_source(url), "source_url": url, "source_id": ids.derived_id(url)} | found
+
+
 def parsed(df: DataFrame, page_type: str, raw: str = "raw", url: str = "url") -> DataFrame:
-    """df with record, a struct of the page type's fields as found; source and id are derived from the URL."""
+    """df with record, a struct of the page type's fields as found."""
     staged = df.withColumn("_page", html.page_parts(F.col(raw)))
-    fields = PARSERS[page_type](F.col("_page.md"), F.col("_page.html"), F.col(url), {"section_path": F.col("_page.section_path"), "published": F.col("_page.published")})
-    common = {"source": ids.derived_source(F.col(url)), "source_url": F.col(url), "source_id": ids.derived_id(F.col(url))}
-    return staged.withColumn("record", F.struct(*[v.alias(k) for k, v in (common | fields).items()])).drop("_page")
+    return staged.withColumn("record", F.struct(*[v.alias(k) for k, v in fields(page_type, F.col(url)).items()])).drop("_page")
 
 
 def local(df: DataFrame, page_type: str, raw: str = "raw", url: str = "url", source: str = "synthetic", language: str = "en", sanitized: bool = True) -> DataFrame:
@@ -48,10 +52,13 @@ def local(df: DataFrame, page_type: str, raw: str = "raw", url: str = "url", sou
         df = df.withColumns({"warnings": F.col("_clean.warnings"), "_raw": F.col("_clean.text")}).drop("_seen", "_clean")
     else:
         df = df.withColumns({"warnings": F.array().cast("array<string>"), "_raw": F.col(raw)})
-    out = parsed(df, page_type, "_raw", url)
-    names = {f.name for f in out.schema["record"].dataType.fields}
-    over = {"source": F.lit(source)} | ({"source_id": F.col("source_id")} if "source_id" in df.columns else {}) | ({"language": F.lit(language)} if page_type == "article" else {})
-    over |= {f: text.sanitize(F.col(f"record.{f}"))["text"] for f in SANITIZED if f in names}
-    for name, value in over.items():
-        out = out.withColumn("record", F.col("record").withField(name, value))
-    return out.withColumn("payload", F.to_json("record", {"ignoreNullFields": "false"})).drop("record", "_raw")
+    staged = df.withColumn("_page", html.page_parts(F.col("_raw")))
+    found = fields(page_type, F.col(url)) | {"source": F.lit(source)}
+    if "source_id" in df.columns:
+        found["source_id"] = F.col("source_id")
+    if page_type == "article":
+        found["language"] = F.lit(language)
+    for f in SANITIZED:
+        if f in found:
+            found[f] = text.sanitize(found[f])["text"]
+    return staged.withColumn("payload", F.to_json(F.struct(*[v.alias(k) for k, v in found.items()]), {"ignoreNullFields": "false"})).drop("_page", "_raw")

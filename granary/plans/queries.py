@@ -387,9 +387,9 @@ def q_html_to_md(spark, d):
     return table(spark, d, "pages").select("page_id", p["md"].alias("md"))
 
 
-@query("""SELECT page_id, 'a,b' AS section_path FROM pages""")
+@query("""SELECT page_id, 'top ' || page_id || ',' || array_to_string(list_filter(list_transform(regexp_extract_all(regexp_extract(html, '<nav><ul>(.*?)</ul></nav>', 1), '<a href="[^"]*">([^<]*)</a>', 1), lambda x: trim(x)), lambda x: x <> ''), ',') AS section_path FROM pages""")
 def q_breadcrumb(spark, d):
-    crumbs = F.regexp_replace("html", r"(?i)<body[^>]*>", '<body><nav class="site Breadcrumbs"><ul><li> a </li><li></li><li><a href="/b">b</a></li></ul></nav>')
+    crumbs = F.regexp_replace("html", r"<nav><ul>", F.concat(F.lit('<nav class="site Breadcrumbs"><ul><li> top '), F.col("page_id").cast("string"), F.lit(" </li><li></li>")))
     p = html.page_parts(crumbs)
     return table(spark, d, "pages").select("page_id", F.array_join(p["section_path"], ",").alias("section_path"))
 
@@ -403,16 +403,91 @@ def q_hidden_strip(spark, d):
     return table(spark, d, "pages").select("page_id", F.array_join(s["warnings"], ",").alias("warnings"), s["text"].contains("needle").alias("has_needle"))
 
 
-@query("""SELECT doc_id, 'file 42' AS clean FROM documents""")
+@query("""SELECT doc_id, 'file ' || doc_id || ' é ' || upper(substr(coalesce(lang, ''), 1, 2)) AS clean FROM documents""")
 def q_nfkc(spark, d):
-    return table(spark, d, "documents").select("doc_id", text.nfkc(F.when(F.col("doc_id") % 2 == 0, "ﬁle ４２").otherwise("file 42")).alias("clean"))
+    wide = F.translate(F.col("doc_id").cast("string"), "0123456789", "０１２３４５６７８９")
+    letters = F.translate(F.upper(F.substring(F.coalesce("lang", F.lit("")), 1, 2)), "DEFNRS", "ＤＥＦＮＲＳ")
+    return table(spark, d, "documents").select("doc_id", text.nfkc(F.concat(F.lit("ﬁle "), wide, F.lit(" e\u0301 "), letters)).alias("clean"))
 
 
-@query("""SELECT page_id, 0 AS n_errors FROM pages""")
+#: The first heading of a page's markup without character references, in DuckDB.
+H1 = "trim(regexp_extract(replace(html, '&', ''), '<h1>(.*?)</h1>', 1))"
+
+
+def found(spark: SparkSession, d: str, page_type: str, markup: Column) -> DataFrame:
+    """The records of pages with some markup of the query's own, without character references."""
+    markup = F.translate(markup, "&", "")
+    return extract.parsed(table(spark, d, "pages").select("page_id", "url", markup.alias("raw")), page_type).select("page_id", "record.*")
+
+
+@query(f"""SELECT page_id, {H1} AS title, 'part ' || page_id || ',' || array_to_string(list_filter(list_transform(regexp_extract_all(regexp_extract(html, '<nav><ul>(.*?)</ul></nav>', 1), '<a href="[^"]*">([^<]*)</a>', 1), lambda x: trim(x)), lambda x: x <> ''), ',') AS section_path,
+ page_id % 4 AS code_block_count, 0 AS n_errors FROM pages""")
 def q_extract_docs(spark, d):
-    p = table(spark, d, "pages").withColumnRenamed("html", "raw").withColumn("source_id", F.col("page_id").cast("string"))
+    crumbs = F.regexp_replace("html", r"<nav><ul>", F.concat(F.lit('<nav class="breadcrumb"><ul><li>part '), F.col("page_id").cast("string"), F.lit("</li>")))
+    code = F.regexp_replace(crumbs, "</article>", F.concat(F.repeat(F.lit("<pre><code>x = 1</code></pre>"), (F.col("page_id") % 4).cast("int")), F.lit("</article>")))
+    p = table(spark, d, "pages").select("page_id", "url", F.translate(code, "&", "").alias("raw"), F.col("page_id").cast("string").alias("source_id"))
     out = validate.validate(extract.local(p, "docs"), "docs")
-    return out.select("page_id", F.size("errors").alias("n_errors"))
+    return out.select("page_id", "record.title", F.array_join("record.section_path", ",").alias("section_path"), F.col("record.code_block_count").cast("long").alias("code_block_count"), F.size("errors").alias("n_errors"))
+
+
+@query(f"""SELECT page_id, replace({H1}, 'By', 'by') AS title, CASE WHEN page_id % 3 = 0 THEN 'Ann Smith' END AS author, CASE WHEN page_id % 2 = 0 THEN '2024-01-0' || (1 + page_id % 9) END AS published_at,
+ coalesce(nullif(regexp_extract(html, '(?i)<html[^>]+lang=["'']([a-z]{{2}})["'']', 1), ''), 'en') AS language, contains(html, '<p>') AS has_body,
+ substr(sha256(url), 1, 16) AS source_id FROM pages""")
+def q_extract_article(spark, d):
+    k = F.col("page_id")
+    date = F.when(k % 2 == 0, F.concat(F.lit("2024-01-0"), (1 + k % 9).cast("string"))).otherwise("")
+    head = F.regexp_replace(F.replace("html", F.lit("By"), F.lit("by")), "<style>", F.concat(F.lit('<meta property="article:published_time" content="'), date, F.lit('"><style>')))
+    return found(spark, d, "article", F.regexp_replace(head, "<article>", F.when(k % 3 == 0, "<article><p>By  Ann Smith</p>").otherwise("<article>"))).select("page_id", "title", "author", "published_at", "language", (F.length("body_md") > 10).alias("has_body"), "source_id")
+
+
+@query(f"""SELECT page_id, replace({H1}, '$', '') AS name, CASE WHEN page_id % 3 = 0 THEN page_id || '.5' WHEN page_id % 3 = 1 THEN (page_id + 1) || '.25' END AS price, CASE WHEN page_id % 3 = 0 THEN 'USD' WHEN page_id % 3 = 1 THEN 'EUR' END AS currency,
+ page_id % 4 <> 1 AS in_stock FROM pages""")
+def q_extract_product(spark, d):
+    k = F.col("page_id")
+    price = F.when(k % 3 == 0, F.concat(F.lit("price:$"), k.cast("string"), F.lit(".5"))).when(k % 3 == 1, F.concat(F.lit("price:"), (k + 1).cast("string"), F.lit(",25 €"))).otherwise("no price")
+    stock = F.when(k % 4 == 1, "false").when(k % 4 == 2, "true").otherwise("1")
+    return found(spark, d, "product", F.concat(F.lit("<html><body><h1>"), F.translate(F.regexp_extract("html", "<h1>(.*?)</h1>", 1), "$", ""), F.lit("</h1><p data-in-stock='"), stock, F.lit("'>"), price, F.lit("</p></body></html>"))).select("page_id", "name", "price", "currency", "in_stock")
+
+
+@query(f"""SELECT page_id, {H1} AS term, 0 AS n_examples, true AS no_date FROM pages""")
+def q_extract_reference(spark, d):
+    title = F.concat(F.when(F.col("page_id") % 2 == 0, "Glossary: ").otherwise(""), F.regexp_extract("html", "<h1>(.*?)</h1>", 1))
+    return found(spark, d, "reference", F.concat(F.lit("<html><body><h1>"), title, F.lit("</h1><p>what it is</p></body></html>"))).select("page_id", "term", F.size("examples").alias("n_examples"), F.col("last_updated").isNull().alias("no_date"))
+
+
+@query("""SELECT page_id, CASE WHEN page_id % 4 = 0 THEN 1.0 * (1 + page_id % 7) WHEN page_id % 4 = 1 THEN 2.0 WHEN page_id % 4 = 2 THEN 2.0 END::DOUBLE AS delay FROM pages""")
+def q_crawl_delay(spark, d):
+    k = F.col("page_id") % 4
+    own = F.when(k == 0, (1 + F.col("page_id") % 7).cast("double")).when(k == 1, 0.0)
+    return table(spark, d, "pages").select("page_id", robots.crawl_delay(own, F.when(k < 3, 2.0)).alias("delay"))
+
+
+@query("""SELECT doc_id FROM documents WHERE doc_id % 20 > 10""")
+def q_payload_filter(spark, d):
+    k = F.col("doc_id")
+    records = table(spark, d, "documents").select("doc_id", F.when(k % 20 == 3, "no json").otherwise(F.to_json(F.struct(F.col("text").alias("body_md"), (k % 20).alias("code_block_count")))).alias("payload"))
+    return reports.with_payload_field(records, "$.code_block_count", "int", lambda n: n > 10).select("doc_id")
+
+
+@query("""SELECT c_custkey, c_custkey % 4 = 0 AS has_required FROM customer""")
+def q_required_keys(spark, d):
+    from granary.operators import fetch
+
+    k = F.col("c_custkey")
+    whole = F.to_json(F.struct(F.lit("c").alias("source"), k.cast("string").alias("source_id"), F.col("c_name").alias("source_url")))
+    payload = F.when(k % 4 == 0, whole).when(k % 4 == 1, F.to_json(F.struct(F.lit("c").alias("source")))).when(k % 4 == 2, F.concat(F.lit("["), whole, F.lit("]")))
+    return table(spark, d, "customer").select("c_custkey", fetch.has_required(payload).alias("has_required"))
+
+
+@query("""SELECT date_trunc('month', o_orderdate)::DATE AS month, count(*) AS n_changes, (SELECT count(*) FROM customer) AS n_records, count(*) > 0.1 * (SELECT count(*) FROM customer) AS over_share FROM orders GROUP BY 1""")
+def q_change_share(spark, d):
+    return reports.change_share(table(spark, d, "orders").select(F.col("o_orderdate").alias("changed_at")), table(spark, d, "customer"))
+
+
+@query("""SELECT event_type, count(*) AS n_spans, count(*) FILTER (WHERE event_type = 'error') AS n_errors, sum(event_id % 3 * 5)::BIGINT AS credits FROM events GROUP BY event_type""")
+def q_trace_credits(spark, d):
+    e = table(spark, d, "events").select("event_type", F.when(F.col("event_type") == "error", "error").otherwise("ok").alias("status"), F.col("event_id").alias("duration_ms"), (F.col("event_id") % 3 * 5).alias("credits"))
+    return reports.trace_report(e, ["event_type"], credits=F.col("credits")).select("event_type", "n_spans", "n_errors", "credits")
 
 
 @query("""SELECT c_custkey, 'https://dummyjson.com/products?limit=30&skip=' || (c_custkey * 30) AS url FROM customer""")
@@ -447,15 +522,20 @@ def q_author_byline(spark, d):
     return table(spark, d, "customer").select("c_custkey", text.byline(md).alias("author"))
 
 
-@query("""SELECT * FROM (VALUES ('developer_mozilla_org', 34, 34), ('docs_python_org', 27, 27), ('scrapethissite_com', 6, 6)) t(source, n, n_ids)""")
+def seed_rows() -> str:
+    from granary.sources.adapters import ADAPTERS
+
+    return ", ".join(f"('{a.name}', {i}, '{u}')" for a in ADAPTERS.values() for i, u in enumerate(a.seeds))
+
+
+@query(f"""SELECT source, seq::BIGINT AS seq, url, CASE source WHEN 'docs_python_org' THEN regexp_extract(url, '^https://docs[.]python[.]org/3/(.*)[.]html$', 1) WHEN 'developer_mozilla_org' THEN regexp_extract(url, '/en-US/docs/(.*)$', 1)
+ WHEN 'scrapethissite_com' THEN coalesce(nullif(regexp_extract(url, '/pages/([^/]*)/?$', 1), ''), 'index') ELSE regexp_extract(url, '/news/(.*)$', 1) END AS source_id FROM (VALUES {seed_rows()}) t(source, seq, url)""")
 def q_seed_urls(spark, d):
     from functools import reduce
 
     from granary.sources.adapters import ADAPTERS
 
-    listed = [a.ids(a.urls(spark)) for a in ADAPTERS.values() if a.seeds]
-    every = reduce(DataFrame.unionByName, listed)
-    return every.groupBy("source").agg(F.count("*").alias("n"), F.countDistinct("source_id").alias("n_ids"))
+    return reduce(DataFrame.unionByName, [a.ids(a.urls(spark)) for a in ADAPTERS.values() if a.seeds]).select("source", "seq", "url", "source_id")
 
 
 @query("""SELECT c.event_id AS span_id, p.event_id AS root_id, p.event_type AS root_name FROM events c JOIN events p ON p.event_id = c.event_id - c.event_id % 10 AND p.event_id % 10 = 0 WHERE c.event_id % 10 > 0""")
