@@ -28,8 +28,10 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The cluster's shared folder; one of our own only where none is set, as in tests."""
+    """The cluster's shared folder; one of our own only where none is set and all runs on this machine, as in tests."""
     if not (root := spark.conf.get("spark.checkpoint.dir", None)):
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         spark.conf.set("spark.checkpoint.dir", root := "file://" + tempfile.mkdtemp(prefix="granary-"))
         atexit.register(_remove, spark, root)
     return root.rstrip("/")

@@ -136,7 +136,8 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def cut_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """df with repeated passages cut out of its texts. All other columns stay."""
+    """df with repeated passages cut out of its texts. All other columns stay. Null and empty texts, and rows with a null id, stay as they
+    are; rows that repeat an id are cut alike; an empty table gives an empty one."""
     spans = repeated_spans(df, id_col, text_col, **options)
     cuts = spans.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_cuts"))  # of one document
     kept = F.aggregate("_cuts", F.struct(F.lit("").alias("text"), F.lit(0).cast("long").alias("at")), lambda a, c: F.struct(F.concat(a["text"], F.substring(text_col, (a["at"] + 1).cast("int"), (c["start"] - a["at"]).cast("int"))).alias("text"), c["end"].alias("at")), lambda a: F.concat(a["text"], F.substring(text_col, (a["at"] + 1).cast("int"), F.length(text_col))))

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -172,6 +173,47 @@ def test_substring_dedup(spark, untidy, texts):
     assert substring_dedup.repeated_spans(untidy.limit(0)).count() == 0
 
 
+def test_all_common_passages_are_found(spark):
+    """Against brute force over all runs of fifty words: what is common to an earlier text is found but for its ends, and nothing else."""
+    rng = random.Random(21)
+    shared = [words(rng, n, 10**6) for n in (55, 60, 80, 120, 200, 400)]
+    docs = []
+    for _ in range(40):
+        parts = [words(rng, rng.randrange(10, 120), 10**6)]
+        for p in rng.sample(shared, rng.randrange(0, 4)):
+            at = rng.randrange(0, max(1, len(p) - 54))
+            parts += [p[at:] if rng.random() < 0.3 else p, words(rng, rng.randrange(1, 90), 10**6)]
+        docs.append([w for p in parts for w in p])
+    texts = [" ".join(d) for d in docs]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = collections.defaultdict(list)
+    for i, a, b in collect(substring_dedup.repeated_spans(df), "doc_id", "start", "end"):
+        found[i].append((a, b))
+    seen, passages, lost = set(), 0, 0
+    for i, d in enumerate(docs):
+        windows = [tuple(d[k : k + 50]) for k in range(len(d) - 49)]
+        common = np.zeros(len(d) + 1, bool)
+        for k, w in enumerate(windows):
+            if w in seen:
+                common[k : k + 50] = True
+        edges = np.flatnonzero(np.diff(np.concatenate([[False], common]).astype(int)))
+        begin = np.concatenate([[0], np.cumsum([len(w) + 1 for w in d])])
+        covered = np.zeros(len(texts[i]), bool)
+        for a, b in found[i]:
+            covered[a:b] = True
+        for a, b in zip(edges[::2], edges[1::2]):
+            passages += 1
+            lost += not covered[begin[a] + 130 : begin[b] - 130].all()
+        allowed = np.zeros(len(texts[i]) + 1, bool)
+        for k in range(len(d) - 2):  # a found word is common with an earlier text, with its neighbours
+            if any(tuple(d[k : k + 3]) in g for g in (trigrams if i else [])):
+                allowed[max(0, begin[k] - 8) : begin[k + 3] + 8] = True  # and the ends of the words beside them
+        assert not (covered & ~allowed[:-1]).any()
+        trigrams = (trigrams if i else []) + [{tuple(d[k : k + 3]) for k in range(len(d) - 2)}]
+        seen.update(windows)
+    assert passages > 30 and lost == 0
+
+
 def test_chunks_resist_shifts():
     rng = random.Random(2)
     raw = " ".join(words(rng, 4000, 10**6)).encode()
@@ -419,6 +461,34 @@ def test_licenses(spark, untidy):
     assert twice.count() == 4 and license_scan.scan_licenses(untidy.limit(0)).count() == 0
 
 
+def test_licenses_against_all_windows(spark):
+    """Every window's containment by brute force: the same matches, best shares, first places and counts."""
+    rng = random.Random(22)
+    split = lambda t: [w for w in re.split(r"[\W_]+", t.lower()) if w]
+    texts = []
+    for _ in range(60):
+        parts = [words(rng, rng.randrange(0, 150))]
+        for name in rng.sample(sorted(license_scan.TEMPLATES), rng.randrange(0, 3)):
+            body = split(license_scan.TEMPLATES[name])
+            for _ in range(rng.choice([0, 0, 1, 2, 4])):
+                body[rng.randrange(len(body))] = f"x{rng.randrange(9)}"
+            parts += [body[rng.choice([0, 0, 1]) :], words(rng, rng.randrange(0, 60))]
+        texts.append(" ".join(w for p in parts for w in p))
+    want = {}
+    for i, t in enumerate(texts):
+        ws = split(t)
+        for name, body in license_scan.TEMPLATES.items():
+            s = license_scan.shape(body)
+            grams = lambda x: [tuple(x[j : j + s["k"]]) for j in range(len(x) - s["k"] + 1)]  # noqa: B023, E731
+            own, g = set(grams(split(body))), grams(ws)
+            shares = [(len(own & set(g[a : a + s["m"] + s["step"]])) / len(own), a) for a in range(0, len(g), s["step"])]
+            if hits := [(c, a) for c, a in shares if c >= license_scan.CONTAINMENT]:
+                want[i, name] = (round(max(hits)[0], 9), min(a for _, a in hits), len(hits))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(i, n): (round(c, 9), a, k) for i, n, c, a, k in collect(license_scan.scan_licenses(df), "doc_id", "license", "containment", "first_word", "n_matches")}
+    assert len(want) > 30 and got == want
+
+
 def brute_links(texts, size=5, threshold=0.8):
     sets = {}
     for i, t in texts.items():
@@ -500,6 +570,22 @@ def test_shards(untidy, texts):
     assert sharding.two_pass_shuffle(rows.limit(0), ["doc_id", "text"]).count() == 0
 
 
+def test_shards_of_equal_rows(spark, monkeypatch):
+    """A third of all rows equal, with null ids: dealt over the buckets, each record once; another seed gives another order."""
+    monkeypatch.setattr(sharding, "EQUAL_ROWS", 50)
+    rows = [(None, "the same text")] * 400 + [(i, f"text {i}") for i in range(800)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    orders = []
+    for seed in (1, 1, 2):
+        out = sharding.two_pass_shuffle(df, ["doc_id", "text"], 8, bucket_bytes=4000, seed=seed).collect()
+        assert sorted((str(r.doc_id), r.text) for r in out) == sorted((str(i), t) for i, t in rows)
+        assert sorted((r.shard, r.slot) for r in out) == [(s, k) for s in range(8) for k in range(150)]
+        orders.append([r.doc_id for r in sorted(out, key=lambda r: (r.shard, r.slot))])
+        hot = collections.Counter(r.shard for r in out if r.doc_id is None)
+        assert min(hot[s] for s in range(8)) > 20
+    assert orders[0] == orders[1] != orders[2]
+
+
 def test_shards_are_uniform_and_written(spark, tmp_path):
     out = sharding.two_pass_shuffle(spark.range(4000), ["id"], 4, bucket_bytes=20_000)
     sums = {r.shard: r.m for r in out.groupBy("shard").agg(F.avg("id").alias("m")).collect()}
@@ -590,3 +676,19 @@ def test_top_k_in_many_tasks(spark, monkeypatch):
         rows = topk_search.top_k(df, F.col("vec_id") % 20 == 0, 20).orderBy("query_id", "rank").collect()
         found = [np.array(c) for c in zip(*((r.query_id, r.vec_id, r.score) for r in rows))]
         check_top(np.arange(500), v * scale, np.arange(0, 500, 20), v[::20] * scale, 20, found)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables")
+def test_queries_match_their_sql(spark):
+    duckdb = pytest.importorskip("duckdb")
+    from granary.llm import queries
+
+    sf, con = "/root/testdata/sf0.001", duckdb.connect()
+    for t in ("documents", "embeddings"):
+        con.execute(f"create view {t} as select * from '{sf}/{t}.parquet'")
+    for name, sql in queries.ORACLE.items():
+        got = queries.QUERIES[name](spark, sf)
+        r = con.execute(sql)
+        at = [[c[0] for c in r.description].index(c) for c in got.columns]
+        show = lambda x: tuple(round(v, 6) if isinstance(v, float) else v for v in x)
+        assert sorted(map(str, map(show, map(tuple, got.collect())))) == sorted(str(show(x[i] for i in at)) for x in r.fetchall()), name

@@ -36,3 +36,26 @@ def test_run(spark):
     import corpus_pipeline
 
     assert corpus_pipeline.run(spark, SF).count() > 0
+
+
+def test_run_on_odd_and_empty_tables(spark, tmp_path):
+    """Null ids, texts, languages and sources, blank and very long texts, repeated rows, and columns that clash with those of the stages."""
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    known = {r.text for r in docs.collect()}
+    odd = docs.limit(3).selectExpr("cast(null as long) doc_id", "text", "cast(null as string) lang", "cast(null as string) source", "n_chars")
+    blank = docs.limit(4).selectExpr("doc_id + 900000 doc_id", "array(null, '', '   ', 'one')[doc_id % 4] text", "lang", "source", "cast(null as long) n_chars")
+    long = docs.limit(1).selectExpr("cast(990000 as long) doc_id", "array_join(transform(sequence(1, 60000), x -> concat('wort', x * 7919 % 10007)), ' ') text", "'de' lang", "source", "n_chars")
+    for name, df in (("odd", docs.unionByName(odd).unionByName(blank).unionByName(long).unionByName(docs.limit(5))), ("empty", docs.limit(0))):
+        extra = df.selectExpr("*", "1 as _size", "'x' as _key", "2 as quality", "3 as length", "4 as kept", "5 as _text", "6 as piece")
+        extra.write.parquet(str(tmp_path / name / "documents.parquet"))
+        out = corpus_pipeline.run(spark, str(tmp_path / name))
+        assert {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"} <= set(out.columns)
+        rows = out.collect()
+        assert bool(rows) == (name == "odd")
+        at = {}
+        for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+            assert r.offset == at.get(r.sequence_id, 0) and r.offset + r.length <= 2048
+            at[r.sequence_id] = r.offset + r.length
+    assert known
