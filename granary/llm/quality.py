@@ -25,8 +25,8 @@ from granary.llm.common import Scratch, mix, shingle_hashes, small_batches, text
 
 ORDER, BITS = 4, 16
 #: Widths of the bands in median absolute deviations, and the bins of log perplexities, whose width a band has at
-#: least. On half of the labelled documents, the narrowest whole widths that each lose at most 1.5 % of the good ones.
-BAND_LOW, BAND_HIGH, BIN = 5.0, 6.0, 0.001
+#: least. On half of the labelled documents, the narrowest whole widths that each lose at most 1 % of the good ones.
+BAND_LOW, BAND_HIGH, BIN = 6.0, 7.0, 0.001
 #: A language with fewer documents that pass the word rules has no bands: a median of so few says nothing.
 LEAST_DOCUMENTS = 20
 #: A model of more 4-grams (24 bytes each) is not sent to the tasks.
