@@ -24,7 +24,7 @@ from granary.llm.common import Scratch, gathered, mix, small_batches, text_bytes
 #: Rows that are ranked together, so that a length that a third of all pieces have is ranked in many tasks.
 RANKED_TOGETHER = 10_000
 #: Words that a Python worker remembers at most, some 60 bytes each; then it starts anew.
-REMEMBERED, SHIFT = 1 << 20, 43  # twice as many values of the leading 21 bits
+REMEMBERED, SHIFT = 1 << 19, 44  # twice as many values of the leading 20 bits
 #: Bytes of texts that are encoded together, and of a word that is remembered at most.
 TOGETHER, LONGEST_WORD = 2 << 20, 24
 _ODD = np.uint64(0x9E3779B97F4A7C15)
