@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
+from granary.operators import scan
+
 DIAGNOSES = ("structure-drift", "anti-bot", "redirect", "adapter-bug", "schema-too-strict")
 
 
@@ -64,10 +66,24 @@ def failures_with_raw(failed: DataFrame, raw: DataFrame, n: int = 10) -> DataFra
     return F.broadcast(last).join(raw.select(F.col("id").alias("raw_id"), "source_id", "raw_payload"), "raw_id")  # n rows
 
 
-def failure_ratio(attempts: DataFrame, at: str, failed: Column, hours: int = 24, by: list[str] | None = None) -> DataFrame:
-    """attempts with the share of failures in the trailing hours."""
-    w = W.Window.partitionBy(*(by or [])).orderBy(F.unix_micros(F.col(at).cast("timestamp"))).rangeBetween(-hours * 3_600_000_000, 0)
-    return attempts.withColumn("ratio", F.count_if(failed).over(w) / F.count("*").over(w))
+def failure_ratio(attempts: DataFrame, at: str, failed: Column, by: list[str], hours: int = 24, rows: int = scan.ROWS) -> DataFrame:
+    """attempts with the share of failures in the trailing hours, those of the same moment and of exactly so many hours ago included.
+
+    An attempt enters the count at its time and leaves it just after the hours have passed; both are brought together by moment, and the
+    share at a moment is a running sum, which runs in blocks. An attempt without a time has no ratio."""
+    us, bad = F.unix_micros(F.col(at).cast("timestamp")), F.coalesce(failed, F.lit(False)).cast("long")
+    moves = attempts.where(F.col(at).isNotNull()).select(*by, us.alias("_us"), bad.alias("_bad"))
+    stay = hours * 3_600_000_000 + 1
+    both = F.inline(F.array(F.struct(F.col("_us").alias("_t"), F.lit(1).alias("_n"), F.col("_bad").alias("_f"), F.lit(1).alias("_enter")), F.struct((F.col("_us") + stay).alias("_t"), F.lit(-1).alias("_n"), (-F.col("_bad")).alias("_f"), F.lit(0).alias("_enter"))))
+    moments = moves.select(*by, both).groupBy(*by, "_t").agg(F.sum("_n").alias("_n"), F.sum("_f").alias("_f"), F.max("_enter").alias("_enter"))
+    upto = scan.inside(by, "_t").rowsBetween(W.Window.unboundedPreceding, 0)
+    own = scan.blocks(moments, by, ["_t"], rows)
+    carry = scan.carried(own, by, n=F.sum("_n"), f=F.sum("_f")).select(*by, scan.BLOCK, "n_before", "f_before")
+    own = own.withColumns({"_n": F.sum("_n").over(upto), "_f": F.sum("_f").over(upto)}).where("_enter = 1")
+    share = (F.col("f_before") + F.col("_f")) / (F.col("n_before") + F.col("_n"))
+    ratios = scan.joined(own, carry, by).select(*[F.col(c).alias(f"_of_{c}") for c in by], "_t", share.alias("ratio"))
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in by]
+    return attempts.join(ratios, [*same, us == F.col("_t")], "left").select(*attempts.columns, "ratio")
 
 
 def timeout_escalation(batches: DataFrame, window: int = 3) -> DataFrame:

@@ -7,7 +7,6 @@ own, and then a new list names it, so that a reader never sees half a write and
 from __future__ import annotations
 
 import json
-import math
 import re
 import uuid
 
@@ -16,23 +15,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
 from granary.functions.text import canonical_json, sha256
+from granary.operators import scan
 from granary.schema import RESOLUTIONS, TABLES
 
-ROWS_TOGETHER = 100_000
 KEY = ["source", "source_id"]
 
 
-def dense_ids(df: DataFrame, order: str, start: int = 0, name: str = "id", ties: tuple[str, ...] = ()) -> DataFrame:
-    """Numbers rows from start + 1 in the order of an integer column, and of others where it ties, without one task for all
-    rows: ranges of the column are numbered by themselves, after the counts of earlier ranges."""
-    ends = df.agg(F.min(order).alias("low"), F.max(order).alias("high"), F.count("*").alias("n")).first()
-    if not ends["n"]:
-        return df.withColumn(name, F.lit(0).cast("long"))
-    width = max(1, math.ceil((ends["high"] - ends["low"] + 1) / math.ceil(ends["n"] / ROWS_TOGETHER)))
-    ranged = df.withColumn("_range", F.floor((F.col(order) - ends["low"]) / width))
-    before = ranged.groupBy("_range").agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(W.Window.orderBy("_range").rowsBetween(W.Window.unboundedPreceding, -1)), F.lit(0)))
-    own = F.row_number().over(W.Window.partitionBy("_range").orderBy(order, *ties))
-    return ranged.join(before.select("_range", "_before"), "_range").withColumn(name, (F.lit(start) + F.col("_before") + own).cast("long")).drop("_range", "_before")
+def dense_ids(df: DataFrame, order: str, start: int = 0, name: str = "id", ties: tuple[str, ...] = (), rows: int = scan.ROWS, written: scan.Written | None = None) -> DataFrame:
+    """Numbers rows from start + 1 in the order of a column, and of others where it ties, without one task for all rows: ranges
+    that a sample's quantiles cut, so that outliers do not fill one of them, are numbered by themselves, after the counts of earlier ones."""
+    keyed = df.withColumn("_all", F.lit(0))
+    own = scan.blocks(keyed, ["_all"], [order, *ties], rows, written)
+    carry = scan.carried(own, ["_all"], n=F.count("*")).select("_all", scan.BLOCK, "n_before")
+    own = own.withColumn("_at", F.row_number().over(scan.inside(["_all"], order, *ties)))
+    return scan.joined(own, carry, ["_all"]).withColumn(name, (F.lit(start) + F.col("n_before") + F.col("_at")).cast("long")).select(*df.columns, name)
 
 
 def record_attempts(fetched: DataFrame, last_id: int, now: Column, trace_id: str) -> DataFrame:

@@ -259,6 +259,13 @@ def q_rate_spacing(spark, d):
     return gate.required_wait(table(spark, d, "events"), 1 / 3600, "ts", ["user_id"]).select("event_id", F.round("wait_s", 3).alias("wait_s"))
 
 
+@query("""WITH RECURSIVE n AS (SELECT event_id, event_type, epoch_us(ts) AS t, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS pos FROM events),
+s AS (SELECT *, t AS start FROM n WHERE pos = 1 UNION ALL SELECT n.*, greatest(n.t, s.start + 1200000000) FROM s JOIN n ON n.event_type = s.event_type AND n.pos = s.pos + 1)
+SELECT event_id, round((start - t) / 1e6, 3) AS wait_s FROM s""")
+def q_rate_schedule(spark, d):
+    return gate.schedule(table(spark, d, "events"), 1 / 1200, "ts", ["event_type"]).select("event_id", F.round("wait_s", 3).alias("wait_s"))
+
+
 @query("""SELECT c_custkey, CASE s WHEN 7 THEN 'rules' WHEN 0 THEN 'rules' WHEN 1 THEN 'allow' WHEN 2 THEN 'allow' WHEN 3 THEN 'deny' WHEN 4 THEN 'deny' WHEN 5 THEN 'deny' ELSE 'deny' END AS verdict, s NOT IN (5, 6) AS cached FROM (SELECT c_custkey, c_custkey % 8 AS s FROM customer)""")
 def q_robots_decision(spark, d):
     codes = [200, 404, 403, 429, 451, 503, None, 301]
@@ -316,7 +323,7 @@ def q_trace_report(spark, d):
 
 @query("""SELECT event_id, round(count(*) FILTER (WHERE event_type = 'error') OVER w / count(*) OVER w, 6) AS ratio FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 24 HOUR PRECEDING AND CURRENT ROW)""")
 def q_failure_ratio_24h(spark, d):
-    return reports.failure_ratio(table(spark, d, "events"), "ts", F.col("event_type") == "error", 24, ["user_id"]).select("event_id", F.round("ratio", 6).alias("ratio"))
+    return reports.failure_ratio(table(spark, d, "events"), "ts", F.col("event_type") == "error", ["user_id"]).select("event_id", F.round("ratio", 6).alias("ratio"))
 
 
 @query("""SELECT event_id, user_id FROM events WHERE (props::JSON ->> '$.k')::INT = 7""")
