@@ -49,11 +49,13 @@ def resolve(a: argparse.Namespace) -> int:
     spark = session()
     tables = store.Store(spark, a.store)
     wanted = spark.createDataFrame([(a.id, a.resolution)], "id long, resolution string")
-    out = store.resolve(tables.read("validation_failed"), wanted, F.current_timestamp())
+    held = tables.holding("validation_failed", a.id)
+    out = store.resolve(held, wanted, F.current_timestamp())
     with files.Tracer(spark, f"{a.store}/traces").span("resolve", id=a.id, resolution=a.resolution, reason=a.reason or "", dry_run=a.dry_run):
         print(out.where(F.col("id") == a.id).first())
         if not a.dry_run:
-            tables.replace("validation_failed", out)
+            tables.recover()
+            tables.overwrite("validation_failed", out, tables.BATCH)
     return 0
 
 

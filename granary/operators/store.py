@@ -1,17 +1,19 @@
 """The record store: append-only raw log, latest valid versions, field changes and the failure queue.
 
-All functions take and return DataFrames. A table is a list of Parquet folders (Store): what is new is written to a folder of its
-own, and then a new list names it, so that a reader never sees half a write and a crash leaves nothing in the way.
+All functions take and return DataFrames. Tables are partitioned Parquet (Store): logs grow by a partition a batch, and of the latest
+versions a batch overwrites the partitions that it touches.
 """
 
 from __future__ import annotations
 
 import json
-import re
 import uuid
+from collections.abc import Iterator
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import window as W
 
 from granary.functions.text import canonical_json, sha256
@@ -124,35 +126,47 @@ def unseen(candidates: DataFrame, known: DataFrame, on: list[str]) -> DataFrame:
 def commit(store: Store, checked: DataFrame, now: Column, trace_id: str) -> None:
     """Writes what was fetched, checked(seq, source, source_id, url, payload, errors, record_json): all to the raw log, then
     the invalid to the failure queue, then the valid ones' changes, then their versions, so that a crash leaves an audited
-    prefix. Each write is made once for a trace id: the same call again does what is left. seq is unique."""
-    raw = store.read("raw_content")
-    again = store.has("raw_content", trace_id)
-    last = (raw.where(F.col("trace_id") == trace_id).agg(F.min("id") - 1).first()[0] if again else None) or (0 if again else store.last_id("raw_content"))
-    rows = dense_ids(checked, "seq", last)
-    if not again:
-        store.append("raw_content", raw_rows(rows, now, trace_id), trace_id)
-    rows = rows.withColumnRenamed("id", "raw_id")
-    if not store.has("validation_failed", trace_id):
-        failed = dense_ids(failures(rows, now), "raw_id", store.last_id("validation_failed"))
-        store.append("validation_failed", failed.select(*TABLES["validation_failed"].names), trace_id)
-    new = rows.where(F.size("errors") == 0).select(*KEY, "url", F.col("record_json").alias("payload"), now.cast("timestamp").alias("valid_from"), "raw_id")
-    old = store.read("canonical_records")
-    if not store.has("change_history", trace_id):
-        diff = dense_ids(changes(old, new, now), "raw_id", store.last_id("change_history"), ties=("field",))
-        store.append("change_history", diff.select(*TABLES["change_history"].names), trace_id)
-    if not store.has("canonical_records", trace_id):
-        store.replace("canonical_records", upsert(old, new), trace_id)
+    prefix. Each write is made once for a trace id: the same call again does what is left. seq is unique. checked is worked out once."""
+    store.recover()
+    with scan.Written(store.spark) as scratch:
+        again = store.has("raw_content", trace_id)
+        last = store.batch("raw_content", trace_id).agg(F.min("id") - 1).first()[0] if again else store.last_id("raw_content")
+        asked = checked.select("seq", *KEY, "url", "payload", "errors", "record_json", now.cast("timestamp").alias("_now"))
+        rows = scratch.save(dense_ids(asked, "seq", last or 0, written=scratch))
+        if not again:
+            store.append("raw_content", raw_rows(rows, F.col("_now"), trace_id), trace_id, (last or 0) + rows.count())
+        rows = rows.withColumnRenamed("id", "raw_id")
+        if not store.has("validation_failed", trace_id):
+            last = store.last_id("validation_failed")
+            failed = scratch.save(dense_ids(failures(rows, F.col("_now")), "raw_id", last, written=scratch).select(*TABLES["validation_failed"].names))
+            store.append("validation_failed", failed, trace_id, last + failed.count())
+        valid = rows.where(F.size("errors") == 0)
+        new = valid.select(*KEY, "url", F.col("record_json").alias("payload"), F.col("_now").alias("valid_from"), "raw_id")
+        old = store.touched(new)
+        if not store.has("change_history", trace_id):
+            last = store.last_id("change_history")
+            at = valid.select("raw_id", F.col("_now").alias("_changed"))
+            diff = changes(old.select(*new.columns), new, F.lit(None).cast("timestamp")).join(at, "raw_id").withColumn("changed_at", F.col("_changed"))
+            diff = scratch.save(dense_ids(diff, "raw_id", last, ties=("field",), written=scratch).select(*TABLES["change_history"].names))
+            store.append("change_history", diff, trace_id, last + diff.count())
+        merged = upsert(old.select(*new.columns), new)
+        store.overwrite("canonical_records", merged.withColumn("part", store.part()), ["part"])
 
 
 class Store:
-    """Tables below a root path. A table's folder holds its data's folders and `current`, whose newest entry (a number) lists the
-    data's folders and the labels of the writes that made them. One writer at a time; readers need no lock."""
+    """Tables of Parquet files below a root path, with a folder a partition.
 
-    #: Appended folders that are brought together, versions that stay readable, and labels that are remembered.
-    COMPACT, KEEP, LABELS = 64, 3, 10_000
+    The logs (raw_content, validation_failed, change_history) have a partition for each batch, named by its label and by the greatest
+    id up to it: a batch is written aside and appears by one rename, so that it is there whole or not at all, once for its label.
+    canonical_records has a partition for each of `parts` hashes of the key: a batch reads and overwrites those that it touches. What
+    overwrites is first written aside whole, and recover() repeats what a crash has cut short. One writer at a time; a reader that
+    meets a partition being overwritten reads again. `parts` stays as it is for the life of a root."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    LOGS = ("raw_content", "validation_failed", "change_history")
+    BATCH = ["upto", "batch"]
+
+    def __init__(self, spark: SparkSession, root: str, parts: int = 64):
+        self.spark, self.root, self.parts = spark, root.rstrip("/"), parts
         self.fs = spark._jvm.org.apache.hadoop.fs.Path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
 
     def _path(self, *parts: str):
@@ -161,75 +175,88 @@ class Store:
     def migrate(self) -> None:
         """Creates the tables that are not there; running it again changes nothing."""
         for name in TABLES:
-            if self.version(name) < 0:
-                self._publish(name, [], [])
-
-    def _versions(self, name: str) -> list[int]:
-        if not self.fs.exists(self._path(name, "current")):
-            return []
-        names = [x.getPath().getName() for x in self.fs.listStatus(self._path(name, "current"))]
-        return sorted(int(x) for x in names if x.isdigit())
-
-    def version(self, name: str) -> int:
-        """The newest version; -1 of a table that is not there."""
-        return max(self._versions(name), default=-1)
-
-    def _entry(self, name: str, version: int) -> dict:
-        stream = self.fs.open(self._path(name, "current", f"{version:010}"))
-        try:
-            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
-
-    def _now(self, name: str) -> dict:
-        if (v := self.version(name)) < 0:
-            raise FileNotFoundError(f"no table {name} below {self.root}: run migrate() first")
-        return self._entry(name, v)
+            self.fs.mkdirs(self._path(name))
 
-    def has(self, name: str, label: str) -> bool:
-        """Whether a write of that label was published."""
-        return label in self._now(name)["labels"]
+    def part(self) -> Column:
+        """The partition of a record's key."""
+        return F.pmod(F.xxhash64(*KEY), F.lit(self.parts)).cast("int")
+
+    def partitioned(self, name: str) -> DataFrame:
+        """A table with its partition columns, which filters prune by."""
+        if not self.fs.exists(self._path(name)):
+            raise FileNotFoundError(f"no table {name} below {self.root}: run migrate() first")
+        schema = T.StructType([*TABLES[name].fields])
+        schema = schema.add("upto", T.LongType()).add("batch", T.StringType()) if name in self.LOGS else schema.add("part", T.IntegerType())
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
 
     def read(self, name: str) -> DataFrame:
-        folders = self._now(name)["folders"]
-        if not folders:
-            return self.spark.createDataFrame([], TABLES[name])
-        return self.spark.read.schema(TABLES[name]).parquet(*[f"{self.root}/{name}/{f}" for f in folders])
-
-    def _publish(self, name: str, folders: list[str], labels: list[str]) -> None:
-        """Names these folders current, by one rename."""
-        version = self.version(name) + 1
-        half, entry = self._path(name, "current", f"half-{uuid.uuid4().hex}"), self._path(name, "current", f"{version:010}")
-        out = self.fs.create(half)
-        out.write(json.dumps({"folders": folders, "labels": labels[-self.LABELS :]}).encode())
-        out.close()
-        if self.fs.exists(entry) or not self.fs.rename(half, entry):
-            raise RuntimeError(f"{name}: another writer was faster")
-        for old in self._versions(name)[: -self.KEEP]:
-            self.fs.delete(self._path(name, "current", f"{old:010}"), False)
-
-    def _write(self, name: str, df: DataFrame) -> str:
-        folder = f"data-{uuid.uuid4().hex}"
-        df.write.parquet(f"{self.root}/{name}/{folder}")
-        return folder
+        return self.partitioned(name).select(*TABLES[name].names)
 
-    def replace(self, name: str, df: DataFrame, label: str | None = None) -> None:
-        """Makes df the table. Folders that no readable version names are deleted."""
-        now = self._now(name) if self.version(name) >= 0 else {"folders": [], "labels": []}
-        self._publish(name, [self._write(name, df)], now["labels"] + ([label] if label else []))
-        named = {f for v in self._versions(name) for f in self._entry(name, v)["folders"]}
-        for status in self.fs.listStatus(self._path(name)):
-            if (folder := status.getPath().getName()).startswith("data-") and folder not in named:
-                self.fs.delete(status.getPath(), True)
+    def batch(self, name: str, label: str) -> DataFrame:
+        return self.partitioned(name).where(F.col("batch") == label).select(*TABLES[name].names)
 
-    def append(self, name: str, df: DataFrame, label: str | None = None) -> None:
-        now = self._now(name)
-        if len(now["folders"]) >= self.COMPACT:
-            return self.replace(name, self.read(name).unionByName(df), label)
-        self._publish(name, [*now["folders"], self._write(name, df)], now["labels"] + ([label] if label else []))
+    def touched(self, new: DataFrame) -> DataFrame:
+        """canonical_records' partitions, with their numbers, that the keys of `new` fall in."""
+        parts = [r["part"] for r in new.select(self.part().alias("part")).distinct().collect()]  # at most `parts` numbers
+        return self.partitioned("canonical_records").where(F.col("part").isin(parts))
+
+    def _batches(self, name: str, pattern: str = "*") -> list[tuple[int, str]]:
+        """(greatest id, label as it is in the path) of a log's batches."""
+        found = self.fs.globStatus(self._path(name, "upto=*", f"batch={pattern}"))
+        paths = [x.getPath() for x in found or []]
+        return [(int(p.getParent().getName()[5:]), p.getName()[6:]) for p in paths]
+
+    def has(self, name: str, label: str) -> bool:
+        """Whether a log has the batch of that label."""
+        return bool(self._batches(name, quote(label, safe="")))
 
     def last_id(self, name: str) -> int:
-        return self.read(name).agg(F.coalesce(F.max("id"), F.lit(0)).alias("n")).first()["n"]
+        """The greatest id of a log, from the names of its partitions alone."""
+        return max((upto for upto, _ in self._batches(name)), default=0)
+
+    def _write(self, name: str, df: DataFrame, by: list[str] | None = None) -> str:
+        """Writes rows aside."""
+        folder = f"pending/{name}-{uuid.uuid4().hex}"
+        (df.repartition(*by).write.partitionBy(*by) if by else df.write).parquet(f"{self.root}/{folder}")
+        return folder
+
+    def _publish(self, name: str, folder: str, target: str | None) -> None:
+        """Makes what was written aside a new partition, by one rename, or puts it in the place of the partitions that it has."""
+        if target:
+            self.fs.mkdirs(self._path(name, target).getParent())
+            if self.fs.exists(self._path(name, target)) or not self.fs.rename(self._path(folder), self._path(name, target)):
+                raise RuntimeError(f"{name}: another writer was faster")
+            return
+        aside = self.spark.read.schema(self.partitioned(name).schema).parquet(f"{self.root}/{folder}")
+        by = self.BATCH if name in self.LOGS else ["part"]
+        aside.repartition(*by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(f"{self.root}/{name}")
+        self.fs.delete(self._path(folder), True)
+
+    def append(self, name: str, df: DataFrame, label: str, upto: int) -> None:
+        """Adds a batch to a log; its ids go up to `upto`."""
+        self._publish(name, self._write(name, df), f"upto={upto}/batch={quote(label, safe='')}")
+
+    def overwrite(self, name: str, df: DataFrame, by: list[str]) -> None:
+        """Puts df, with its partition columns, in the place of the partitions that it has rows of."""
+        self._publish(name, self._write(name, df, by), None)
+
+    def holding(self, name: str, id: int) -> DataFrame:
+        """The partition of a log that would hold an id, with its partition columns."""
+        first = min((upto for upto, _ in self._batches(name) if upto >= id), default=-1)
+        return self.partitioned(name).where(F.col("upto") == first)
+
+    def recover(self) -> None:
+        """Repeats the overwriting that a crash has cut short, and deletes what was only half written aside."""
+        if not self.fs.exists(self._path("pending")):
+            return
+        for status in self.fs.listStatus(self._path("pending")):
+            folder = f"pending/{status.getPath().getName()}"
+            name = status.getPath().getName().rpartition("-")[0]
+            partitions = self.fs.globStatus(self._path(folder, "*=*"))
+            if self.fs.exists(self._path(folder, "_SUCCESS")) and partitions:
+                self._publish(name, folder, None)
+            else:
+                self.fs.delete(status.getPath(), True)
 
 
 #: What a query that only reads is parsed into.
@@ -238,41 +265,46 @@ READING = set(
     "Subquery Tail Union UnresolvedHaving UnresolvedInlineTable UnresolvedOrderedTable UnresolvedRelation UnresolvedSubqueryColumnAliases UnresolvedTableValuedFunction UnresolvedWith "
     "Unpivot View Window WithWindowDefinition WithCTE CTERelationDef CTERelationRef".split()
 )
-#: Functions that run code of any kind.
-UNSAFE_FUNCTIONS = {"reflect", "java_method", "try_reflect"}
+#: Functions that call any method of the JVM.
+REFLECTING = {"reflect", "java_method", "try_reflect"}
+#: Expressions of an analyzed plan that run code from outside Spark: reflection, and functions that users register.
+FOREIGN = ("CallMethodViaReflection", "ScalaUDF", "PythonUDF", "PythonUDAF", "PythonUDTF", "ScalaUDAF", "ScalaAggregator", "HiveSimpleUDF", "HiveGenericUDF", "HiveUDAFFunction", "HiveGenericUDTF")
+
+
+def _nodes(tree, path: str = "plan") -> Iterator[tuple[dict, str, str]]:
+    """(node, short class name, class path) of a plan's JSON, expressions and nested plans included."""
+    if isinstance(tree, list):
+        for x in tree:
+            yield from _nodes(x, path)
+    elif isinstance(tree, dict):
+        if name := tree.get("class", ""):
+            yield tree, name.rpartition(".")[2], "plan" if path == "plan" and ".analysis." in name else name
+        for x in tree.values():
+            yield from _nodes(x, "inner")
 
 
 def read_only_sql(spark: SparkSession, query: str, rows: int = 50) -> DataFrame:
-    """The first rows of a query over tables and views, made of reading operators alone: anything else is refused before it runs,
-    and so are paths in place of tables and functions that run code."""
-    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(query)
+    """The first rows of a query over tables and views, made of reading operators alone: anything else is refused before it runs.
+
+    The parsed plan may hold reading operators alone, and each relation of two or more names must be a table or view of the catalog,
+    which files named by a format and a path are not. The analyzed plan, in which all names are resolved, may hold no expression
+    that runs code from outside Spark; what a name or a literal is called does not matter."""
 
     def refuse(what: str) -> None:
         raise PermissionError(f"only queries are allowed, not {what}")
 
-    def check(node, path: str) -> None:
-        if isinstance(node, list):
-            for x in node:
-                check(x, path)
-        elif isinstance(node, dict):
-            name = node.get("class", "")
-            short = name.rpartition(".")[2]
-            if ".plans.logical." in name or ".execution." in name or (".analysis." in name and path == "plan"):
-                if short not in READING:
-                    refuse(short)
-            if short in ("UnresolvedRelation", "UnresolvedTableValuedFunction"):
-                parts = [x.strip().lower() for x in str(node.get("multipartIdentifier", node.get("name", ""))).strip("[]").split(",")]
-                if short == "UnresolvedRelation" and (len(parts) > 1 and any(c in parts[-1] for c in "/:.*")):
-                    refuse("a path")
-            if short == "UnresolvedFunction" and {x.strip().lower() for x in str(node.get("nameParts")).strip("[]").split(",")} & UNSAFE_FUNCTIONS:
-                refuse("a function that runs code")
-            for x in node.values():
-                check(x, "inner")
-
-    tree = json.loads(plan.toJSON())
-    for node in tree:
-        check(node, "plan")
-    text = plan.treeString().lower()
-    if any(re.search(rf"\b{f}\b", text) for f in UNSAFE_FUNCTIONS):
-        refuse("a function that runs code")
-    return spark.sql(query).limit(rows)
+    parsed = spark._jsparkSession.sessionState().sqlParser().parsePlan(query)
+    for node, short, name in _nodes([json.loads(parsed.toJSON())]):
+        if (name == "plan" or ".plans.logical." in name or ".execution." in name) and short not in READING:
+            refuse(short)
+        if short == "UnresolvedRelation":
+            parts = [x.strip() for x in str(node["multipartIdentifier"]).strip("[]").split(",")]
+            if len(parts) > 1 and not spark.catalog.tableExists(".".join(f"`{x.replace('`', '``')}`" for x in parts)):
+                refuse(f"{'.'.join(parts)}, which is no table or view")
+        if short == "UnresolvedFunction" and {x.strip().lower() for x in str(node["nameParts"]).strip("[]").split(",")} & REFLECTING:
+            refuse("a function that runs code")
+    out = spark.sql(query)
+    for _, short, _ in _nodes([json.loads(out._jdf.queryExecution().analyzed().toJSON())]):
+        if short in FOREIGN:
+            refuse("a function that runs code")
+    return out.limit(rows)

@@ -287,18 +287,27 @@ def test_files(spark, tmp_path):
 
 
 def test_read_only_sql(spark):
+    import os
+
     spark.range(100).createOrReplaceTempView("numbers_for_sql")
+    spark.sql("CREATE TABLE IF NOT EXISTS default.numbers_for_table USING parquet AS SELECT 1L AS id")
+    spark.udf.register("own_code", lambda x: x)
+    open("secretfile", "w").write("secret")
     assert store.read_only_sql(spark, "SELECT * FROM numbers_for_sql").count() == 50
     for bad in ("DROP VIEW numbers_for_sql", "CREATE TABLE x AS SELECT 1", "INSERT INTO numbers_for_sql VALUES (1)", "SET a = b", "EXECUTE IMMEDIATE 'DROP VIEW numbers_for_sql'", "BEGIN DROP VIEW numbers_for_sql; END", "CALL x.y()",
                 "SELECT reflect('java.lang.System', 'nanoTime')", "SELECT * FROM numbers_for_sql WHERE id = (SELECT max(java_method('java.lang.Math', 'abs', 1)) FROM numbers_for_sql)",
                 "SELECT * FROM parquet.`/root/testdata`", "WITH a AS (SELECT * FROM text.`/etc/passwd`) SELECT * FROM a", "EXPLAIN SELECT 1", "SHOW TABLES", "DESCRIBE numbers_for_sql", "CACHE TABLE numbers_for_sql",
-                "MERGE INTO numbers_for_sql USING numbers_for_sql b ON true WHEN MATCHED THEN DELETE", "USE x", "REFRESH TABLE numbers_for_sql"):
+                "MERGE INTO numbers_for_sql USING numbers_for_sql b ON true WHEN MATCHED THEN DELETE", "USE x", "REFRESH TABLE numbers_for_sql",
+                "SELECT * FROM text.secretfile", "SELECT * FROM numbers_for_sql WHERE id IN (SELECT length(value) FROM text.secretfile)", "SELECT (SELECT max(value) FROM text.`secretfile`)", "SELECT own_code(id) FROM numbers_for_sql",
+                "SELECT id FROM numbers_for_sql WHERE EXISTS (SELECT own_code(1))", "SELECT try_reflect('java.lang.System', 'nanoTime')"):
         with pytest.raises(Exception) as e:
             store.read_only_sql(spark, bad).collect()
         assert e.type is PermissionError, bad
-    for good in ("SELECT id % 3 AS k, count(*) AS n FROM numbers_for_sql GROUP BY 1 HAVING n > 1 ORDER BY k LIMIT 2", "WITH a AS (SELECT id FROM numbers_for_sql) SELECT a.id, sum(b.id) OVER (PARTITION BY a.id) FROM a JOIN numbers_for_sql b USING (id) UNION ALL SELECT 1, 2",
+    for good in ("SELECT 1 AS reflect", "SELECT 'reflect' AS x, 'java_method(1)' AS y", "SELECT id AS java_method FROM default.numbers_for_table", "SELECT id % 3 AS k, count(*) AS n FROM numbers_for_sql GROUP BY 1 HAVING n > 1 ORDER BY k LIMIT 2", "WITH a AS (SELECT id FROM numbers_for_sql) SELECT a.id, sum(b.id) OVER (PARTITION BY a.id) FROM a JOIN numbers_for_sql b USING (id) UNION ALL SELECT 1, 2",
                  "SELECT * FROM numbers_for_sql WHERE id IN (SELECT id FROM numbers_for_sql WHERE id > 3) EXCEPT SELECT 5", "SELECT x FROM VALUES (1), (2) t(x) LATERAL VIEW explode(array(1, 2)) e AS y", "SELECT DISTINCT id FROM numbers_for_sql TABLESAMPLE (50 PERCENT) AS n LIMIT 3 OFFSET 1"):
         store.read_only_sql(spark, good).collect()
+    os.unlink("secretfile")
+    spark.sql("DROP TABLE default.numbers_for_table")
 
 
 RECORDS = [(k, "s", "ab"[k % 2], "https://u.v/x", '{"source": "s", "source_id": "%s", "source_url": "https://u.v/x", "term": "t%d", "definition": "a definition of it"}' % ("ab"[k % 2], k)) for k in range(5)] + [(5, "s", "c", "https://u.v/y", '{"term": "x"}')]
@@ -309,7 +318,7 @@ def show(tables):
 
 
 def test_crash_between_any_two_steps(spark, tmp_path):
-    """A crash before any write, after its data but before it is named, and after it: the same call again gives the same tables."""
+    """A crash before any write, after its data but before it is in its place, and after it: the same call again gives the same tables."""
     from granary.functions.validate import validate
     from granary.streaming import upserts
 
@@ -328,9 +337,9 @@ def test_crash_between_any_two_steps(spark, tmp_path):
             if self.left < 0:
                 raise KeyboardInterrupt
 
-        def _write(self, name, df):
+        def _write(self, *args):
             self.step()
-            folder = super()._write(name, df)
+            folder = super()._write(*args)
             self.step()
             return folder
 
@@ -350,18 +359,53 @@ def test_crash_between_any_two_steps(spark, tmp_path):
         assert show(tables) == want
 
 
-def test_old_versions_go(spark, tmp_path):
+def test_only_touched_partitions_are_read_and_written(spark, tmp_path):
+    """Files of the other partitions are made unreadable: a batch does not notice."""
+    from granary.functions.validate import validate
+    from granary.streaming import upserts
+
+    def record(k, key, term):
+        return (k, "s", key, "https://u.v/x", '{"source": "s", "source_id": "%s", "source_url": "https://u.v/x", "term": "%s", "definition": "a definition of it"}' % (key, term))
+
+    tables = store.Store(spark, f"file://{tmp_path}/s", parts=16)
+    tables.migrate()
+    write = lambda rows, label: store.commit(tables, validate(spark.createDataFrame(rows, upserts.INCOMING), "reference"), now(), label)
+    write([record(k, f"key{k}", "old") for k in range(40)], "one")
+    folders = sorted(p.name for p in (tmp_path / "s/canonical_records").glob("part=*"))
+    touched = spark.createDataFrame([("s", "key7")], "source string, source_id string").select(tables.part()).first()[0]
+    assert len(folders) > 8 and f"part={touched}" in folders
+    before = tables.read("canonical_records").count()
+    for f in (tmp_path / "s/canonical_records").glob("part=*/*.parquet"):
+        if f.parent.name != f"part={touched}":
+            (f.parent / f".{f.name}.crc").unlink(missing_ok=True)
+            f.rename(f.with_suffix(".kept"))
+            f.write_bytes(b"not parquet")
+    write([record(0, "key7", "new"), record(1, "key7", "newer")], "two")
+    plan = tables.touched(spark.createDataFrame([("s", "key7")], "source string, source_id string"))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(part" in plan
+    for f in (tmp_path / "s/canonical_records").glob("part=*/*.kept"):
+        f.rename(f.with_suffix(".parquet"))
+    found = {r.source_id: r.payload for r in tables.read("canonical_records").collect()}
+    assert len(found) == before and '"newer"' in found["key7"] and '"old"' in found["key8"]
+    assert [(r.old_value, r.new_value) for r in tables.read("change_history").orderBy("id").collect()] == [('"old"', '"new"'), ('"new"', '"newer"')]
+    assert tables.last_id("raw_content") == 42 and tables.last_id("validation_failed") == 0 and not (list((tmp_path / "s/pending").glob("*")))
+
+
+def test_resolving_touches_its_batch(spark, tmp_path):
+    from granary.functions.validate import validate
+    from granary.streaming import upserts
+
     tables = store.Store(spark, f"file://{tmp_path}/s")
     tables.migrate()
-    row = lambda k: spark.createDataFrame([("s", str(k), "u", "{}", dt.datetime(2026, 1, 1), k)], store.TABLES["canonical_records"])
-    tables.COMPACT = 4
-    for k in range(10):
-        tables.append("canonical_records", row(k))
-    assert tables.read("canonical_records").count() == 10
-    for k in range(5):
-        tables.replace("canonical_records", row(k))
-    assert [r.raw_id for r in tables.read("canonical_records").collect()] == [4]
-    assert len(list((tmp_path / "s/canonical_records").glob("data-*"))) == 3
+    bad = validate(spark.createDataFrame([RECORDS[5]], upserts.INCOMING), "reference")
+    for label in ("a/b", "c=d", "e f"):
+        store.commit(tables, bad, now(), label)
+        assert tables.has("raw_content", label) and not tables.has("raw_content", label + "x")
+    wanted = spark.createDataFrame([(2, "fixed")], "id long, resolution string")
+    held = tables.holding("validation_failed", 2)
+    assert held.count() == 1 and tables.holding("validation_failed", 9).count() == 0
+    tables.overwrite("validation_failed", store.resolve(held, wanted, now()), tables.BATCH)
+    assert {r.id: r.resolution for r in tables.read("validation_failed").collect()} == {1: None, 2: "fixed", 3: None}
 
 
 def test_streams(spark, tmp_path):
