@@ -52,7 +52,9 @@ def listing_url(limit: int, skip: Column, template: str = "https://dummyjson.com
 
 
 def robots_url(url: Column) -> Column:
-    return F.concat(F.try_parse_url(url, F.lit("PROTOCOL")), F.lit("://"), F.try_parse_url(url, F.lit("AUTHORITY")), F.lit("/robots.txt"))
+    """Where the rules for a URL are; null for what has no scheme and host. Characters that a URL should not have do no harm."""
+    host = r"\A([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)"
+    return F.when(url.rlike(host), F.concat(F.lower(F.regexp_extract(url, host, 1)), F.lit("://"), F.regexp_extract(url, host, 2), F.lit("/robots.txt")))
 
 
 def is_article_url(url: Column, prefix: str) -> Column:

@@ -60,6 +60,20 @@ def trace_report(spans: DataFrame, by: list[str], duration: str = "duration_ms",
     return spans.groupBy(*by).agg(F.count("*").alias("n_spans"), F.count_if(F.col("status") == "error").alias("n_errors"), q(0.5).alias("p50"), q(0.95).alias("p95"), F.max(duration).alias("longest"), *([] if credits is None else [F.coalesce(F.sum(credits), F.lit(0)).cast("long").alias("credits")]))
 
 
+def latency_sketches(spans: DataFrame, by: list[str], at: str, duration: str = "duration_ms", k: int = 400) -> DataFrame:
+    """A row for each group and day: spans, errors, the longest, and a mergeable quantile sketch of durations, of bounded size."""
+    day = F.col(at).cast("date").alias("day")
+    return spans.groupBy(*by, day).agg(F.count("*").alias("n_spans"), F.count_if(F.col("status") == "error").alias("n_errors"), F.max(duration).alias("longest"), F.kll_sketch_agg_double(F.col(duration).cast("double"), k).alias("sketch"))
+
+
+def report_of_sketches(sketches: DataFrame, by: list[str]) -> DataFrame:
+    """trace_report of days that latency_sketches has kept: the same, but for quantiles whose ranks are within some 1.5 % (k = 400)."""
+    merged = sketches.groupBy(*by).agg(F.sum("n_spans").alias("n_spans"), F.sum("n_errors").alias("n_errors"), F.max("longest").alias("longest"), F.kll_merge_agg_double("sketch").alias("sketch"))
+    known = F.kll_sketch_get_n_double("sketch") > 0  # an empty sketch has no quantiles
+    q = lambda p: F.when(known, F.kll_sketch_get_quantile_double("sketch", F.lit(p)))
+    return merged.select(*by, "n_spans", "n_errors", q(0.5).alias("p50"), q(0.95).alias("p95"), "longest")
+
+
 def failures_with_raw(failed: DataFrame, raw: DataFrame, n: int = 10) -> DataFrame:
     """The latest failures with what was fetched."""
     last = failed.orderBy(F.col("detected_at").desc(), F.col("id").desc()).limit(n)

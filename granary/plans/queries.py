@@ -274,6 +274,31 @@ def q_robots_decision(spark, d):
     return table(spark, d, "customer").select("c_custkey", v["verdict"].alias("verdict"), v["cached"].alias("cached"))
 
 
+ROBOTS_SQL = """WITH u AS (SELECT page_id, url, regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) AS host, regexp_extract(url, '^[a-z]+://[^/?#]*(.*)$', 1) AS path FROM pages),
+f AS (SELECT host, min(page_id) AS first, min(regexp_extract(path, '^/[^/]*', 0)) AS lang, max(path) AS last FROM u GROUP BY host)
+"""
+
+
+@query(ROBOTS_SQL + """SELECT page_id, CASE first % 4 WHEN 0 THEN starts_with(path, lang || '/') WHEN 1 THEN NOT starts_with(path, lang || '/') OR contains(path, '?') AND path = last WHEN 2 THEN path <> last ELSE true END AS allowed,
+ CASE first % 4 WHEN 0 THEN (1 + first % 7)::DOUBLE WHEN 1 THEN 2.0 END AS delay FROM u JOIN f USING (host)""")
+def q_robots_rules(spark, d):
+    """A file for each host, made of its pages' paths: rules for others, for all and for this agent, in one group or some."""
+    host = F.regexp_extract("url", r"^([a-z]+://[^/?#]*)", 1)
+    path = F.regexp_extract("url", r"^[a-z]+://[^/?#]*(.*)$", 1)
+    urls = table(spark, d, "pages").select("page_id", "url")
+    hosts = urls.select(host.alias("host"), "page_id", path.alias("path")).groupBy("host").agg(F.min("page_id").alias("first"), F.min(F.regexp_extract("path", "^/[^/]*", 0)).alias("lang"), F.max("path").alias("last"))
+    k, lang, last = F.col("first") % 4, F.col("lang"), F.col("last")
+    lines = lambda *xs: F.concat_ws("\n", *[x if isinstance(x, Column) else F.lit(x) for x in xs])
+    body = (
+        F.when(k == 0, lines("User-agent: other", "Disallow: /", "", "User-Agent: *  # all", F.concat(F.lit("Allow: "), lang, F.lit("/")), "Disallow: /", F.concat(F.lit("Crawl-delay: "), (1 + F.col("first") % 7).cast("string"))))
+        .when(k == 1, lines("User-agent: *", "Disallow: /", "Crawl-delay: 9", "", "user-agent: x", "User-agent: GRANARY", "Sitemap: /s", F.concat(F.lit("allow: "), F.when(last.contains("?"), last).otherwise("/none")), F.concat(F.lit("Disallow:"), lang, F.lit("/")), "Crawl-delay: 2", "Crawl-delay: two"))
+        .when(k == 2, lines("Disallow: /", "User-agent: *", "", "User-agent: gran", F.concat(F.lit("Disallow: "), last), ""))
+        .otherwise(lines("User-agent: *", "Disallow:", "User-agent: granary", "", "Disallow: /"))
+    )
+    files = hosts.select(F.concat("host", F.lit("/robots.txt")).alias("robots_url"), F.lit(200).alias("status"), body.alias("body"))
+    return robots.decide(urls, files, now()).select("page_id", "allowed", "delay")
+
+
 @query("""WITH p AS (SELECT c_nationkey AS source, (row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1) // 3 AS page FROM customer),
 q AS (SELECT source, page, count(*) AS n_items FROM p GROUP BY 1, 2), r AS (SELECT *, sum(n_items) OVER (PARTITION BY source ORDER BY page) AS seen FROM q),
 e AS (SELECT *, n_items < 3 OR seen >= 7 OR page + 1 >= 4 AS ends FROM r)
@@ -321,6 +346,16 @@ def q_trace_report(spark, d):
     return out.select("user_id", "n_spans", "n_errors", *[F.round(c, 4).alias(c) for c in ("p50", "p95", "longest")])
 
 
+@query("""SELECT event_type, count(*) AS n_spans, count(*) FILTER (WHERE event_type = 'error') AS n_errors, round(max(value), 4) AS longest, true AS p50_near, true AS p95_near FROM events GROUP BY event_type""")
+def q_trace_sketches(spark, d):
+    """Days' sketches brought together; the ranks of their quantiles are looked up in the table itself."""
+    spans = table(spark, d, "events").withColumn("status", F.when(F.col("event_type") == "error", "error").otherwise("ok"))
+    out = reports.report_of_sketches(reports.latency_sketches(spans, ["event_type"], "ts", "value"), ["event_type"])
+    near = lambda q, p: (F.abs(F.count_if(F.col("value") <= F.col(q)) / F.count("value") - p) < 0.025).alias(f"{q}_near")
+    ranks = spans.select("event_type", "value").join(out, "event_type").groupBy("event_type").agg(F.first("n_spans").alias("n_spans"), F.first("n_errors").alias("n_errors"), F.round(F.first("longest"), 4).alias("longest"), near("p50", 0.5), near("p95", 0.95))
+    return ranks
+
+
 @query("""SELECT event_id, round(count(*) FILTER (WHERE event_type = 'error') OVER w / count(*) OVER w, 6) AS ratio FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 24 HOUR PRECEDING AND CURRENT ROW)""")
 def q_failure_ratio_24h(spark, d):
     return reports.failure_ratio(table(spark, d, "events"), "ts", F.col("event_type") == "error", ["user_id"]).select("event_id", F.round("ratio", 6).alias("ratio"))
