@@ -18,6 +18,7 @@ from granary.operators import gate as gates
 from granary.operators import robots as rules
 from granary.operators import store as stores
 from granary.sources.adapters import SCRAPE, Adapter
+from granary.sources.listing import LIMIT
 
 BUCKETS = ("canonical", "validation_failed", "skipped_robots", "errors", "skipped_fresh")
 
@@ -36,11 +37,14 @@ class Outcome:
 
 def classify(urls: DataFrame, robots: DataFrame, scraped: DataFrame, answers: DataFrame, adapter: Adapter, now, max_age_days: int = 7, force: bool = False) -> DataFrame:
     """urls(seq, url) with source, source_id, payload, errors, record_json and bucket. The cheap checks come first: only answers to
-    URLs that robots and freshness let pass are sanitized and validated. Of several answers to a URL, the greatest that is ok counts."""
+    URLs that robots and freshness let pass are sanitized and validated. Of several answers to a URL, the greatest that is ok counts. Where answers name the error's class, one of configuration
+    stops the batch before anything is written."""
     found = adapter.ids(urls.withColumn("source", F.lit(adapter.name)))
     allowed = rules.decide(found, robots, now)
     fresh = stores.freshness(allowed, scraped, now, max_age_days, force)
     asked = fresh.where(F.col("allowed") & ~F.col("is_fresh")).select("url").distinct()
+    if "error" in answers.columns:
+        answers = answers.withColumn("ok", fetch.transient(F.col("ok"), F.col("error")))
     one = answers.join(asked, "url", "left_semi").groupBy("url").agg(F.max(F.struct("ok", "payload")).alias("a")).select("url", "a.payload", "a.ok")
     doc = F.try_parse_json("payload")
     named = F.to_json(F.map_concat(F.map_filter(F.from_json("payload", "map<string,variant>"), lambda k, v: ~k.isin("source", "source_id", "source_url")), F.from_json(F.to_json(F.struct("source", "source_id", F.col("url").alias("source_url"))), "map<string,variant>")))
@@ -56,13 +60,18 @@ def classify(urls: DataFrame, robots: DataFrame, scraped: DataFrame, answers: Da
     return checked.withColumn("bucket", bucket).drop("record")
 
 
-def attempts(classified: DataFrame, adapter: Adapter) -> DataFrame:
-    """The log of what fetches: source, seq, kind, ok."""
-    return classified.where(F.col("bucket").isin("canonical", "validation_failed", "errors")).select("source", "seq", F.lit(adapter.kind).alias("kind"), (F.col("bucket") == "canonical").alias("ok"))
+def attempts(classified: DataFrame, adapter: Adapter, pages: DataFrame | None = None, limit: int = LIMIT) -> DataFrame:
+    """The log of what fetches: source, seq (2 n + 1 for the URL n), kind, ok. A listing's pages(page, ok) are calls that come right before
+    their first URL."""
+    log = classified.where(F.col("bucket").isin("canonical", "validation_failed", "errors"))
+    log = log.select("source", (2 * F.col("seq") + 1).alias("seq"), F.lit(adapter.kind).alias("kind"), (F.col("bucket") == "canonical").alias("ok"))
+    if pages is None:
+        return log
+    return log.unionByName(pages.select(F.lit(adapter.name).alias("source"), (2 * limit * F.col("page")).cast("long").alias("seq"), F.lit("listing").alias("kind"), "ok"))
 
 
-def run(store: stores.Store, adapter: Adapter, urls: DataFrame, robots: DataFrame, answers: DataFrame, now=None, trace_id: str | None = None, budget: gates.Budget = gates.Budget(), max_age_days: int = 7, force: bool = False) -> Outcome:
-    """One batch. With the trace id of a batch that crashed, it goes on where that stopped, with what that had classified."""
+def run(store: stores.Store, adapter: Adapter, urls: DataFrame, robots: DataFrame, answers: DataFrame, now=None, trace_id: str | None = None, budget: gates.Budget = gates.Budget(), max_age_days: int = 7, force: bool = False, pages: DataFrame | None = None) -> Outcome:
+    """One batch. pages(page, ok) are the calls of the listing that the URLs are from, if it cost any. With the trace id of a batch that crashed, it goes on where that stopped, with what that had classified."""
     spark, trace_id = store.spark, trace_id or uuid.uuid4().hex
     now = F.lit(spark.sql("select current_timestamp() as t").first()["t"]) if now is None else now
     path = f"{store.root}/batches/{trace_id}"
@@ -70,8 +79,8 @@ def run(store: stores.Store, adapter: Adapter, urls: DataFrame, robots: DataFram
         canonical, raw = store.read("canonical_records"), store.read("raw_content")
         classify(urls, robots, stores.last_scraped(canonical, raw), answers, adapter, now, max_age_days, force).write.mode("overwrite").parquet(path)
     rows = spark.read.parquet(path)
-    trip = gates.gate(attempts(rows.where(F.col("seq") < budget.iterations), adapter), budget).where("tripped is not null").agg(F.min("seq").alias("seq"), F.min_by("tripped", "seq").alias("why")).first()
-    stop = budget.iterations if trip["seq"] is None else min(trip["seq"], budget.iterations)
+    trip = gates.gate(attempts(rows.where(F.col("seq") < budget.iterations), adapter, pages), budget).where("tripped is not null").agg(F.min("seq").alias("seq"), F.min_by("tripped", "seq").alias("why")).first()
+    stop = budget.iterations if trip["seq"] is None else min(trip["seq"] // 2, budget.iterations)
     batch = rows.where(F.col("seq") < stop)  # what happens before the gate trips; rows that fetch nothing pass it by
     stores.commit(store, batch.where(F.col("bucket").isin("canonical", "validation_failed")), now, trace_id)
     found = {r["bucket"]: r["count"] for r in batch.groupBy("bucket").count().collect()}  # five buckets

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable, Iterator
+
+import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.functions import html, text
 from granary.schema import SANITIZED
 from granary.sources.adapters import Adapter
+from granary.sources.listing import next_slot
 
 
 def sanitized(answers: DataFrame, payload: str = "payload") -> DataFrame:
@@ -24,6 +30,38 @@ def sanitized(answers: DataFrame, payload: str = "payload") -> DataFrame:
     return out.withColumn(payload, F.coalesce(F.to_json(merged), F.col(payload))).drop(*[f"_{f}" for f in SANITIZED])
 
 
+#: Errors of how a fetch is set up: trying again, or another URL, does not help.
+CONFIGURATION = ("KeyError", "ImportError", "AttributeError", "ModuleNotFoundError")
+
+
+def transient(ok: Column, error: Column) -> Column:
+    """ok, where the error (a class's name, or null) is one that may pass; raises, when it runs, on one of configuration."""
+    return F.when(error.isin(*CONFIGURATION), F.raise_error(F.concat(F.lit("configuration error: "), error)).cast("boolean")).otherwise(F.coalesce(ok, F.lit(False)) & error.isNull())
+
+
+def fetched(urls: DataFrame, get: Callable[[str], str], rps: float, tasks: int = 4) -> DataFrame:
+    """url, body, ok, error (its class) of a call for each of urls(url), which start at least 1 / rps seconds apart: each task has
+    slots of its own on one clock."""
+    if rps <= 0:
+        raise ValueError("rps must be positive")
+    clock = time.time()
+
+    def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        task = TaskContext.get().partitionId()
+        for batch in batches:
+            rows = []
+            for url in batch["url"]:
+                time.sleep(max(0.0, next_slot(task, tasks, clock, rps, time.time()) - time.time()))
+                try:
+                    rows.append((url, get(url), True, None))
+                except Exception as e:  # noqa: BLE001  told apart by whoever reads the answers
+                    rows.append((url, None, False, type(e).__name__))
+                time.sleep(1e-3)  # out of the slot that is used up
+            yield pd.DataFrame(rows, columns=["url", "body", "ok", "error"])
+
+    return urls.select("url").repartition(tasks, "url").mapInPandas(call, "url string, body string, ok boolean, error string")
+
+
 REQUIRED = ("source", "source_id", "source_url")
 
 

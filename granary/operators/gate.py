@@ -1,6 +1,7 @@
 """Budget gate, circuit breaker and rate schedule over an attempt log.
 
-The log has one row per attempt: source, seq (its order), kind ('scrape' or 'http'), ok. What the gate knows before
+The log has one row per attempt: source, seq (its order), kind ('scrape', 'http', or 'listing' for a page of a listing, which is an HTTP
+call but no iteration), ok. What the gate knows before
 an attempt is what the source's earlier attempts have left. A source's log runs in blocks (scan), so that a source with most of the
 attempts is many tasks: what a block hands on is its credits, calls and attempts, and where its last success was.
 """
@@ -34,26 +35,26 @@ def gate(log: DataFrame, budget: Budget = Budget(), by: list[str] | None = None,
     ok, scrape = F.coalesce(F.col("ok"), F.lit(False)), F.coalesce(F.col("kind") == "scrape", F.lit(False))
     w = scan.inside(by, order)
     earlier, since = w.rowsBetween(W.Window.unboundedPreceding, -1), lambda c: F.coalesce(c, F.lit(0))
+    turn = F.when(F.col("kind").eqNullSafe("listing"), 0).otherwise(1)
     paid, called = F.when(ok & scrape, budget.scrape_cost).otherwise(0), F.when(ok & ~scrape, 1).otherwise(0)
     own = scan.blocks(log, by, [order], rows).withColumn("_at", F.row_number().over(w))
-    own = own.withColumns({"_paid": since(F.sum(paid).over(earlier)), "_called": since(F.sum(called).over(earlier)), "_ok": F.max(F.when(ok, F.col("_at"))).over(earlier)})
-    carry = scan.carried(own, by, n=F.count("*"), paid=F.sum(paid), called=F.sum(called))
+    own = own.withColumns({"_paid": since(F.sum(paid).over(earlier)), "_called": since(F.sum(called).over(earlier)), "_turns": since(F.sum(turn).over(earlier)), "_ok": F.max(F.when(ok, F.col("_at"))).over(earlier)})
+    carry = scan.carried(own, by, n=F.count("*"), paid=F.sum(paid), called=F.sum(called), turns=F.sum(turn))
     good = own.where(ok).groupBy(*by, scan.BLOCK).agg(F.max("_at").alias("last"))
     last = scan.joined(carry, good, by).select(*by, scan.BLOCK, (F.col("n_before") + F.col("last")).alias("last"))
     names = {c: f"_of_{c}" for c in (*by, scan.BLOCK)}
     carry = carry.join(last.withColumnsRenamed(names), [carry[c].eqNullSafe(F.col(x)) for c, x in names.items()], "left").drop(*names.values())
-    carry = carry.withColumn("last_before", since(F.max("last").over(scan.before(by)))).select(*by, scan.BLOCK, "n_before", "paid_before", "called_before", "last_before")
-    iterations = F.col("n_before") + F.col("_at") - 1
+    carry = carry.withColumn("last_before", since(F.max("last").over(scan.before(by)))).select(*by, scan.BLOCK, "n_before", "paid_before", "called_before", "turns_before", "last_before")
     used = scan.joined(own, carry, by).withColumns({
         "credits_used": (F.col("paid_before") + F.col("_paid")).cast("long"),
         "http_used": (F.col("called_before") + F.col("_called")).cast("long"),
-        "iterations": iterations.cast("long"),
-        "consecutive_errors": (iterations - F.greatest(F.col("last_before"), since(F.col("n_before") + F.col("_ok")))).cast("long"),
+        "iterations": (F.col("turns_before") + F.col("_turns")).cast("long"),
+        "consecutive_errors": (F.col("n_before") + F.col("_at") - 1 - F.greatest(F.col("last_before"), since(F.col("n_before") + F.col("_ok")))).cast("long"),
     })
     reason = (
         F.when(scrape & (F.col("credits_used") + budget.scrape_cost > budget.credits), "cost cap reached")
         .when(~scrape & (F.col("http_used") + 1 > budget.http_calls), "HTTP cap reached")
-        .when(F.col("iterations") >= budget.iterations, "iteration cap reached")
+        .when((turn == 1) & (F.col("iterations") >= budget.iterations), "iteration cap reached")
         .when(F.col("consecutive_errors") >= budget.errors, "circuit breaker tripped")
     )
     return used.select(*log.columns, "credits_used", "http_used", "iterations", "consecutive_errors", reason.alias("tripped"))

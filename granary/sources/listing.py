@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import json
 import logging
+import math
+import time
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import window as W
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from granary.functions.ids import item_url
 
@@ -42,17 +44,25 @@ def listed_urls(pages: DataFrame, limit: int = LIMIT, max_pages: int = MAX_PAGES
 
 
 class _Page(InputPartition):
-    """A page, or with `on` all from it on until the listing ends."""
+    """A page, or with `on` all from it on until the listing ends. Calls may start in the slots `page + m * pages` of a clock that
+    ticks 1 / rps apart from `clock` on: no two pages share a slot, however late their tasks are or how often they run."""
 
-    def __init__(self, page: int, on: bool = False):
+    def __init__(self, page: int, pages: int, clock: float, on: bool = False, body: str | None = None):
         super().__init__(page)
-        self.page, self.on = page, on
+        self.page, self.pages, self.clock, self.on, self.body = page, pages, clock, on, body
+
+
+def next_slot(page: int, pages: int, clock: float, rps: float, now: float) -> float:
+    """When a page's call may start: in the first of its slots that is not over."""
+    first = clock + page / rps
+    return first if now <= first else first + math.ceil((now - first) * rps / pages) * pages / rps
 
 
 class ListingSource(DataSource):
     """spark.read.format("limit_skip").option("template", ...).load(): page, body. Where the first page says how many items there
     are, each page is a partition of its own; else one partition asks page after page and stops at the first that is short or
-    empty, so that no page is fetched behind the end. Options: rps (calls a second, required), limit, max_pages, items_key, total_key."""
+    empty, so that no page is fetched behind the end. spark.readStream reads a listing with a total, `pages_a_batch` pages a
+    micro-batch, and goes on behind the last page that was committed. Options: rps (calls a second, required), limit, max_pages, items_key, total_key."""
 
     fetch: Callable[[str], str] | None = None
 
@@ -66,6 +76,9 @@ class ListingSource(DataSource):
     def reader(self, schema: T.StructType) -> DataSourceReader:
         return _ListingReader(dict(self.options), type(self).fetch)
 
+    def streamReader(self, schema: T.StructType) -> DataSourceStreamReader:  # noqa: N802
+        return _ListingStream(dict(self.options), type(self).fetch)
+
 
 def http_get(url: str, agent: str = "granary/1.0 (+contact@example.com)", timeout: float = 30.0) -> str:
     import urllib.request
@@ -80,36 +93,72 @@ def http_get(url: str, agent: str = "granary/1.0 (+contact@example.com)", timeou
     return body
 
 
-class _ListingReader(DataSourceReader):
+class _Listing:
     def __init__(self, options: dict, fetch: Callable[[str], str] | None):
         self.template, self.limit = options["template"], int(options.get("limit", LIMIT))
         self.max_pages, self.total_key = int(options.get("max_pages", MAX_PAGES)), options.get("total_key", "total")
         self.items_key, self.fetch = options.get("items_key", "products"), fetch or http_get
         if "rps" not in options or float(options["rps"]) <= 0:
             raise ValueError("a listing needs rps, the calls a second that its source allows")
-        self.rps = float(options["rps"])
+        self.rps, self.pages_a_batch = float(options["rps"]), int(options.get("pages_a_batch", 10))
 
     def url(self, page: int) -> str:
         return self.template.format(limit=self.limit, skip=page * self.limit)
 
-    def partitions(self):
-        first = json.loads(self.fetch(self.url(0)))
-        total = first.get(self.total_key)
+    def first(self) -> tuple[str, int | None]:
+        """The first page, and how many pages there are, if it tells."""
+        body = self.fetch(self.url(0))
+        page = json.loads(body)
+        total = page.get(self.total_key)
         if not isinstance(total, int):
-            return [_Page(0, on=True)]
-        if len(first.get(self.items_key) or []) < self.limit:
-            return [_Page(0)]
-        return [_Page(k) for k in range(min(self.max_pages, max(1, -(-total // self.limit))))]
+            return body, None
+        if len(page.get(self.items_key) or []) < self.limit:
+            return body, 1
+        return body, min(self.max_pages, max(1, -(-total // self.limit)))
 
     def read(self, partition: _Page) -> Iterator[tuple]:
-        import time
-
-        page = partition.page
-        time.sleep(page / self.rps if self.fetch is http_get else 0)  # pages start one interval apart
+        page, body = partition.page, partition.body
         while True:
-            body = self.fetch(self.url(page))
+            if body is None:
+                time.sleep(max(0.0, next_slot(page, partition.pages, partition.clock, self.rps, time.time()) - time.time()))
+                body = self.fetch(self.url(page))
             yield page, body
             page += 1
             if not partition.on or page >= self.max_pages or len(json.loads(body).get(self.items_key) or []) < self.limit:
                 return
-            time.sleep(1 / self.rps if self.fetch is http_get else 0)
+            body = None
+
+
+class _ListingReader(_Listing, DataSourceReader):
+    def partitions(self):
+        asked = time.time()
+        body, pages = self.first()
+        if pages is None:
+            return [_Page(0, self.max_pages, asked, on=True, body=body)]
+        return [_Page(k, pages, asked, body=None if k else body) for k in range(pages)]
+
+
+class _ListingStream(_Listing, DataSourceStreamReader):
+    """Offsets are pages."""
+
+    pages: int | None = None
+    ahead = 0
+
+    def initialOffset(self) -> dict:  # noqa: N802
+        return {"page": 0}
+
+    def latestOffset(self) -> dict:  # noqa: N802
+        if self.pages is None:
+            _, self.pages = self.first()
+            if self.pages is None:
+                raise ValueError("a listing that is read as a stream must tell its total")
+        self.ahead = min(self.pages, self.ahead + self.pages_a_batch)
+        return {"page": self.ahead}
+
+    def partitions(self, start: dict, end: dict):
+        self.ahead = max(self.ahead, end["page"])
+        clock = time.time() + 1 / self.rps
+        return [_Page(k, max(1, end["page"]), clock - start["page"] / self.rps) for k in range(start["page"], end["page"])]
+
+    def commit(self, end: dict) -> None:
+        self.ahead = max(self.ahead, end["page"])
