@@ -68,6 +68,22 @@ class Scratch:
                 _remove(self.spark, path)
 
 
+def by_position(df: DataFrame, *wanted: str) -> tuple[DataFrame, list[str]]:
+    """df with its columns called c0, c1 and so on, and what the wanted ones are called then: whatever names a caller's columns have,
+    with dots, in other cases or twice, no expression meets them."""
+    low = [c.lower() for c in df.columns]
+    at = [df.columns.index(c) if c in df.columns else low.index(c.lower()) for c in wanted]
+    return df.toDF(*[f"c{i}" for i in range(len(low))]), [f"c{i}" for i in at]
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that df has not, in any case."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name = "_" + name
+    return name
+
+
 def texts(batch, column: int = 1) -> Iterator[bytes]:
     """The UTF-8 bytes of a batch's texts, null as empty, without making Python strings."""
     import pyarrow as pa

@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import Scratch, mix, shingle_hashes, small_batches, texts, word_hashes
+from granary.llm.common import Scratch, by_position, mix, shingle_hashes, small_batches, texts, word_hashes
 
 SIZE, DEPTH, BUCKET = 64, 4, 1024
 #: Members, and shingles, that a block of a component has on average at most.
@@ -368,7 +368,8 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size
     """df with one row of each class, that with the least key (its id, or a hash where ids are null or repeat); null, empty and blank
     texts all stay. Columns as they are, whatever their names; an empty table gives an empty one."""
     scratch = Scratch(df.sparkSession)
-    rows, unique = keyed(df.select(F.struct("*").alias("_row"), F.col(id_col), F.col(text_col)), id_col, text_col)
+    plain, (ident, text) = by_position(df, id_col, text_col)
+    rows, unique = keyed(plain.select(F.struct("*").alias("_row"), ident, text), ident, text)
     own, sets = classes(rows if unique else rows.withColumn("_repeated", F.lit(True)), scratch, size, threshold, recall)
     first = sets.where("rep = root").select(F.col("rep").alias("_keep"))
     blank = own.where("n = 0").select(F.col("key").alias("_keep"))
@@ -376,4 +377,4 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size
     if not unique:  # equal rows share a key: of those with words one stays
         words = F.length(F.regexp_replace(F.coalesce("_text", F.lit("")), r"[\x20\x09-\x0D]+", "")) > 0
         kept = kept.where(words).dropDuplicates(["_key"]).unionByName(kept.where(~words))
-    return kept.select("_row.*")
+    return kept.select("_row.*").toDF(*df.columns)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-from granary.llm.common import WORD, Scratch
+from granary.llm.common import WORD, Scratch, by_position, unused
 
 #: Rows of a source that are summed together, and queued documents in a range of the global sort.
 SUMMED_TOGETHER, SORTED_TOGETHER = 10_000, 100_000
@@ -60,15 +60,16 @@ def mix(df: DataFrame, size: Column, weight: Column | None = None, id_col: str =
     """
     out = queued(df, size, weight, id_col, source_col, max_repeats, seed)
     kept = [(k, c) for k, c in enumerate(df.columns) if c.lower() not in OURS]
-    return out.select(*[F.col(f"c{k}").alias(c) for k, c in kept], *OURS)
+    return out.select(*[f"c{k}" for k, _ in kept], *OURS).toDF(*[c for _, c in kept], *OURS)
 
 
 def queued(df: DataFrame, size: Column, weight: Column | None, id_col: str, source_col: str, max_repeats: int, seed: int) -> DataFrame:
     """mix() with df's columns named c0, c1, ..., so that no name of theirs can clash."""
     scratch = Scratch(df.sparkSession)
-    own, names = df.columns, [f"c{k}" for k in range(len(df.columns))]
-    id_name, source = names[own.index(id_col)], F.col(source_col)
-    docs = df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(own, names)], F.coalesce(size, F.lit(0)).cast("long").alias("_size"), order_hash(F.col(id_col), seed).alias("_hash"), F.coalesce(source, F.lit("")).alias("_key"), source.isNull().alias("_none"))
+    plain, (id_name, source_name) = by_position(df.withColumn(unused(df, "size"), F.coalesce(size, F.lit(0)).cast("long")), id_col, source_col)
+    *names, sized = plain.columns
+    source = F.col(source_name)
+    docs = plain.select(*names, F.col(sized).alias("_size"), order_hash(F.col(id_name), seed).alias("_hash"), F.coalesce(source, F.lit("")).alias("_key"), source.isNull().alias("_none"))
     docs = scratch.save(docs, "documents")  # texts are measured once; what follows reads the narrow columns
     weight = (F.col("source_rank") - 1) % 3 + 1 if weight is None else weight
     sizes = docs.groupBy("_key", "_none").agg(F.sum("_size").alias("source_size"), F.count("*").alias("rows"))
@@ -106,6 +107,7 @@ def queued(df: DataFrame, size: Column, weight: Column | None, id_col: str, sour
 def mixed(df: DataFrame, text_col: str = "text", weight: Column | None = None, id_col: str = "doc_id", source_col: str = "source", max_repeats: int = 3, seed: int = 17) -> DataFrame:
     """The mix itself: each row as often as it is taken, in df's own columns whatever their names. Null and empty texts have
     no words and are never taken; all else is as in mix()."""
-    out = queued(df, words(F.col(text_col)), weight, id_col, source_col, max_repeats, seed).where("_taken > 0")
+    plain, (text, ident, source) = by_position(df, text_col, id_col, source_col)
+    out = queued(plain, words(F.col(text)), weight, ident, source, max_repeats, seed).where("_taken > 0")
     out = out.withColumn("_copy", F.explode(F.sequence(F.lit(1), (F.expr("_taken div _size")).cast("int"))))
-    return out.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(df.columns)])
+    return out.select(*[f"c{k}" for k in range(len(df.columns))]).toDF(*df.columns)

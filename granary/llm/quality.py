@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-from granary.llm.common import Scratch, mix, shingle_hashes, small_batches, texts, word_hashes, word_spans
+from granary.llm.common import Scratch, by_position, mix, shingle_hashes, small_batches, texts, unused, word_hashes, word_spans
 
 ORDER, BITS = 4, 16
 #: Widths of the bands in median absolute deviations, and the bins of log perplexities, whose width a band has at
@@ -222,14 +222,6 @@ def fails(n_words: int, n_repeat_words: int) -> bool:
 KINDS = {"n_words": "long", "word_chars": "long", "n_symbols": "long", "n_dup_lines": "long", "n_repeat_words": "long", "base_failed": "boolean", "lang_key": "string", "log_perplexity": "double"}
 
 
-def unused(df: DataFrame, name: str) -> str:
-    """A column name that df has not, in any case."""
-    have = {c.lower() for c in df.columns}
-    while name.lower() in have:
-        name = "_" + name
-    return name
-
-
 def measure(df: DataFrame, carried: list[str], model: DataFrame, at: str, text_col: str, lang_col: str) -> DataFrame:
     """df's carried columns with a struct `at` of KINDS."""
     small_batches(df.sparkSession)
@@ -325,13 +317,15 @@ def quality(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     that pass the word rules has no bands; null ids and repeated rows are rows like others; an empty table gives an empty one.
     Other columns are not read. kept: base_failed is false and the log perplexity is within the language's bands.
     """
-    narrow = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    plain, (ident, text, lang) = by_position(df, id_col, text_col, lang_col)
+    narrow = plain.select(F.col(ident).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     slim = judged(narrow, ["id"], "text", "lang")
     return slim[0].select(F.col("id").alias(id_col), f"{slim[1]}.*", F.col(slim[2]).alias("kept"))
 
 
 def keep_good(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows of df that quality() keeps, with all columns as they are. Rows are judged as there: null and empty texts go, null ids
-    and languages, repeated rows and clashing columns stay as they are, and an empty table gives an empty one."""
-    full, _, kept = judged(df, df.columns, text_col, lang_col)
-    return full.where(F.col(kept)).select(*df.columns)
+    and languages, repeated rows and columns of any name and type stay as they are, and an empty table gives an empty one."""
+    plain, (_, text, lang) = by_position(df, id_col, text_col, lang_col)
+    full, _, kept = judged(plain, plain.columns, text, lang)
+    return full.where(F.col(kept)).select(*plain.columns).toDF(*df.columns)

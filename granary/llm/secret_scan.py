@@ -18,7 +18,7 @@ from itertools import accumulate
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import small_batches
+from granary.llm.common import by_position, small_batches
 
 KINDS = ("assign", "access", "hex", "novel")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -206,16 +206,18 @@ def scan_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             spans = [[{"kind": k, "start": s, "end": e} for k, s, e in find(x)] if x else [] for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, kind)], ["id", "spans"])
 
-    kind = df.schema[id_col].dataType.simpleString()
-    return df.select(df[id_col], df[text_col]).mapInArrow(run, f"id {kind}, spans array<struct<kind: string, start: bigint, end: bigint>>").withColumnRenamed("id", id_col)
+    plain, (ident, text) = by_position(df, id_col, text_col)
+    kind = plain.schema[ident].dataType.simpleString()
+    return plain.select(ident, text).mapInArrow(run, f"id {kind}, spans array<struct<kind: string, start: bigint, end: bigint>>").withColumnRenamed("id", id_col)
 
 
 def redact(df: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """df with each secret in its texts (overlapping ones as one) replaced by a mark. All other columns stay, whatever
-    their names; a null text stays null, an empty one empty; null ids and repeated rows are rows like others; an empty table gives
+    their names and types; a null text stays null, an empty one empty; null ids and repeated rows are rows like others; an empty table gives
     an empty one."""
     small_batches(df.sparkSession)
-    at = df.columns.index(text_col)
+    plain, (text,) = by_position(df, text_col)
+    at = plain.columns.index(text)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -234,7 +236,7 @@ def redact(df: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> Dat
                 out.append(x)
             yield batch.set_column(at, batch.schema.field(at), pa.array(out, batch.schema.field(at).type))
 
-    return df.mapInArrow(run, df.schema)
+    return plain.mapInArrow(run, plain.schema).toDF(*df.columns)
 
 
 def digest(scanned: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -3,7 +3,7 @@
 A gear rolling hash over the last 16 bytes rates every place of a text. A place is a border where its hash
 is the least among the 16 places on either side, which depends on the near text only: an insertion
 shifts borders only near itself, and equal passages have equal chunks inside. Chunks are deduplicated by
-digest: one that more than one document holds is kept in the first and is a repeat in the others. Runs of
+digest: one that stands at more than one place, of one document or of several, is kept at the first and is a repeat elsewhere. Runs of
 repeated chunks of at least `min_words` words are the passages to cut.
 """
 
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-from granary.llm.common import _BYTES, PIECE, Scratch, small_batches, span_hashes, texts, word_spans
+from granary.llm.common import _BYTES, PIECE, Scratch, by_position, small_batches, span_hashes, texts, word_spans
 
 GEAR = (_BYTES >> np.uint64(32)).astype(np.uint32)
 #: Bytes that the hash covers, and places on either side that a border is compared with: chunks have 2 * REACH + 1 bytes on average.
@@ -83,8 +83,9 @@ def digests(text: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.concatenate(out)
 
 
-def chunks(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc, spot, digest of each chunk. spot holds the chunk's start in characters, its length (13 bits) and the words that begin in it (12 bits)."""
+def chunks(df: DataFrame) -> DataFrame:
+    """doc, of, spot, digest of each chunk of df(doc, text, of). spot holds the chunk's start in characters, its length (13 bits) and the
+    words that begin in it (12 bits)."""
     small_batches(df.sparkSession)
 
     def run(batches: Iterator) -> Iterator:
@@ -104,41 +105,61 @@ def chunks(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 spots.append((at << 25) | ((chars[ends] - at) << 12) | np.minimum(np.diff(begun), 4095))
                 found.append(digests(text, starts, ends).view(np.int64))
             if row:
-                doc = batch.column(0).take(pa.array(np.concatenate(row)))
-                yield pa.RecordBatch.from_arrays([doc, pa.array(np.concatenate(spots), pa.int64()), pa.array(np.concatenate(found), pa.int64())], ["doc", "spot", "digest"])
+                at = pa.array(np.concatenate(row))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(2).take(at), pa.array(np.concatenate(spots), pa.int64()), pa.array(np.concatenate(found), pa.int64())], ["doc", "of", "spot", "digest"])
 
-    kind = df.schema[id_col].dataType.simpleString()
-    return df.where(df[id_col].isNotNull()).select(df[id_col], df[text_col]).mapInArrow(run, f"doc {kind}, spot long, digest long")
+    return df.select("doc", "text", "of").mapInArrow(run, f"doc {df.schema['doc'].dataType.simpleString()}, of long, spot long, digest long")
 
 
-def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """id, start, end (characters), n_words, kept_id of each passage that an earlier document (by id) has, too.
-
-    A passage begins and ends at chunk borders: up to a chunk on either side of the common text is not in it. n_words: words
-    that begin in it. kept_id: the document that keeps the passage's first chunk. Null and empty texts have no chunks; rows
-    without an id take no part; rows that repeat an id are one document; an empty table gives an
-    empty one. Other columns are not read. Chunks that only one document holds are no repeats.
-    """
-    scratch = Scratch(df.sparkSession)
-    own = scratch.save(chunks(df, id_col, text_col), "chunks")
-    first = own.groupBy("digest").agg(F.min("doc").alias("kept"), F.max("doc").alias("last")).where("kept < last").select("digest", "kept")
+def spans(rows: DataFrame, min_words: int, within: bool) -> DataFrame:
+    """doc, of, start, end, n_words, kept_id of the passages of rows(doc, text, of) that stand earlier, too."""
+    scratch = Scratch(rows.sparkSession)
+    own = scratch.save(chunks(rows), "chunks")
+    place = F.struct(F.col("doc").isNull().alias("none"), "doc", "of", *(["spot"] if within else []))
+    first = own.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last").select("digest", "first")
     # a merge join at every size: it splits hot chunks over tasks, and no plan depends on how small a table is
-    again = own.join(first.hint("merge"), "digest").where("doc > kept")
-    again = again.select("doc", F.expr("shiftright(spot, 25)").alias("start"), F.expr("shiftright(spot, 12) & 8191").alias("length"), F.expr("spot & 4095").alias("words"), "kept")
+    again = own.join(first.hint("merge"), "digest").where(place > F.col("first"))
+    again = again.select("doc", "of", F.expr("shiftright(spot, 25)").alias("start"), F.expr("shiftright(spot, 12) & 8191").alias("length"), F.expr("spot & 4095").alias("words"), F.col("first.doc").alias("kept"))
     again = scratch.save(again.withColumn("stop", F.col("start") + F.col("length")).drop("length"), "again")
     scratch.drop("chunks")
-    by_doc = W.Window.partitionBy("doc").orderBy("start")
+    by_doc = W.Window.partitionBy("doc", "of").orderBy("start")
     earlier = F.max("stop").over(by_doc.rowsBetween(W.Window.unboundedPreceding, -1))
     runs = again.withColumns({"begins": F.coalesce(F.col("start") > earlier, F.lit(True)), "twin": F.coalesce(F.lag("start").over(by_doc) == F.col("start"), F.lit(False))})
     runs = runs.withColumn("run", F.sum(F.col("begins").cast("long")).over(by_doc.rowsBetween(W.Window.unboundedPreceding, 0)))
-    spans = runs.groupBy("doc", "run").agg(F.min("start").alias("start"), F.max("stop").alias("end"), F.sum(F.when(F.col("twin"), 0).otherwise(F.col("words"))).cast("long").alias("n_words"), F.min(F.struct("start", "kept"))["kept"].alias("kept_id"))
-    return spans.where(F.col("n_words") >= min_words).select(F.col("doc").alias(id_col), "start", "end", "n_words", "kept_id")
+    found = runs.groupBy("doc", "of", "run").agg(F.min("start").alias("start"), F.max("stop").alias("end"), F.sum(F.when(F.col("twin"), 0).otherwise(F.col("words"))).cast("long").alias("n_words"), F.min(F.struct("start", "kept"))["kept"].alias("kept_id"))
+    return found.where(F.col("n_words") >= min_words).drop("run")
+
 
+def identified(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """df's columns by position, and doc, text, of: a document is its id and a hash of its text."""
+    plain, (ident, text) = by_position(df, id_col, text_col)
+    return plain.select("*", F.col(ident).alias("doc"), F.col(text).alias("text"), F.xxhash64(text).alias("of"))
 
-def cut_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """df with repeated passages cut out of its texts. All other columns stay. Null and empty texts, and rows with a null id, stay as they
-    are; rows that repeat an id are cut alike; an empty table gives an empty one."""
-    spans = repeated_spans(df, id_col, text_col, **options)
-    cuts = spans.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_cuts"))  # of one document
-    kept = F.aggregate("_cuts", F.struct(F.lit("").alias("text"), F.lit(0).cast("long").alias("at")), lambda a, c: F.struct(F.concat(a["text"], F.substring(text_col, (a["at"] + 1).cast("int"), (c["start"] - a["at"]).cast("int"))).alias("text"), c["end"].alias("at")), lambda a: F.concat(a["text"], F.substring(text_col, (a["at"] + 1).cast("int"), F.length(text_col))))
-    return df.join(cuts, id_col, "left").withColumn(text_col, F.when(F.col("_cuts").isNull(), F.col(text_col)).otherwise(kept)).select(*df.columns)
+
+def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, within: bool = True) -> DataFrame:
+    """id, start, end (characters), n_words, kept_id of each passage that an earlier document (by id, null last) has, too, or, unless
+    `within` is false, an earlier part of the same document.
+
+    A passage begins and ends at chunk borders: up to a chunk on either side of the common text is not in it. n_words: words
+    that begin in it. kept_id: the document that keeps the passage's first chunk. Null and empty texts have no chunks. Rows that are
+    equal in id and text, null ids included, are one document; rows that share an id alone are documents in the order of a hash
+    of their texts. An empty table gives an empty one. Other columns are not read.
+    """
+    found = spans(identified(df, id_col, text_col), min_words, within)
+    return found.select(F.col("doc").alias(id_col), "start", "end", "n_words", "kept_id")
+
+
+def cut_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, within: bool = True) -> DataFrame:
+    """df with repeated passages cut out of its texts. All other columns stay, whatever their names and types. Null and empty texts stay as
+    they are; rows that are equal in id and text are cut alike; an empty table gives an empty one."""
+    rows = identified(df, id_col, text_col)
+    *names, _, _, _ = rows.columns
+    _, (target,) = by_position(df, text_col)
+    found = spans(rows, min_words, within)
+    cuts = found.groupBy(F.col("doc").alias("of_doc"), F.col("of").alias("of_text")).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("cuts"))  # of one document
+    part = lambda a, n: F.substring("text", (a + 1).cast("int"), n.cast("int"))
+    step = lambda a, c: F.struct(F.concat(a["text"], part(a["at"], c["start"] - a["at"])).alias("text"), c["end"].alias("at"))
+    kept = F.aggregate("cuts", F.struct(F.lit("").alias("text"), F.lit(0).cast("long").alias("at")), step, lambda a: F.concat(a["text"], part(a["at"], F.length("text"))))
+    joined = rows.join(cuts, F.col("doc").eqNullSafe(F.col("of_doc")) & (F.col("of") == F.col("of_text")), "left")
+    joined = joined.withColumn(target, F.when(F.col("cuts").isNull(), F.col("text")).otherwise(kept))
+    return joined.select(*names).toDF(*df.columns)
