@@ -159,7 +159,13 @@ def test_dominance_keeps_the_optimum():
 
 
 def test_substring_dedup(spark, untidy, texts):
-    got = collect(substring_dedup.repeated_spans(untidy), "doc_id", "start", "end", "n_words", "kept_id")
+    every = collect(substring_dedup.repeated_spans(untidy), "doc_id", "start", "end", "n_words", "kept_id")
+    assert [x[:3] for x in every if x[0] is None] == [(None, 0, len(texts[3]))]  # the row without an id is a copy of the third
+    inside = {(i, a) for i, a, b, _, kept in every if kept == i}
+    assert all(texts[i][a : a + 40] in texts[i][:a] + texts[i][a : a + 39] for i, a in inside)
+    got = collect(substring_dedup.repeated_spans(untidy, within=False), "doc_id", "start", "end", "n_words", "kept_id")
+    got = [x for x in got if x[0] is not None]
+    assert set(got) <= set(every) or inside
     found = {i for i, *_ in got}
     assert {24, 25, 26, 28} <= found and not found & set(range(1, 24)) and not found & {29, 30, 31, 32, 33, 34}
     for i, a, b, n, kept in got:
@@ -168,11 +174,31 @@ def test_substring_dedup(spark, untidy, texts):
     for i, a, b, *_ in got:
         spans[i] += b - a
     assert spans[24] == len(texts[24]) and spans[28] > len(texts[2]) + 150
-    cut = {r.doc_id: r.text for r in substring_dedup.cut_repeats(untidy.where("doc_id is not null")).collect()}
+    cut = {r.doc_id: r.text for r in substring_dedup.cut_repeats(untidy.where("doc_id is not null"), within=False).collect()}
     assert cut[24] == "" and cut[5] == texts[5] and len(cut[28]) == len(texts[28]) - spans[28]
     assert substring_dedup.repeated_spans(untidy.limit(0)).count() == 0
 
 
+def test_repeats_inside_a_document(spark):
+    """Passages that stand twice or three times in one text, with and without an id, and copies without an id."""
+    rng = random.Random(21)
+    once = [" ".join(words(rng, 120, 10**6)) for _ in range(8)]
+    rows = [(1, once[0] + " " + once[1] + " " + once[0]), (2, f"{once[2]} {once[2]}\n{once[2]} {once[3]}"), (None, once[4] + " " + once[5] + " " + once[4]), (None, once[6]), (None, once[6]), (7, once[6]), (8, once[7]), (None, once[1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = collections.defaultdict(int)
+    for i, a, b, kept in collect(substring_dedup.repeated_spans(df), "doc_id", "start", "end", "kept_id"):
+        got[i, kept] += b - a
+    part = len(once[0]) - 90
+    assert got.keys() == {(1, 1), (2, 2), (None, None), (None, 7), (None, 1)}
+    assert got[1, 1] >= part and got[2, 2] >= 2 * len(once[2]) - 180 and got[None, None] >= part and got[None, 7] == len(once[6]) and got[None, 1] >= part
+    cut = collections.Counter(r.text for r in substring_dedup.cut_repeats(df).collect())
+    assert cut[once[6]] == 1 and cut[""] == 2 and cut[once[7]] == 1  # equal rows without an id are one document
+    assert all(t.count(once[2][100:200]) <= 1 and t.count(once[0][100:200]) <= 1 and t.count(once[4][100:200]) <= 1 for t in cut)
+    assert sum(t.count(w[100:200]) for t in cut for w in once[:6]) == 6
+    apart = collect(substring_dedup.repeated_spans(df, within=False), "doc_id", "kept_id")
+    assert set(apart) == {(None, 7), (None, 1)}
+
+
 def test_all_common_passages_are_found(spark):
     """Against brute force over all runs of fifty words: what is common to an earlier text is found but for its ends, and nothing else."""
     rng = random.Random(21)
