@@ -158,5 +158,27 @@ def contains_all(c: Column, needles: list[str]) -> Column:
     return F.forall(F.array(*map(F.lit, needles)), lambda n: F.lower(c).contains(F.lower(n)))
 
 
+def number_at_least(c: Column, n: int) -> Column:
+    """The whole number in a value, nothing counting as 0, is no less."""
+    return F.coalesce(c.try_cast("decimal(38,9)"), F.lit(0)) >= n
+
+
+#: Suffixes of soft rules, the longer first, and the check that each makes of a field.
+SOFT = {"_min_length": at_least, "_must_contain": contains_all, "_min": number_at_least}
+
+
+def soft_failures(rules: dict[str, object], values: dict[str, Column]) -> Column:
+    """array of the names of the rules that fail. A rule is a field's name with a suffix of SOFT, and what the check needs; a field that is
+    null fails all but a least number of 0. Raises ValueError on another suffix, KeyError on another field."""
+    failed = []
+    for rule, wanted in rules.items():
+        suffix = next((x for x in SOFT if rule.endswith(x)), None)
+        if suffix is None:
+            raise ValueError(f"unknown soft rule: {rule}")
+        value = values[rule.removesuffix(suffix)].cast("string")
+        failed.append(F.when(~F.coalesce(SOFT[suffix](value, wanted), F.lit(False)), F.lit(rule)))
+    return F.filter(F.array(*failed), lambda x: x.isNotNull())
+
+
 def includes(actual: Column, expected: Column) -> Column:
     return F.size(F.array_except(expected, actual)) == 0

@@ -7,6 +7,8 @@ has failed already skips.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,7 +61,7 @@ def _typed(f: Field, kind: Column, s: Column) -> Column:
     """A present field's value in its type; null where it is of another."""
     is_text = kind == "string"
     if f.kind == "str":
-        return F.when(is_text, text.language_code(s) if f.before == "language" else s)
+        return F.when(is_text, BEFORE[f.before](s) if f.before else s)
     if f.kind == "url":
         return web_url(F.when(is_text, s))
     if f.kind == "int":
@@ -73,6 +75,30 @@ def _typed(f: Field, kind: Column, s: Column) -> Column:
     return text.date_value(F.when(kind.isin("number", "string"), s))
 
 
+def placeholder_rule(f: Field, value: Column, ok: Column) -> Column:
+    marker = text.placeholder(value)
+    return F.when(ok & marker.isNotNull(), error(f.name, "placeholder", F.concat(F.lit(f"{f.name} looks like placeholder/error: "), marker)))
+
+
+def positive_rule(f: Field, value: Column, ok: Column) -> Column:
+    return F.when(value <= 0, error(f.name, "not_positive", f"{f.name} must be > 0 if present"))
+
+
+#: Validators that a Field names: what a text is read as before its rules, and an error (or null) after them, of the field, its value
+#: and whether it has passed. Both grow by register().
+BEFORE: dict[str, Callable[[Column], Column]] = {"language": text.language_code}
+AFTER: dict[str, Callable[[Field, Column, Column], Column]] = {"placeholder": placeholder_rule, "positive": positive_rule}
+
+
+def register(name: str, before: Callable[[Column], Column] | None = None, after: Callable[[Field, Column, Column], Column] | None = None) -> None:
+    """Makes a validator known under a name that Fields can have in `before` or `after`."""
+    for table, f in ((BEFORE, before), (AFTER, after)):
+        if f is not None:
+            if name in table:
+                raise ValueError(f"validator {name!r} is there already")
+            table[name] = f
+
+
 def _rules(f: Field, value: Column) -> list[Column]:
     """Errors of a value that has its type. The last rule skips a value that has failed before."""
     out, ok = [], value.isNotNull()
@@ -84,21 +110,19 @@ def _rules(f: Field, value: Column) -> list[Column]:
             ok = ok & ~bad
     if f.pattern:
         out.append(F.when(~value.rlike(f.pattern), error(f.name, "pattern_mismatch", "does not match the pattern")))
-    if f.after == "placeholder":
-        marker = text.placeholder(value)
-        out.append(F.when(ok & marker.isNotNull(), error(f.name, "placeholder", F.concat(F.lit(f"{f.name} looks like placeholder/error: "), marker))))
-    if f.after == "positive":
-        out.append(F.when(value <= 0, error(f.name, "not_positive", f"{f.name} must be > 0 if present")))
+    if f.after:
+        out.append(AFTER[f.after](f, value, ok))
     return out
 
 
-def validate(df: DataFrame, page_type: str, payload: str = "payload") -> DataFrame:
+def validate(df: DataFrame, page_type: str, payload: str = "payload", fields: tuple[Field, ...] | None = None) -> DataFrame:
     """df with record (the declared fields, typed; unknown keys dropped) and errors (empty where the record is valid).
 
-    A payload that is null or no JSON object misses all its required fields. An unknown page type raises KeyError.
+    A payload that is null or no JSON object misses all its required fields. An unknown page type raises KeyError. `fields`: others than
+    the page type's.
     The steps are columns of their own, so that each is evaluated once: the JSON, its fields, their types, their values.
     """
-    fields = RECORDS[page_type]
+    fields = RECORDS[page_type] if fields is None else fields
     out = df.withColumn("_doc", F.try_parse_json(payload))
     get = lambda f, kind: F.try_variant_get("_doc", f"$.{f.name}", kind)
     out = out.withColumns({f"_v_{f.name}": get(f, "variant") for f in fields})

@@ -8,6 +8,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from granary.functions.ids import derived_source
 from granary.functions.validate import source_config_errors
 from granary.schema import SOURCES
 
@@ -48,3 +49,12 @@ def lookup(sources: DataFrame, name: str):
     if not found:
         raise ValueError(f"source {name!r} not found in the allow-list")
     return found[0]
+
+
+def configured(urls: DataFrame, configs: DataFrame) -> DataFrame:
+    """urls(url, ...) with the rate_limit_rps, legal_basis and adapter of their host's entry; `listed` is false where there is none. A
+    www. before the host does not count. Raises, when it runs, on a domain with two entries."""
+    one = configs.groupBy("domain").agg(F.count("*").alias("_n"), F.first(F.struct("rate_limit_rps", "legal_basis", "adapter")).alias("_c"))
+    one = one.withColumn("_c", F.when(F.col("_n") > 1, F.raise_error(F.concat(F.lit("listed twice: "), F.col("domain"))).cast("struct<rate_limit_rps:double,legal_basis:string,adapter:string>")).otherwise(F.col("_c")))
+    joined = urls.withColumn("_host", derived_source(F.col("url"))).join(one.select(F.col("domain").alias("_host"), "_c"), "_host", "left")
+    return joined.select(*urls.columns, "_c.rate_limit_rps", "_c.legal_basis", "_c.adapter", F.col("_c").isNotNull().alias("listed"))

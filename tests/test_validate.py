@@ -62,3 +62,37 @@ def test_decimals_keep_their_digits(spark):
     df = spark.createDataFrame(rows, "p string").withColumn("payload", F.concat(F.lit('{"source":"s","source_url":"https://u.v","source_id":"i","name":"n","in_stock":true,"price":'), "p", F.lit("}")))
     got = {r.p: r.record_json for r in validate(df, "product").collect()}
     assert [('"price":"29.90"' in got['"29.90"']), ('"price":"149"' in got["149"]), ('"price":"149.00"' in got['"149.00"']), ('"price":null' in got["null"]), ('"price":null' in got['"x"'])] == [True] * 5
+
+
+def test_registered_validators(spark):
+    from granary.functions import validate as v
+    from granary.schema import Field
+
+    v.register("upper", before=lambda s: F.upper(s))
+    v.register("even", after=lambda f, value, ok: F.when(ok & (value % 2 != 0), v.error(f.name, "odd", "must be even")))
+    try:
+        fields = (Field("code", "str", True, 1, 3, pattern=r"\A[A-Z]+\z", before="upper"), Field("n", "int", after="even"))
+        rows = [('{"code": "ab", "n": 2}',), ('{"code": "ab", "n": 3}',), ('{"code": "abcd", "n": null}',), ("{}",)]
+        got = v.validate(spark.createDataFrame(rows, "payload string"), "", fields=fields).collect()
+        assert [[(e.field, e.code) for e in r.errors] for r in got] == [[], [("n", "odd")], [("code", "string_too_long")], [("code", "missing")]] and got[0].record.code == "AB"
+        with pytest.raises(ValueError, match="there already"):
+            v.register("even", after=lambda f, value, ok: value)
+        assert v.AFTER.keys() >= {"placeholder", "positive"}
+    finally:
+        v.BEFORE.pop("upper"), v.AFTER.pop("even")
+
+
+def test_soft_rules(spark):
+    from granary.functions import text
+
+    rows = [(0, "A long body with Needle", 3), (1, "short", None), (2, None, 0), (3, "needle", 2)]
+    df = spark.createDataFrame(rows, "k int, body string, blocks int")
+    rules = {"body_min_length": 6, "body_must_contain": ["needle"], "blocks_min": 2}
+    got = {r.k: r.failed for r in df.select("k", text.soft_failures(rules, {"body": F.col("body"), "blocks": F.col("blocks")}).alias("failed")).collect()}
+    assert got == {0: [], 1: ["body_min_length", "body_must_contain", "blocks_min"], 2: ["body_min_length", "body_must_contain", "blocks_min"], 3: []}
+    zero = df.select(text.soft_failures({"blocks_min": 0}, {"blocks": F.col("blocks")}).alias("failed"))
+    assert all(r.failed == [] for r in zero.collect())
+    with pytest.raises(ValueError, match="unknown soft rule"):
+        text.soft_failures({"body_max": 1}, {"body": F.col("body")})
+    one = df.limit(1).select(text.includes(F.array(F.lit("a"), F.lit("b")), F.array(F.lit("b"))).alias("yes"), text.includes(F.array(F.lit("a")), F.array(F.lit("b"))).alias("no"), text.guard_prefix(F.lit("é" * 9000)).alias("cut"), text.guard_prefix(F.lit(None).cast("string")).alias("none")).first()
+    assert (one.yes, one.no, len(one.cut), one.none) == (True, False, 8000, None)
