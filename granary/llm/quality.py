@@ -27,8 +27,9 @@ ORDER, BITS = 4, 16
 #: Widths of the bands in median absolute deviations, and the bins of log perplexities, whose width a band has at
 #: least. On half of the labelled documents, the narrowest whole widths that each lose at most 1 % of the good ones.
 BAND_LOW, BAND_HIGH, BIN = 6.0, 7.0, 0.001
-#: A language with fewer documents that pass the word rules has no bands: a median of so few says nothing.
-LEAST_DOCUMENTS = 20
+#: The fewer documents of a language pass the word rules, the less their median says: with so many, its bands are twice as wide, with
+#: half of them five times, with three times as many a tenth wider.
+FEW_DOCUMENTS = 20
 #: A model of more 4-grams (24 bytes each) is not sent to the tasks.
 MODEL_ROWS = 1 << 22
 #: 4-grams that a counting task holds at most, before and after they are counted.
@@ -276,7 +277,7 @@ def joined(measured: DataFrame, model: DataFrame, at: str, text_col: str, lang_c
 
 
 def bands(measured: DataFrame, at: str) -> DataFrame:
-    """lang_key, low, high of each language with LEAST_DOCUMENTS. Medians are of whole bins, so that they are the same in any order."""
+    """lang_key, low, high of each language. Medians are of whole bins, so that they are the same in any order."""
     low, high = F.col("cum") - F.col("n"), F.col("cum")
 
     def middle(bins: DataFrame, name: str) -> DataFrame:
@@ -288,8 +289,9 @@ def bands(measured: DataFrame, at: str) -> DataFrame:
     bins = values.groupBy("lang_key", "bin").agg(F.count("*").alias("n"))
     center = middle(bins, "center")
     spread = bins.join(center.drop("total"), "lang_key").groupBy("lang_key", F.abs(F.col("bin") - F.col("center")).alias("bin")).agg(F.sum("n").alias("n"))
-    both = center.join(middle(spread, "spread").drop("total"), "lang_key").where(F.col("total") >= LEAST_DOCUMENTS)
-    width = lambda x: F.greatest(F.col("spread") * x, F.lit(1.0)) * BIN
+    both = center.join(middle(spread, "spread").drop("total"), "lang_key")
+    unsure = 1 + F.pow(F.lit(FEW_DOCUMENTS) / F.col("total"), F.lit(2.0))
+    width = lambda x: F.greatest(F.col("spread") * x, F.lit(1.0)) * unsure * BIN
     at_center = (F.col("center") + 0.5) * BIN
     return both.select("lang_key", (at_center - width(BAND_LOW)).alias("low"), (at_center + width(BAND_HIGH)).alias("high"))
 
@@ -306,15 +308,15 @@ def judged(df: DataFrame, carried: list[str], text_col: str, lang_col: str) -> t
     limits = scratch.save(limits, "bands")  # written: see train()
     full = measured.join(limits, F.col(f"{at}.lang_key") == F.col(lang), "left")
     inside = F.col(f"{at}.log_perplexity").between(F.col(f"{band}.low"), F.col(f"{band}.high"))
-    verdict = ~F.col(f"{at}.base_failed") & F.when(F.col(band).isNull(), True).otherwise(F.coalesce(inside, F.lit(False)))
+    verdict = ~F.col(f"{at}.base_failed") & F.coalesce(inside, F.lit(False))
     return full.withColumn(kept, verdict).drop(band, lang), at, kept
 
 
 def quality(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The word counts, base_failed, log_perplexity and kept of each row.
 
-    A null or empty text has no words and fails. Null languages are a language; one with fewer than LEAST_DOCUMENTS documents
-    that pass the word rules has no bands; null ids and repeated rows are rows like others; an empty table gives an empty one.
+    A null or empty text has no words and fails. Null languages are a language; the fewer documents of one pass the word rules,
+    the wider its bands; null ids and repeated rows are rows like others; an empty table gives an empty one.
     Other columns are not read. kept: base_failed is false and the log perplexity is within the language's bands.
     """
     plain, (ident, text, lang) = by_position(df, id_col, text_col, lang_col)
