@@ -25,7 +25,7 @@ from granary.llm.common import Scratch, by_position, mix, shingle_hashes, small_
 
 SIZE, DEPTH, BUCKET = 64, 4, 1024
 #: Members, and shingles, that a block of a component has on average at most.
-BLOCK, BLOCK_SHINGLES = 256, 400_000
+BLOCK, BLOCK_SHINGLES = 1024, 400_000
 #: An embedding agrees in this many standard errors less than the threshold at worst.
 SLACK = 4.0
 _A = mix(np.arange(1, SIZE + 1, dtype=np.uint64)) | np.uint64(1)
