@@ -27,8 +27,8 @@ ORDER, BITS = 4, 16
 #: Widths of the bands in median absolute deviations, and the bins of log perplexities, whose width a band has at
 #: least. On half of the labelled documents, the narrowest whole widths that each lose at most 1 % of the good ones.
 BAND_LOW, BAND_HIGH, BIN = 6.0, 7.0, 0.001
-#: The fewer documents of a language pass the word rules, the less their median says: with so many, its bands are twice as wide, with
-#: half of them five times, with three times as many a tenth wider.
+#: The fewer documents of a language pass the word rules, the less their median says: with so many, its bands reach one nat farther, with
+#: a tenth of them a hundred, with ten times as many a hundredth.
 FEW_DOCUMENTS = 20
 #: A model of more 4-grams (24 bytes each) is not sent to the tasks.
 MODEL_ROWS = 1 << 22
@@ -290,8 +290,8 @@ def bands(measured: DataFrame, at: str) -> DataFrame:
     center = middle(bins, "center")
     spread = bins.join(center.drop("total"), "lang_key").groupBy("lang_key", F.abs(F.col("bin") - F.col("center")).alias("bin")).agg(F.sum("n").alias("n"))
     both = center.join(middle(spread, "spread").drop("total"), "lang_key")
-    unsure = 1 + F.pow(F.lit(FEW_DOCUMENTS) / F.col("total"), F.lit(2.0))
-    width = lambda x: F.greatest(F.col("spread") * x, F.lit(1.0)) * unsure * BIN
+    unsure = F.pow(F.lit(FEW_DOCUMENTS) / F.col("total"), F.lit(2.0))
+    width = lambda x: F.greatest(F.col("spread") * x, F.lit(1.0)) * BIN + unsure
     at_center = (F.col("center") + 0.5) * BIN
     return both.select("lang_key", (at_center - width(BAND_LOW)).alias("low"), (at_center + width(BAND_HIGH)).alias("high"))
 
@@ -308,7 +308,7 @@ def judged(df: DataFrame, carried: list[str], text_col: str, lang_col: str) -> t
     limits = scratch.save(limits, "bands")  # written: see train()
     full = measured.join(limits, F.col(f"{at}.lang_key") == F.col(lang), "left")
     inside = F.col(f"{at}.log_perplexity").between(F.col(f"{band}.low"), F.col(f"{band}.high"))
-    verdict = ~F.col(f"{at}.base_failed") & F.coalesce(inside, F.lit(False))
+    verdict = ~F.col(f"{at}.base_failed") & F.coalesce(inside, F.lit(True))  # no model, no verdict
     return full.withColumn(kept, verdict).drop(band, lang), at, kept
 
 
