@@ -487,6 +487,31 @@ def test_licenses(spark, untidy):
     assert twice.count() == 4 and license_scan.scan_licenses(untidy.limit(0)).count() == 0
 
 
+def test_whole_licenses(spark, tmp_path):
+    """Whole texts with other line breaks, names and a few changed words; a folder of long templates; parts of a license are not the whole."""
+    rng = random.Random(31)
+    wrapped = lambda t: "\n".join(" ".join(t.split()[i : i + 9]) for i in range(0, len(t.split()), 9))
+    rows, want = [], {}
+    for i, (name, body) in enumerate(sorted(license_scan.TEXTS.items())):
+        ws = body.split()
+        for _ in range(3):
+            ws[rng.randrange(len(ws))] = "ACME"
+        rows += [(i, f"Copyright (c) 2020 ACME\n\n{wrapped(' '.join(ws))}\n\n" + " ".join(words(rng, 400)), name), (100 + i, " ".join(body.split()[: len(body.split()) // 2]), name)]
+        want[i] = name
+    long = " ".join(words(rng, 2500, 900))
+    (tmp_path / "long-1.0.txt").write_text(long)
+    (tmp_path / "empty.txt").write_text(" \n")
+    rows.append((500, " ".join(words(rng, 700)) + " " + long.replace("w1 ", "w2 ") + " end", "long-1.0"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, want string")
+    got = collections.defaultdict(set)
+    for i, name in collect(license_scan.scan_licenses(df), "doc_id", "license"):
+        got[i].add(name)
+    assert all(name in got[i] and name not in got[100 + i] for i, name in want.items()) and not got[500]
+    assert not got[sorted(license_scan.TEXTS).index("bsd-2-clause-text")] & {"bsd-3-clause-text", "mit-text"}
+    own = license_scan.templates_of(spark, str(tmp_path))
+    assert own == {"long-1.0": long} and collect(license_scan.scan_licenses(df, own), "doc_id", "license") == [(500, "long-1.0")]
+
+
 def test_licenses_against_all_windows(spark):
     """Every window's containment by brute force: the same matches, best shares, first places and counts."""
     rng = random.Random(22)
