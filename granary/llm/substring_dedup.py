@@ -84,8 +84,8 @@ def digests(text: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 
 def chunks(df: DataFrame) -> DataFrame:
-    """doc, of, spot, digest of each chunk of df(doc, text, of). spot holds the chunk's start in characters, its length (13 bits) and the
-    words that begin in it (12 bits)."""
+    """doc, of, spot, digest of each chunk of df(doc, text, of). spot holds the chunk's start in characters, whether its text has it earlier
+    (1 bit), its length (13 bits) and the words that begin in it (12 bits)."""
     small_batches(df.sparkSession)
 
     def run(batches: Iterator) -> Iterator:
@@ -102,8 +102,11 @@ def chunks(df: DataFrame) -> DataFrame:
                 begun = np.searchsorted(word_spans(raw)[0], np.concatenate([[0], ends]))
                 at = chars[starts]
                 row.append(np.full(len(ends), i))
-                spots.append((at << 25) | ((chars[ends] - at) << 12) | np.minimum(np.diff(begun), 4095))
-                found.append(digests(text, starts, ends).view(np.int64))
+                own = digests(text, starts, ends).view(np.int64)
+                again = np.ones(len(own), np.int64)
+                again[np.unique(own, return_index=True)[1]] = 0
+                spots.append((at << 26) | (again << 25) | ((chars[ends] - at) << 12) | np.minimum(np.diff(begun), 4095))
+                found.append(own)
             if row:
                 at = pa.array(np.concatenate(row))
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(2).take(at), pa.array(np.concatenate(spots), pa.int64()), pa.array(np.concatenate(found), pa.int64())], ["doc", "of", "spot", "digest"])
@@ -115,11 +118,13 @@ def spans(rows: DataFrame, min_words: int, within: bool) -> DataFrame:
     """doc, of, start, end, n_words, kept_id of the passages of rows(doc, text, of) that stand earlier, too."""
     scratch = Scratch(rows.sparkSession)
     own = scratch.save(chunks(rows), "chunks")
-    place = F.struct(F.col("doc").isNull().alias("none"), "doc", "of", *(["spot"] if within else []))
-    first = own.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last").select("digest", "first")
+    inside = F.expr("shiftright(spot, 25) & 1 = 1") if within else F.lit(False)
+    nameless = F.when(F.col("doc").isNull(), F.col("of"))
+    first = own.groupBy("digest").agg(F.min("doc").alias("kept"), F.max("doc").alias("last"), F.max(inside).alias("inside"), F.min(nameless).alias("low"), F.max(nameless).alias("high"))
+    first = first.where("kept < last or inside or kept is not null and low is not null or low < high").select("digest", "kept", F.when(F.col("kept").isNull(), F.col("low")).alias("low"))
     # a merge join at every size: it splits hot chunks over tasks, and no plan depends on how small a table is
-    again = own.join(first.hint("merge"), "digest").where(place > F.col("first"))
-    again = again.select("doc", "of", F.expr("shiftright(spot, 25)").alias("start"), F.expr("shiftright(spot, 12) & 8191").alias("length"), F.expr("spot & 4095").alias("words"), F.col("first.doc").alias("kept"))
+    again = own.join(first.hint("merge"), "digest").where((F.col("doc") > F.col("kept")) | F.col("doc").isNull() & (F.col("kept").isNotNull() | (F.col("of") > F.col("low"))) | inside)
+    again = again.select("doc", "of", F.expr("shiftright(spot, 26)").alias("start"), F.expr("shiftright(spot, 12) & 8191").alias("length"), F.expr("spot & 4095").alias("words"), "kept")
     again = scratch.save(again.withColumn("stop", F.col("start") + F.col("length")).drop("length"), "again")
     scratch.drop("chunks")
     by_doc = W.Window.partitionBy("doc", "of").orderBy("start")
@@ -131,9 +136,9 @@ def spans(rows: DataFrame, min_words: int, within: bool) -> DataFrame:
 
 
 def identified(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """df's columns by position, and doc, text, of: a document is its id and a hash of its text."""
+    """df's columns by position, and doc, text, of: a document is its id, or where that is null a hash of its text."""
     plain, (ident, text) = by_position(df, id_col, text_col)
-    return plain.select("*", F.col(ident).alias("doc"), F.col(text).alias("text"), F.xxhash64(text).alias("of"))
+    return plain.select("*", F.col(ident).alias("doc"), F.col(text).alias("text"), F.when(F.col(ident).isNull(), F.xxhash64(text)).alias("of"))
 
 
 def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, within: bool = True) -> DataFrame:
@@ -141,9 +146,9 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     `within` is false, an earlier part of the same document.
 
     A passage begins and ends at chunk borders: up to a chunk on either side of the common text is not in it. n_words: words
-    that begin in it. kept_id: the document that keeps the passage's first chunk. Null and empty texts have no chunks. Rows that are
-    equal in id and text, null ids included, are one document; rows that share an id alone are documents in the order of a hash
-    of their texts. An empty table gives an empty one. Other columns are not read.
+    that begin in it. kept_id: the document that keeps the passage's first chunk. Null and empty texts have no chunks. Rows that
+    repeat an id are one document, as are rows without an id that have the same text; a repeat inside one is looked for in each row's
+    text. An empty table gives an empty one. Other columns are not read.
     """
     found = spans(identified(df, id_col, text_col), min_words, within)
     return found.select(F.col("doc").alias(id_col), "start", "end", "n_words", "kept_id")
@@ -151,7 +156,7 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def cut_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, within: bool = True) -> DataFrame:
     """df with repeated passages cut out of its texts. All other columns stay, whatever their names and types. Null and empty texts stay as
-    they are; rows that are equal in id and text are cut alike; an empty table gives an empty one."""
+    they are; rows that repeat an id are cut alike; an empty table gives an empty one."""
     rows = identified(df, id_col, text_col)
     *names, _, _, _ = rows.columns
     _, (target,) = by_position(df, text_col)
@@ -160,6 +165,6 @@ def cut_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     part = lambda a, n: F.substring("text", (a + 1).cast("int"), n.cast("int"))
     step = lambda a, c: F.struct(F.concat(a["text"], part(a["at"], c["start"] - a["at"])).alias("text"), c["end"].alias("at"))
     kept = F.aggregate("cuts", F.struct(F.lit("").alias("text"), F.lit(0).cast("long").alias("at")), step, lambda a: F.concat(a["text"], part(a["at"], F.length("text"))))
-    joined = rows.join(cuts, F.col("doc").eqNullSafe(F.col("of_doc")) & (F.col("of") == F.col("of_text")), "left")
+    joined = rows.join(cuts, F.col("doc").eqNullSafe(F.col("of_doc")) & F.col("of").eqNullSafe(F.col("of_text")), "left")
     joined = joined.withColumn(target, F.when(F.col("cuts").isNull(), F.col("text")).otherwise(kept))
     return joined.select(*names).toDF(*df.columns)
