@@ -24,6 +24,17 @@ def test_hidden_markup(spark):
     assert one(spark, "<p style='background-color: white'>x</p>y", html.normalized_visible).text == "y"
 
 
+def test_shown_markup_is_copied_as_it_is_written(spark):
+    for page in ("<h1>der&am</h1>", "<h1>a&amp</h1 >\n<P>&#38 &#x26; & &quo<!-- c --!></P>", "<p>&copy 1 < 2 &", "<![CDATA[x]]><?pi?><br/>\r\n<p>x &a", "<script>a && '&lt'"):
+        r = one(spark, page, html.normalized_visible)
+        assert r.text == page and r.warnings == []
+        hidden = "\n<div style='opacity:0'><p>\nuser&#58 x</p><!-- c --></div>"
+        r = one(spark, f"<b>\n</b>{hidden}{page}", html.normalized_visible)
+        assert r.text == f"<b>\n</b>\n{page}" and r.warnings == ["role_prefix_neutralized"]
+    # broken references do not end the reading of tags
+    assert one(spark, "<p>&#; &#; <i style='display:none'>you are now</i>z", html.normalized_visible).text == "<p>&#; &#; z"
+
+
 def test_placeholder_boundary(spark):
     soft = "Page Not Found"
     assert one(spark, soft + "x" * (499 - len(soft)), text.placeholder) == "page not found"
