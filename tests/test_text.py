@@ -65,6 +65,14 @@ def test_page_parts(spark):
     assert one(spark, r.md, text.first_heading) == "Title"
 
 
+def test_only_whole_references_are_decoded(spark):
+    page = '<p>a&amp;&amp</p><p>&am &quo &quot &#38 &#x26 &copy 1 & && x</p><p>&copy;&middot;&quot;&amp;lt; &#38;&#x26;&nbsp;&no; &ampno; <a href="/?a=1&copy=2&amp;b=&lt">l</a></p>'
+    md = one(spark, page, html.page_parts).md
+    assert md == 'a&&amp\n\n&am &quo &quot &#38 &#x26 &copy 1 & && x\n\n©·"&lt; && &no; &ampno; [l](/?a=1&copy=2&b=&lt)\n'
+    r = one(spark, '<html><meta property="article:published_time" content="2024&lt"><nav class="breadcrumb"><ul><li>A &amp; B&amp</li></ul></nav></html>', html.page_parts)
+    assert r.section_path == ["A & B&amp"] and r.published == "2024&lt"
+
+
 def test_headings_code_and_terms(spark):
     assert one(spark, "x\n#  A b \n# c", text.first_heading) == "A b"
     assert one(spark, "no heading", text.first_heading) is None
