@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from granary.functions import html, ids, text
+from granary.operators import extract
 
 
 def one(spark, value, f, kind="string"):
@@ -104,3 +105,9 @@ def test_ids(spark):
 
 def test_canonical_json(spark):
     assert one(spark, '{"b": 1, "a": "é"}', text.canonical_json) == one(spark, '{"a":"é","b":1}', text.canonical_json)
+
+
+def test_docs_keep_headings_cut_in_a_reference(spark):
+    pages = [(i, "https://a.b/c", f"<html><body><h1>x &amp; {cut}</h1><p>y</p></body></html>") for i, cut in enumerate(("&amp", "&am", "&quo"))]
+    out = extract.local(spark.createDataFrame(pages, "i int, url string, raw string"), "docs")
+    assert [r[0] for r in out.orderBy("i").select(F.get_json_object("payload", "$.title")).collect()] == ["x & &amp", "x & &am", "x & &quo"]
