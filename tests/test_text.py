@@ -111,3 +111,13 @@ def test_docs_keep_headings_cut_in_a_reference(spark):
     pages = [(i, "https://a.b/c", f"<html><body><h1>x &amp; {cut}</h1><p>y</p></body></html>") for i, cut in enumerate(("&amp", "&am", "&quo"))]
     out = extract.local(spark.createDataFrame(pages, "i int, url string, raw string"), "docs")
     assert [r[0] for r in out.orderBy("i").select(F.get_json_object("payload", "$.title")).collect()] == ["x & &amp", "x & &am", "x & &quo"]
+
+
+def found(spark, page_type, heading):
+    page = [("https://a.b/c", f"<html><body><h1>{heading}</h1><p>y</p></body></html>")]
+    return extract.parsed(spark.createDataFrame(page, "url string, raw string"), page_type).first()["record"]
+
+
+def test_articles_keep_titles_cut_in_a_reference(spark):
+    assert found(spark, "article", "x &quot;&quot").title == 'x "&quot'
+    assert found(spark, "article", "x &amp;&amp").title == "x &&amp"
