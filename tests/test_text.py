@@ -121,3 +121,7 @@ def found(spark, page_type, heading):
 def test_articles_keep_titles_cut_in_a_reference(spark):
     assert found(spark, "article", "x &quot;&quot").title == 'x "&quot'
     assert found(spark, "article", "x &amp;&amp").title == "x &&amp"
+
+
+def test_products_keep_names_cut_in_a_reference(spark):
+    assert found(spark, "product", "x &amp;&amp").name == "x &&amp"
