@@ -125,3 +125,7 @@ def test_articles_keep_titles_cut_in_a_reference(spark):
 
 def test_products_keep_names_cut_in_a_reference(spark):
     assert found(spark, "product", "x &amp;&amp").name == "x &&amp"
+
+
+def test_terms_cut_in_a_reference_are_kept(spark):
+    assert found(spark, "reference", "Glossary: x &amp;&amp").term == "x &&amp"
