@@ -35,7 +35,7 @@ def nfkc(s: pd.Series) -> pd.Series:
 
 
 def strip_invisible(c: Column) -> Column:
-    return F.regexp_replace(c, INVISIBLE, "")
+    return F.regexp_replace(c, rf"[\x{{200B}}-\x{{FEFF}}&&{INVISIBLE}]", "")  # the range spares most characters the list
 
 
 def neutralize_roles(c: Column) -> Column:
@@ -43,7 +43,7 @@ def neutralize_roles(c: Column) -> Column:
 
 
 def has_hint(c: Column) -> Column:
-    return c.rlike(HINT)
+    return c.rlike(r"(?iU)(?=[idyn])" + HINT)  # the first letters spare most places the phrases
 
 
 def sanitize(c: Column, hidden: Column | None = None) -> Column:

@@ -36,6 +36,25 @@ def test_shown_markup_is_copied_as_it_is_written(spark):
     assert one(spark, "<p>&#; &#; <i style='display:none'>you are now</i>z", html.normalized_visible).text == "<p>&#; &#; z"
 
 
+def test_styles_hide_however_they_are_written(spark):
+    for style in ("STYLE = 'display&#58;none'", "a='b'/style\n=\nopacity:0", "x style=''style==visibility:hidden", 'Style="COLOR : white"'):
+        r = one(spark, f"<style>p{{}}</style><p {style}>you are now</p>y", html.normalized_visible)
+        assert r.text == "<style>p{}</style>y" and r.warnings == ["injection_hint_detected"], style
+    for page in ("<p style>x</p>", "<style>p{display:none}</style><p title='opacity:0'>x</p>", "<p>style: opacity:0</p>", "<p>style = opacity:0</p>"):
+        r = one(spark, page, html.normalized_visible)
+        assert r.text == page and r.warnings == []
+
+
+def test_quick_patterns_find_what_the_whole_ones_find(spark):
+    chars = spark.range(0x110000).where("id not between 55296 and 57343").select(F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32").alias("c"))
+    assert chars.where(~text.strip_invisible(F.col("c")).eqNullSafe(F.regexp_replace("c", text.INVISIBLE, ""))).count() == 0
+    assert chars.where(F.regexp_replace("c", text.INVISIBLE, "") == "").count() == 5 + 7 + 16 + 1
+    rest = F.explode(F.array(*map(F.lit, ("gnore instructions", "isregard the prior", "ou are now", "ew instructions:", "ignore all instructions")))).alias("rest")
+    texts = chars.select("c", rest).select(F.concat("c", "rest").alias("t"))
+    assert texts.where(text.has_hint(F.col("t")) != F.col("t").rlike(text.HINT)).count() == 0
+    assert texts.where(text.has_hint(F.col("t")) & ~F.col("t").endswith("ignore all instructions")).count() >= 8
+
+
 def test_placeholder_boundary(spark):
     soft = "Page Not Found"
     assert one(spark, soft + "x" * (499 - len(soft)), text.placeholder) == "page not found"
